@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGE = "__range"
-HASH_SPACE = 16  # values of one hexadecimal digit
 
 
 def range_cuts(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
@@ -138,14 +137,18 @@ def exact_quantiles(
     return picked.select(*by, *[interpolate(n, q) for n, q in points.items()])
 
 
-def row_hash(*keys: str) -> Column:
-    """A text hash of the key columns: the same in every run and every engine, and unrelated to the keys' order."""
-    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+def row_hash(*keys: str, seed: str | None = None) -> Column:
+    """A text hash of the key columns: the same in every run and every engine, and unrelated to the keys' order.
+    Different seeds give independent hashes."""
+    parts = [F.col(k).cast("string") for k in keys]
+    if seed is not None:
+        parts.append(F.lit(seed))
+    return F.md5(F.concat_ws("|", *parts))
 
 
-def hash_fraction(*keys: str) -> Column:
+def hash_fraction(*keys: str, seed: str | None = None) -> Column:
     """The leading 32 bits of ``row_hash`` as a number in [0, 1)."""
-    return F.conv(F.substring(row_hash(*keys), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+    return F.conv(F.substring(row_hash(*keys, seed=seed), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
 def hash_position(df: DataFrame, *keys: str, by: Sequence[str] = (), digits: int = 3) -> DataFrame:

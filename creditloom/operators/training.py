@@ -89,8 +89,8 @@ def perceptron(columns: Sequence[str], width: int, hidden: Sequence[int] = (100,
 
 
 def with_validation(df: DataFrame, keys: Sequence[str], share: float = 0.1, name: str = "is_validation") -> DataFrame:
-    """Mark a repeatable share of the training rows for early stopping."""
-    return df.withColumn(name, order_stats.hash_fraction(*keys) < share)
+    """Mark a repeatable share of the training rows for early stopping, independent of other hash splits."""
+    return df.withColumn(name, order_stats.hash_fraction(*keys, seed="validation") < share)
 
 
 # --- fitting several models -------------------------------------------------------------------------------------
@@ -155,7 +155,8 @@ def random_search(
     parallelism: int = 4,
 ) -> CrossValidatorModel:
     """Cross-validated random search by AUC of the scores.  Folds follow a hash of ``keys``, so they repeat."""
-    folded = train.withColumn("fold", F.floor(order_stats.hash_fraction(*keys) * folds).cast("int")).persist()
+    fold = F.floor(order_stats.hash_fraction(*keys, seed=f"fold {seed}") * folds).cast("int")
+    folded = train.withColumn("fold", fold).persist()
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=draw_grid(estimator, space, draws, seed),
