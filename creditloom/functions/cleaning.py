@@ -15,9 +15,13 @@ from pyspark.sql import types as T
 from creditloom import fixed_values as fixed
 
 
-def blank_tokens(df: DataFrame, tokens: Iterable[str]) -> DataFrame:
-    """NULL for whole cells that hold a placeholder, in every text column."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+def blank_tokens(df: DataFrame, tokens: Iterable[str], skip: Iterable[str] = ()) -> DataFrame:
+    """NULL for whole cells that hold a placeholder, in every text column but those in ``skip``.
+
+    Columns that ``clean_numbers`` treats can be skipped: no placeholder has a digit, so it ends as NULL there too.
+    """
+    skip = set(skip)
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
     tokens = list(tokens)
     return df.withColumns({c: F.when(~F.col(c).isin(tokens), F.col(c)) for c in text})
 

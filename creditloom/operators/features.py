@@ -7,7 +7,7 @@ subquery: no collect, no cross join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
@@ -184,17 +184,25 @@ def feature_store(
     loans: DataFrame,
     dpd: int = 30,
     mob: int = 3,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """Features of all sources for every customer and date that has an outcome ``mob`` months later.
 
     Each source meets the labels, is processed on the matched rows, and the three results are joined on the slice.
     The target itself, personal data and raw sources are withheld.
+
+    Fitting reads the matched rows more than once.  ``stage(df, name)`` may store them in between, for example with
+    ``sinks.materialise``, so that cleaning and matching run a single time.
     """
-    labels = ledger.label_store(loans, dpd, mob)
+    labels = stage(ledger.label_store(loans, dpd, mob), "labels")
+
+    def matched(source: DataFrame, name: str) -> DataFrame:
+        return stage(joins.offset_join(source, labels, mob), name)
+
     parts = [
-        financial_features(joins.offset_join(financials, labels, mob)),
-        attribute_features(joins.offset_join(attributes, labels, mob)),
-        click_features(joins.offset_join(clicks, labels, mob)),
+        financial_features(matched(financials, "financials")),
+        attribute_features(matched(attributes, "attributes")),
+        click_features(matched(clicks, "clicks")),
     ]
     joined = parts[0]
     for part in parts[1:]:

@@ -169,13 +169,23 @@ def confidence_histogram(predictions: DataFrame, bins: int = 30) -> DataFrame:
 # --- drift ------------------------------------------------------------------------------------------------------
 
 
-def _running(df: DataFrame, size: str, order: Sequence[str], into: str = "start") -> DataFrame:
+def _running(df: DataFrame, *order: str) -> DataFrame:
+    """Add ``start``: rows (column ``n``) in the entries before this one."""
     window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(into, F.coalesce(F.sum(size).over(window), F.lit(0)))
+    return df.withColumn("start", F.coalesce(F.sum("n").over(window), F.lit(0)))
+
+
+def _struct_of(df: DataFrame) -> Column:
+    """The only row of ``df`` as a scalar subquery; NULL when there is none."""
+    return df.select(F.struct("*")).scalar()
 
 
 def drift(
-    predictions: DataFrame, keys: Sequence[str] = ("Customer_ID", P), threshold: float = fixed.DRIFT_THRESHOLD, digits: int = 3
+    predictions: DataFrame,
+    keys: Sequence[str] = ("Customer_ID", P),
+    threshold: float = fixed.DRIFT_THRESHOLD,
+    profile: DataFrame | None = None,
+    digits: int = 3,
 ) -> DataFrame:
     """Mean and deviation of the older half of the rows against the newer half.
 
@@ -183,87 +193,84 @@ def drift(
     settles ties the same way on every run.  Keys should tell rows apart; the default adds the probability, so one
     busy customer still spreads out.  The older half has floor(n / 2) rows.
 
-    No sort over all rows is needed.  Totals per (date, hash prefix) show which single part the middle falls into, and
-    only the rows of that part are ordered.  Equal rows travel as one row with a count, so a repeated key cannot
-    swell the part.
+    No sort over all rows is needed.  The daily profile shows which date the middle falls into; within that date,
+    totals per hash prefix show which part; and only the rows of that part are ordered.  Equal rows travel as one row
+    with a count, so repeated rows cannot swell the part.  Pass ``profile`` when it is computed anyway.
     """
-    p = F.col(P)
-    centre = 0.5  # deviations are summed around it; any constant gives the same result
-    rows = predictions.filter(p.isNotNull()).select(
-        DATE, p.alias("p"), order_stats.row_hash(*keys).alias("hash")
-    ).withColumn("prefix", F.substring("hash", 1, digits))
-    offset = F.col("p") - centre
-    parts = rows.groupBy(DATE, "prefix").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(offset).alias("s1"), F.sum(offset * offset).alias("s2")
-    )
-    # Dates first, then the parts of each date: no window is wider than the number of dates or of prefixes.
-    dates = _running(parts.groupBy(DATE).agg(F.sum("n").alias("date_n")), "date_n", [DATE], "date_start").withColumn(
-        "total", F.sum("date_n").over(Window.partitionBy())
-    )
-    within = Window.partitionBy(DATE).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        parts.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
-        .join(dates, DATE, "inner")
-        .withColumn("start", F.col("date_start") + F.col("before"))
-        .withColumn("half", F.floor(F.col("total") / 2))
-    )
-    end = F.col("start") + F.col("n")
-    split_part = (F.col("start") < F.col("half")) & (end > F.col("half"))
-    whole_parts = placed.filter(~split_part).select(
-        (F.col("start") < F.col("half")).alias("early"), "n", "s1", "s2"
-    )
-
-    # The one part the middle cuts through: order its rows and deal out the copies.
-    cut = placed.filter(split_part).select(DATE, "prefix", "start", "half")
-    inside = rows.join(cut, [DATE, "prefix"], "inner")
-    distinct_rows = inside.groupBy("hash", "p").agg(
-        F.count(F.lit(1)).alias("n"), F.max("start").alias("base"), F.max("half").alias("half")
+    p, n, start, half = F.col("p"), F.col("n"), F.col("start"), F.col("half")
+    # First and second moments are sums around a constant near the middle of the scale; any constant would do.
+    off = p - 0.5
+    mean, std = F.col("mean") - 0.5, F.coalesce(F.col("std"), F.lit(0.0))
+
+    dates = _running(
+        (daily_profile(predictions) if profile is None else profile)
+        .filter("scored > 0")
+        .select(DATE, F.col("scored").alias("n"), (F.col("scored") * mean).alias("s1"),
+                ((F.col("scored") - 1) * std * std + F.col("scored") * mean * mean).alias("s2")),
+        DATE,
+    ).withColumn("half", F.floor(F.sum("n").over(Window.partitionBy()) / 2))
+    divided = (start < half) & (start + n > half)
+    sums = ["n", "s1", "s2"]
+
+    def sides(df: DataFrame) -> DataFrame:
+        """Entries that lie on one side as a whole."""
+        return df.filter(~divided).select((start < half).alias("early"), *sums)
+
+    # The date in the middle, by hash prefix.
+    middle = _struct_of(dates.filter(divided).select(DATE, "start", "half"))
+    rows = (
+        predictions.filter(F.col(P).isNotNull() & (F.col(DATE) == middle[DATE]))
+        .select(F.col(P).alias("p"), order_stats.row_hash(*keys).alias("hash"))
+        .withColumn("prefix", F.substring("hash", 1, digits))
     )
-    ranked = _running(distinct_rows, "n", ["hash", "p"], "before")
-    early_n = F.greatest(F.lit(0), F.least(F.col("n"), F.col("half") - F.col("base") - F.col("before")))
-    dealt = ranked.select(
-        "p",
-        F.explode(
-            F.array(
-                F.struct(F.lit(True).alias("early"), early_n.alias("n")),
-                F.struct(F.lit(False).alias("early"), (F.col("n") - early_n).alias("n")),
-            )
-        ).alias("side"),
-    ).select("p", "side.early", "side.n")
-    cut_parts = dealt.select(
-        "early", "n", (offset * F.col("n")).alias("s1"), (offset * offset * F.col("n")).alias("s2")
+    parts = _running(
+        rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.sum(off).alias("s1"), F.sum(off * off).alias("s2")),
+        "prefix",
+    ).withColumn("half", middle["half"] - middle["start"])
+
+    # The part in the middle, row by row: copies before the middle are early, the others recent.
+    cut = _struct_of(parts.filter(divided).select("prefix", "start", "half"))
+    ordered = _running(
+        rows.filter(F.col("prefix") == cut["prefix"]).groupBy("hash", "p").agg(F.count(F.lit(1)).alias("n")), "hash", "p"
+    ).withColumn("early_n", F.greatest(F.lit(0), F.least(n, cut["half"] - cut["start"] - start)))
+    copies = [
+        F.struct(F.lit(True).alias("early"), F.col("early_n").alias("n")),
+        F.struct(F.lit(False).alias("early"), (n - F.col("early_n")).alias("n")),
+    ]
+    dealt = ordered.select("p", F.explode(F.array(*copies)).alias("side")).select(
+        "side.early", "side.n", (off * F.col("side.n")).alias("s1"), (off * off * F.col("side.n")).alias("s2")
     )
 
     def total(column: str, early: bool) -> Column:
         return F.sum(F.when(F.col("early") == early, F.col(column)))
 
-    halves = whole_parts.unionByName(cut_parts).agg(
+    halves = sides(dates).unionByName(sides(parts)).unionByName(dealt).agg(
         *[
             total(c, side).alias(f"{name}_{c}")
             for name, side in (("early", True), ("recent", False))
-            for c in ("n", "s1", "s2")
+            for c in sums
         ]
     )
 
-    def mean(half: str) -> Column:
-        return F.try_divide(F.col(f"{half}_s1"), F.col(f"{half}_n")) + centre
+    def mean_of(name: str) -> Column:
+        return F.try_divide(F.col(f"{name}_s1"), F.col(f"{name}_n")) + 0.5
 
-    def std(half: str) -> Column:
-        n, s1, s2 = (F.col(f"{half}_{c}") for c in ("n", "s1", "s2"))
-        return F.sqrt(F.greatest(F.lit(0.0), F.try_divide(s2 - F.try_divide(s1 * s1, n), n - 1)))
+    def std_of(name: str) -> Column:
+        count, s1, s2 = (F.col(f"{name}_{c}") for c in sums)
+        return F.sqrt(F.greatest(F.lit(0.0), F.try_divide(s2 - F.try_divide(s1 * s1, count), count - 1)))
 
-    mean_diff = F.abs(mean("recent") - mean("early"))
-    std_diff = F.abs(std("recent") - std("early"))
+    mean_diff = F.abs(mean_of("recent") - mean_of("early"))
+    std_diff = F.abs(std_of("recent") - std_of("early"))
     drifted = F.coalesce(mean_diff > threshold, F.lit(False)) | F.coalesce(std_diff > threshold, F.lit(False))
     return halves.select(
         drifted.alias("drift_detected"),
         stable_round(mean_diff).alias("mean_difference"),
         stable_round(std_diff).alias("std_difference"),
         F.lit(threshold).alias("drift_threshold"),
-        stable_round(mean("early")).alias("early_mean"),
-        stable_round(std("early")).alias("early_std"),
-        stable_round(mean("recent")).alias("recent_mean"),
-        stable_round(std("recent")).alias("recent_std"),
+        stable_round(mean_of("early")).alias("early_mean"),
+        stable_round(std_of("early")).alias("early_std"),
+        stable_round(mean_of("recent")).alias("recent_mean"),
+        stable_round(std_of("recent")).alias("recent_std"),
     )
 
 

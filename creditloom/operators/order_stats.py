@@ -28,8 +28,11 @@ def range_cuts(df: DataFrame, value: str, ranges: int | None = None) -> list[flo
     if ranges is None:
         ranges = max(32, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     numbers = df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
-    cuts = numbers.approxQuantile("v", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
-    return sorted(set(cuts))
+    shares = [i / ranges for i in range(1, ranges)]
+    if not shares:
+        return []
+    cuts = numbers.agg(F.percentile_approx("v", shares, 4 * ranges)).first()[0]
+    return sorted(set(cuts or []))
 
 
 def with_range(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:

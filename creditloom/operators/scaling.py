@@ -68,3 +68,13 @@ def scale(df: DataFrame, columns: Sequence[str], fitted: DataFrame) -> DataFrame
     stats = F.col(STATS)
     scaled = {c: (F.col(c).cast("double") - stats[f"{c}__mean"]) / stats[f"{c}__scale"] for c in columns}
     return attach(df, fitted).withColumns(scaled).drop(STATS)
+
+
+def model_matrix(df: DataFrame, numbers: Sequence[str], vectors: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``align_features`` that also carries encoded vectors along."""
+    aligned = align_features(df, numbers, [*keep, *[v for v in vectors if v not in keep]])
+    return aligned.select(*keep, *numbers, *vectors)
+
+
+def vector_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, VectorUDT)]

@@ -19,7 +19,8 @@ def _with_date(df: DataFrame) -> DataFrame:
 def clean_financials(df: DataFrame, strict: bool = True) -> DataFrame:
     """Typed monthly statements: placeholders and stray characters removed, unknown payment behaviours dropped to
     NULL, loan types as a list."""
-    df = cleaning.clean_numbers(cleaning.blank_tokens(df, fixed.NULL_TOKENS), fixed.FINANCIAL_NUMBERS)
+    df = cleaning.blank_tokens(df, fixed.NULL_TOKENS, skip=fixed.FINANCIAL_NUMBERS)
+    df = cleaning.clean_numbers(df, fixed.FINANCIAL_NUMBERS)
     behaviour = F.col("Payment_Behaviour")
     return _with_date(
         df.withColumns(
@@ -33,7 +34,8 @@ def clean_financials(df: DataFrame, strict: bool = True) -> DataFrame:
 
 def clean_attributes(df: DataFrame) -> DataFrame:
     """Ages in (0, 100) and well-formed identity numbers, else NULL."""
-    df = cleaning.clean_numbers(cleaning.blank_tokens(df, fixed.ATTRIBUTE_NULL_TOKENS), {"Age": ("0-9", "int")})
+    df = cleaning.blank_tokens(df, fixed.ATTRIBUTE_NULL_TOKENS, skip=["Age"])
+    df = cleaning.clean_numbers(df, {"Age": ("0-9", "int")})
     age, ssn = F.col("Age"), F.col("SSN")
     return _with_date(
         df.withColumns(

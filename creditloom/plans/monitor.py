@@ -24,8 +24,9 @@ def run_metrics(
     ``oot`` is the one-row stability of the model's out-of-time periods.  The prediction store is read for the daily
     profile and for the drift halves; everything else works on one row per date.
     """
-    rolled = monitoring.overall(monitoring.daily_profile(predictions))
-    drifted = monitoring.drift(predictions, keys, threshold)
+    profile = monitoring.daily_profile(predictions)
+    rolled = monitoring.overall(profile)
+    drifted = monitoring.drift(predictions, keys, threshold, profile)
     row = rolled.filter("n > 0").withColumn("d", drifted.select(F.struct("*")).scalar())
     if oot is None:
         row = row.withColumns({"oot_rating": F.lit(None).cast("string"), "oot_cv": F.lit(None).cast("double")})

@@ -38,15 +38,21 @@ REGISTRY_EPOCH = dt.date(1995, 1, 1)
 
 
 class Inputs:
-    """The adapters of one scale factor, by attribute."""
+    """The adapters and tables of one scale factor, by attribute.  Each is built once, so that uses of the same input
+    within a query are recognisably the same and Spark can reuse their exchanges."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
         if name in adapters.ADAPTERS:
-            return adapters.adapter(self.spark, self.sf_dir, name)
-        return adapters.table(self.spark, self.sf_dir, name)
+            df = adapters.adapter(self.spark, self.sf_dir, name)
+        else:
+            df = adapters.table(self.spark, self.sf_dir, name)
+        setattr(self, name, df)
+        return df
 
     def scratch(self, label: str) -> str:
         return session.scratch_dir(self.spark, label)
@@ -313,7 +319,14 @@ def repeated_keys(i):
 
 @query
 def feature_store(i):
-    store = features.feature_store(silver_statements(i), silver_people(i), i.clickstream_m, silver_ledger(i))
+    folder = i.scratch("gold")
+    store = features.feature_store(
+        silver_statements(i),
+        silver_people(i),
+        i.clickstream_m,
+        silver_ledger(i),
+        stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"),
+    )
     encoded = [c for c in store.columns if c.endswith("_vec")]
     shown = store.withColumns({c.replace("_vec", "_slot"): _slot(c) for c in encoded}).drop(*encoded)
     return rounded(shown, *[n for n, t in shown.dtypes if t == "double"])

@@ -30,6 +30,13 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def materialise(df: DataFrame, path: str) -> DataFrame:
+    """Store an intermediate result and continue from the stored copy: it is computed once, later readers prune its
+    columns, and a lost executor costs a re-read instead of a re-computation."""
+    write_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_csv_snapshots(df: DataFrame, path: str, partition: str = DATE) -> None:
     (
         df.hint("rebalance", partition)
@@ -47,6 +54,9 @@ def append_run(summary: DataFrame, path: str, executed_at: Column | None = None)
     summary.withColumn("batch_execution_date", at).write.mode("append").parquet(path)
 
 
-def write_documents(df: DataFrame, path: str) -> None:
-    """Nested rows as one JSON object per line."""
-    df.write.mode("overwrite").json(path)
+def write_documents(df: DataFrame, path: str, partition: str | None = None) -> None:
+    """Nested rows as one JSON object per line; with a partition column, only the partitions present are replaced."""
+    writer = df.write.mode("overwrite")
+    if partition is not None:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+    writer.json(path)
