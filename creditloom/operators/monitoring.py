@@ -129,6 +129,8 @@ def distribution_by_period(predictions: DataFrame, approximate: bool = False) ->
 
     Quartiles are exact with interpolation by default.  ``approximate`` trades that for a single pass.
     """
+    # The same filter on every branch keeps their exchanges interchangeable.
+    predictions = predictions.filter(F.col(DATE).isNotNull())
     p, quartiles = F.col(P), {"q25": 0.25, "median": 0.5, "q75": 0.75}
     moments = [
         F.count(p).alias("count"),

@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE = "__range"
+RANGE, GROUP = "__range", "__group"
 
 
 def range_cuts(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
@@ -43,11 +43,17 @@ def with_range(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
     bucketizer = Bucketizer(splits=splits, inputCol="__v", outputCol=RANGE, handleInvalid="keep")
     return (
         bucketizer.transform(df.withColumn("__v", F.col(value).cast("double")))
-        .withColumn(RANGE, F.col(RANGE).cast("int"))
+        # Declared as never missing, so that no filter is inferred and plans over the same ranges stay equal.
+        .withColumn(RANGE, F.coalesce(F.col(RANGE).cast("int"), F.lit(-1)))
         .drop("__v")
     )
 
 
+def _group(by: Sequence[str]) -> Column:
+    """The group as one never-missing value, so that a missing group value still joins with itself by equality."""
+    return F.struct(*by) if by else F.lit(0)
+
+
 def _before(by: Sequence[str], order: str):
     return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -101,15 +107,14 @@ def exact_quantiles(
     Only the ranges that hold a wanted rank are sorted.
     """
     by = list(by)
-    values = df.select(*by, F.col(value).cast("double").alias("__s")).filter("__s IS NOT NULL")
+    values = df.select(_group(by).alias(GROUP), F.col(value).cast("double").alias("__s")).filter("__s IS NOT NULL")
     cuts = range_cuts(values, "__s") if cuts is None else cuts
-    counts = with_range(values, "__s", cuts).groupBy(*by, RANGE, "__s").agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy(*by)
+    counts = with_range(values, "__s", cuts).groupBy(GROUP, RANGE, "__s").agg(F.count(F.lit(1)).alias("n"))
     per_range = (
-        counts.groupBy(*by, RANGE)
+        counts.groupBy(GROUP, RANGE)
         .agg(F.sum("n").alias("range_n"))
-        .withColumn("range_start", _sum_before("range_n", _before(by, RANGE)))
-        .withColumn("total", F.sum("range_n").over(whole))
+        .withColumn("range_start", _sum_before("range_n", _before([GROUP], RANGE)))
+        .withColumn("total", F.sum("range_n").over(Window.partitionBy(GROUP)))
     )
 
     def rank(point: float, neighbour) -> Column:
@@ -122,22 +127,23 @@ def exact_quantiles(
     hit = F.lit(False)
     for w in wanted:
         hit = hit | holds(F.col("range_start"), F.col("range_n"), w)
-    needed = counts.join(per_range.filter(hit).drop("range_n"), [*by, RANGE], "inner")
-    placed = needed.withColumn("start", F.col("range_start") + _sum_before("n", _before([*by, RANGE], "__s")))
+    needed = counts.join(per_range.filter(hit).drop("range_n"), [GROUP, RANGE], "inner")
+    placed = needed.withColumn("start", F.col("range_start") + _sum_before("n", _before([GROUP, RANGE], "__s")))
 
     picks = []
     for name, q in points.items():
         for side, neighbour in (("lo", F.floor), ("hi", F.ceil)):
             at = holds(F.col("start"), F.col("n"), rank(q, neighbour))
             picks.append(F.max(F.when(at, F.col("__s"))).alias(f"{name}__{side}"))
-    picked = placed.groupBy(*by).agg(F.max("total").alias("total"), *picks)
+    picked = placed.groupBy(GROUP).agg(F.max("total").alias("total"), *picks)
 
     def interpolate(name: str, q: float) -> Column:
         position = F.lit(q) * (F.col("total") - 1)
         low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
         return (low + (high - low) * (position - F.floor(position))).alias(name)
 
-    return picked.select(*by, *[interpolate(n, q) for n, q in points.items()])
+    groups = [F.col(f"{GROUP}.{c}") for c in by]
+    return picked.select(*groups, *[interpolate(n, q) for n, q in points.items()])
 
 
 def row_hash(*keys: str, seed: str | None = None) -> Column:
@@ -157,22 +163,23 @@ def hash_fraction(*keys: str, seed: str | None = None) -> Column:
 def hash_position(df: DataFrame, *keys: str, by: Sequence[str] = (), digits: int = 3) -> DataFrame:
     """Add ``position`` (from 0) and ``group_rows``: each row's place in a repeatable shuffled order of its group.
 
-    Rows are ordered by hash.  Hash prefixes spread any group evenly over 16**digits parts, each part is sorted by
-    itself, and the table of part sizes supplies the offsets.
+    Keys must identify rows.  Rows are ordered by hash.  Hash prefixes spread any group evenly over 16**digits parts,
+    each part is sorted by itself, and the table of part sizes supplies the offsets.
     """
-    by = list(by)
-    hashed = df.withColumn("__hash", row_hash(*keys)).withColumn(RANGE, F.substring("__hash", 1, digits))
-    sizes = hashed.groupBy(*by, RANGE).agg(F.count(F.lit(1)).alias("part_rows"))
+    hashed = df.withColumns({GROUP: _group(by), "__hash": row_hash(*keys)}).withColumn(
+        RANGE, F.substring("__hash", 1, digits)
+    )
+    sizes = hashed.groupBy(GROUP, RANGE).agg(F.count(F.lit(1)).alias("part_rows"))
     offsets = sizes.select(
-        *by,
+        GROUP,
         RANGE,
-        _sum_before("part_rows", _before(by, RANGE)).alias("part_start"),
-        F.sum("part_rows").over(Window.partitionBy(*by)).alias("group_rows"),
+        _sum_before("part_rows", _before([GROUP], RANGE)).alias("part_start"),
+        F.sum("part_rows").over(Window.partitionBy(GROUP)).alias("group_rows"),
     )
-    inside = F.row_number().over(Window.partitionBy(*by, RANGE).orderBy("__hash", *keys)) - 1
+    inside = F.row_number().over(Window.partitionBy(GROUP, RANGE).orderBy("__hash", *keys)) - 1
     return (
         hashed.withColumn("__inside", inside)
-        .join(offsets, [*by, RANGE], "inner")
+        .join(offsets, [GROUP, RANGE], "inner")
         .withColumn("position", F.col("part_start") + F.col("__inside"))
-        .drop("__hash", RANGE, "__inside", "part_start")
+        .drop(GROUP, "__hash", RANGE, "__inside", "part_start")
     )

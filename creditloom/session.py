@@ -23,8 +23,9 @@ RUNTIME_CONF = {
     # HotSpot never compiles methods above 8000 bytes of bytecode; wide cleaning projections fused into one method would
     # run interpreted.  Beyond the limit Spark splits them by operator instead, which is about three times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # (Customer_ID, date) partitions may be reused by joins whose keys extend that pair.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Joins shuffle on all of their keys (Spark's default, pinned): reusing a coarser partitioning would gather a whole
+    # group, however large, in one task where these plans spread it over value ranges.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
 

@@ -140,3 +140,11 @@ def test_pooled_moments(spark):
     assert row["mean"] == pytest.approx(p.mean()) and row["std"] == pytest.approx(p.std())
     assert row["n"] == 200 and row["scored"] == 199
     assert row["std_of_daily_means"] == pytest.approx(pdf.groupby("snapshot_date").prediction_probability.mean().std())
+
+
+def test_missing_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(k, None if k % 2 else "a", k / 10) for k in range(20)], "k int, g string, s double")
+    placed = order_stats.hash_position(df, "k", by=["g"])
+    assert placed.count() == 20
+    medians = {r["g"]: r["m"] for r in order_stats.exact_quantiles(df, "s", {"m": 0.5}, ["g"]).collect()}
+    assert medians == {"a": pytest.approx(0.9), None: pytest.approx(1.0)}
