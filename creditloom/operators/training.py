@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.operators import order_stats
+from creditloom.operators.governance import best_model
 from creditloom.operators.inference import with_probability
 from creditloom.operators.ledger import base_rates
 
@@ -113,15 +114,23 @@ def fit_models(estimators: Mapping[str, Callable[[], Estimator]], train: DataFra
     return models
 
 
-def compare_models(models: Mapping[str, PipelineModel], df: DataFrame, by: Sequence[str] = ("split",)) -> DataFrame:
-    """AUC and Gini of every model on every split, in one aggregation over all scores."""
+def compare_models(
+    models: Mapping[str, PipelineModel],
+    df: DataFrame,
+    by: Sequence[str] = ("split",),
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+) -> DataFrame:
+    """AUC and Gini of every model on every split, in one aggregation over all scores.
+
+    The scores are read twice (for cut points, then for ranks); ``stage(df, name)`` may store them in between, so that
+    scoring itself happens once.
+    """
     scored = [
         with_probability(model, df).select(F.lit(name).alias("model_name"), *by, LABEL, "model_predictions")
         for name, model in models.items()
     ]
-    return order_stats.auc(
-        reduce(DataFrame.unionByName, scored), "model_predictions", LABEL, by=["model_name", *by]
-    )
+    scores = stage(reduce(DataFrame.unionByName, scored), "scores")
+    return order_stats.auc(scores, "model_predictions", LABEL, by=["model_name", *by])
 
 
 # --- random search ----------------------------------------------------------------------------------------------
@@ -181,6 +190,37 @@ def search_results(spark: SparkSession, search: CrossValidatorModel) -> DataFram
     return spark.createDataFrame(points, "draw int, parameters string, cv_auc double")
 
 
+def search_models(
+    searches: Mapping[str, tuple[Estimator, Mapping[str, Sequence]]],
+    train: DataFrame,
+    df: DataFrame,
+    keys: Sequence[str],
+    split: str = "split",
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    **options,
+) -> tuple[dict[str, PipelineModel], DataFrame]:
+    """Random search per learner, then one row per learner: best parameters, cross-validated AUC, AUC and Gini per
+    split, and whether it has the best out-of-time AUC."""
+    models, found = {}, []
+    for name, (estimator, space) in searches.items():
+        search = random_search(estimator, space, train, keys, **options)
+        at = max(range(len(search.avgMetrics)), key=lambda k: search.avgMetrics[k])
+        best = {p.name: v for p, v in search.getEstimatorParamMaps()[at].items()}
+        models[name] = search.bestModel
+        found.append((name, json.dumps(best, sort_keys=True), float(search.avgMetrics[at])))
+    cv = train.sparkSession.createDataFrame(found, "model_name string, best_parameters string, cv_auc double")
+    quality = compare_models(models, df, [split], stage)
+    wide = quality.groupBy("model_name").agg(
+        *[
+            F.max(F.when(F.col(split) == part, F.col(measure))).alias(f"{part}_{measure}")
+            for measure in ("auc", "gini")
+            for part in ("train", "test", "oot")
+        ]
+    )
+    best = best_model(wide.select("model_name", F.col("oot_auc").alias("auc"))).select("model_name").scalar()
+    return models, cv.join(wide, "model_name").withColumn("selected", F.col("model_name") == best)
+
+
 # --- model bank -------------------------------------------------------------------------------------------------
 
 

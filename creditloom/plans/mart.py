@@ -50,13 +50,20 @@ def build_bronze(mart: Mart, sources: Mapping[str, str], only: str | None = None
     return ingest.ingest_bronze(mart.spark, sources, mart.path("bronze"), only)
 
 
-def build_silver(mart: Mart, names: Sequence[str] = tuple(CLEANERS), start: str | None = None, end: str | None = None) -> None:
+def build_silver(
+    mart: Mart,
+    names: Sequence[str] = tuple(CLEANERS),
+    start: str | None = None,
+    end: str | None = None,
+    single_precision_ledger: bool = False,
+) -> None:
     """Clean whole sources, or only the snapshots between two dates (a back-fill of that range in one job)."""
+    cleaners = CLEANERS | ({"loans": silver.clean_loans_single_precision} if single_precision_ledger else {})
     for name in names:
         bronze = mart.read("bronze", name)
         if start is not None and end is not None:
             bronze = scans.snapshot_range(bronze, start, end)
-        sinks.write_snapshots(CLEANERS[name](bronze), mart.path("silver", name))
+        sinks.write_snapshots(cleaners[name](bronze), mart.path("silver", name))
 
 
 def build_labels(mart: Mart, dpd: int = 30, mob: int = 3) -> None:
@@ -115,11 +122,12 @@ def train(
         "boosted_trees": lambda: training.boosted(columns, rounds=rounds, validation="is_validation"),
     }
     models = training.fit_models({name: makers[name] for name in learners}, known)
-    quality = training.compare_models(models, table)
+    folder = session.scratch_dir(mart.spark, "scores")
+    quality = training.compare_models(models, table, stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"))
     best = governance.best_model(quality.filter("split = 'oot'")).first()
     name = best["model_name"] if best else next(iter(models))
     version = f"credit_model_{train_date:%Y_%m_%d}"
-    scored = inference.with_probability(models[name], table)
+    scored = sinks.materialise(inference.with_probability(models[name], table).drop(*columns), f"{folder}/best")
     row = training.registry_row(
         scored, version, train_date, columns, {"learner": name, "rounds": rounds}, period="feature_snapshot_date"
     ).withColumn("model_file", F.lit(f"credit_model_{train_date:%Y%m%d}.pkl"))

@@ -594,6 +594,7 @@ oracle(
     "bronze_reconcile",
     "SELECT Customer_ID, event_id, snapshot_date, p AS prediction_probability, c AS prediction_class FROM preds",
 )
+oracle("slice_union", "SELECT * FROM in_clickstream")
 oracle(
     "snapshot_overwrite",
     "SELECT *, CASE WHEN snapshot_date >= DATE '2024-01-16' THEN 2 ELSE 1 END AS run FROM in_predictions",

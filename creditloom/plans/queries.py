@@ -76,6 +76,12 @@ def day(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
+def staged(i: Inputs):
+    """Store intermediate results under a fresh scratch folder."""
+    folder = i.scratch("stage")
+    return lambda df, name: sinks.materialise(df, f"{folder}/{name}")
+
+
 # --- ledger -----------------------------------------------------------------------------------------------------
 
 
@@ -319,13 +325,8 @@ def repeated_keys(i):
 
 @query
 def feature_store(i):
-    folder = i.scratch("gold")
     store = features.feature_store(
-        silver_statements(i),
-        silver_people(i),
-        i.clickstream_m,
-        silver_ledger(i),
-        stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"),
+        silver_statements(i), silver_people(i), i.clickstream_m, silver_ledger(i), stage=staged(i)
     )
     encoded = [c for c in store.columns if c.endswith("_vec")]
     shown = store.withColumns({c.replace("_vec", "_slot"): _slot(c) for c in encoded}).drop(*encoded)
@@ -491,7 +492,8 @@ def governed(i: Inputs) -> DataFrame:
     """Rules per snapshot date.  The rating of a date comes from its predictions' AUC over three equal parts."""
     drifted = monitoring.drift_by_period(profile(i))
     parts = splits.equal_parts(stored_predictions(i), ROW_KEYS, by=["snapshot_date"])
-    part_auc = order_stats.auc(parts, monitoring.P, "label", by=["snapshot_date", "part"])
+    cuts = order_stats.range_cuts(stored_predictions(i), monitoring.P)
+    part_auc = order_stats.auc(parts, monitoring.P, "label", by=["snapshot_date", "part"], cuts=cuts)
     rating = monitoring.oot_stability(part_auc, by=["snapshot_date"]).select(
         "snapshot_date",
         F.col("stability_rating").alias("oot_rating"),
@@ -675,6 +677,13 @@ def bronze_reconcile(i):
     return stores.read_predictions(i.spark, [f"{root}/old.parquet", f"{root}/new.parquet"])
 
 
+@query
+def slice_union(i):
+    """Slices of an older and a newer schema as one table; absent columns are missing values."""
+    older = i.clickstream.filter("fe_3 IS NULL").drop("fe_3")
+    return scans.union_slices([older, i.clickstream.filter("fe_3 IS NOT NULL")])
+
+
 @query
 def snapshot_overwrite(i):
     """All snapshots, then a re-run of the later ones: only those are replaced."""
@@ -752,7 +761,7 @@ def train_rows(i: Inputs) -> DataFrame:
 
 
 def fit_and_compare(i: Inputs, name: str, make) -> DataFrame:
-    return training.compare_models(training.fit_models({name: make}, train_rows(i)), vectors(i))
+    return training.compare_models(training.fit_models({name: make}, train_rows(i)), vectors(i), stage=staged(i))
 
 
 def quick_logistic(i: Inputs):
@@ -777,7 +786,7 @@ def quick_boosted(rounds: int = 15, **options):
 def train_gbt(i):
     marked = training.with_validation(train_rows(i), ["Customer_ID"])
     models = training.fit_models({"boosted_trees": lambda: quick_boosted(validation="is_validation")}, marked)
-    return training.compare_models(models, vectors(i))
+    return training.compare_models(models, vectors(i), stage=staged(i))
 
 
 @query
@@ -803,11 +812,24 @@ def model_comparison(i):
         },
         train_rows(i),
     )
-    table = training.compare_models(models, vectors(i))
+    table = training.compare_models(models, vectors(i), stage=staged(i))
     best = governance.best_model(table.filter("split = 'oot'")).select("model_name").scalar()
     return table.withColumn("selected", F.col("model_name") == best)
 
 
+@query
+def search_comparison(i):
+    """Random search for two learners, compared over all splits."""
+    searches = {
+        "boosted_trees": (quick_boosted(), {"maxIter": [5, 10], "maxDepth": [2, 3], "stepSize": [0.01, 0.1]}),
+        "random_forest": (training.forest(["embedding_vec"]), {"numTrees": [10, 20], "maxDepth": [2, 4]}),
+    }
+    _, table = training.search_models(
+        searches, train_rows(i), vectors(i), ["Customer_ID"], stage=staged(i), draws=2, folds=2
+    )
+    return table
+
+
 @query
 def model_registry(i):
     """Registry row of a trained model, stored next to the model and validated after reading it back."""
@@ -864,7 +886,7 @@ def credit_model_by_split(i):
     split = splits.time_split(table, day("1998-09-01"), history_months=36)
     rows = scaling.align_features(split, ["fe_1", "fe_2", "fe_3"], keep=["Customer_ID", "split", "label"])
     model = credit_model(i)
-    return training.compare_models({"logistic_regression": model}, rows)
+    return training.compare_models({"logistic_regression": model}, rows, stage=staged(i))
 
 
 @query

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,11 @@ def snapshot_dates(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
     return df.select(column).distinct()
 
 
+def union_slices(slices: Sequence[DataFrame]) -> DataFrame:
+    """All rows of all slices, columns matched by name; a column some slices lack is NULL there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), slices)
+
+
 def row_audit(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
     """Rows per snapshot."""
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
