@@ -140,7 +140,7 @@ def distribution_by_period(predictions: DataFrame, approximate: bool = False) ->
         F.max(p).alias("max"),
     ]
     if approximate:
-        sketches = [F.percentile_approx(p, q, 100_000).alias(name) for name, q in quartiles.items()]
+        sketches = [F.percentile_approx(p, q, 10_000).alias(name) for name, q in quartiles.items()]
         full = predictions.groupBy(DATE).agg(*moments, *sketches)
     else:
         ranks = order_stats.exact_quantiles(predictions, P, quartiles, by=[DATE])

@@ -148,3 +148,20 @@ def test_missing_groups_keep_their_rows(spark):
     assert placed.count() == 20
     medians = {r["g"]: r["m"] for r in order_stats.exact_quantiles(df, "s", {"m": 0.5}, ["g"]).collect()}
     assert medians == {"a": pytest.approx(0.9), None: pytest.approx(1.0)}
+
+
+@pytest.mark.parametrize("groups", [1, 2, 5])
+def test_grouped_sketches_stay_within_their_error(spark, groups):
+    """Partitions of very different size and content; the last column is all missing."""
+    df = (
+        spark.range(0, 20_000, 1, 7)
+        .withColumn("v", F.when(F.col("id") < 9_000, F.lit(0.5)).otherwise(F.sqrt(F.col("id").cast("double"))))
+        .withColumn("none", F.lit(None).cast("double"))
+    )
+    shares = [0.01, 0.25, 0.5, 0.95]
+    row = order_stats.quantile_sketch(df, {"v": shares, "none": [0.5]}, 20_000, groups).first()
+    values = np.sort(df.toPandas().v.to_numpy())
+    for q, got in zip(shares, row["v"]):
+        low, high = np.searchsorted(values, got, "left") / len(values), np.searchsorted(values, got, "right") / len(values)
+        assert low - 0.003 <= q <= high + 0.003
+    assert not row["none"] or row["none"] == [None]
