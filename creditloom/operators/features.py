@@ -8,7 +8,9 @@ subquery: no collect, no cross join.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
@@ -198,15 +200,19 @@ def feature_store(
     ``sinks.materialise``, so that cleaning and matching run a single time.
     """
     labels = stage(ledger.label_store(loans, dpd, mob), "labels")
+    sources = {
+        "financials": (financials, financial_features),
+        "attributes": (attributes, attribute_features),
+        "clicks": (clicks, click_features),
+    }
 
-    def matched(source: DataFrame, name: str) -> DataFrame:
-        return stage(joins.offset_join(source, labels, mob), name)
+    def build(name: str) -> DataFrame:
+        source, process = sources[name]
+        return process(stage(joins.offset_join(source, labels, mob), name))
 
-    parts = [
-        financial_features(matched(financials, "financials")),
-        attribute_features(matched(attributes, "attributes")),
-        click_features(matched(clicks, "clicks")),
-    ]
+    # The sources do not depend on each other; their jobs share the cluster instead of queueing.
+    with ThreadPoolExecutor(len(sources)) as pool:
+        parts = list(pool.map(inheritable_thread_target(financials.sparkSession)(build), sources))
     joined = parts[0]
     for part in parts[1:]:
         joined = joined.join(part, SLICE, "inner")
