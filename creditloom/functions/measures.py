@@ -19,12 +19,13 @@ def share(condition: Column) -> Column:
 
 
 def stable_round(column: Column, digits: int = 4) -> Column:
-    """Half-even rounding, the rule of stored reports."""
-    return F.bround(column, digits)
+    """Half-even rounding, the rule of stored reports.  A first rounding six digits further keeps noise in the last
+    bits, which depends on summation order, from deciding a tie."""
+    return F.bround(F.round(column, digits + 6), digits)
 
 
 def gini(auc: Column) -> Column:
-    return F.bround(2 * auc - 1, 3)
+    return stable_round(2 * auc - 1, 3)
 
 
 def positive_class(probability: Column, cut: float = 0.5) -> Column:

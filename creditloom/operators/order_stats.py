@@ -15,6 +15,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditloom.functions.measures import gini
+
 RANGE, GROUP = "__range", "__group"
 
 
@@ -132,7 +134,7 @@ def auc(
             F.sum("neg").cast("bigint").alias("negatives"),
             F.try_divide(area, F.sum("pos") * F.sum("neg")).alias("auc"),
         )
-        .withColumn("gini", F.bround(2 * F.col("auc") - 1, 3))
+        .withColumn("gini", gini(F.col("auc")))
     )
 
 

@@ -331,14 +331,14 @@ oracle(
 PARTS["preds"] = """SELECT Customer_ID, event_id, snapshot_date, model_predictions AS p, CAST(model_predictions > 0.5 AS INT) AS c, label FROM in_predictions"""
 oracle(
     "performance_trend",
-    """SELECT snapshot_date, round_even(avg(p), 4) AS avg_probability, round_even(stddev_samp(p), 4) AS std_probability,
-  count(p) AS prediction_count, round_even(avg(c), 4) AS positive_rate FROM preds GROUP BY snapshot_date""",
+    """SELECT snapshot_date, round_even(round((avg(p)) * 10000, 4), 0) / 10000 AS avg_probability, round_even(round((stddev_samp(p)) * 10000, 4), 0) / 10000 AS std_probability,
+  count(p) AS prediction_count, round_even(round((avg(c)) * 10000, 4), 0) / 10000 AS positive_rate FROM preds GROUP BY snapshot_date""",
 )
 oracle(
     "distribution_by_period",
-    """SELECT snapshot_date, count(p) AS count, round_even(avg(p), 4) AS mean, round_even(stddev_samp(p), 4) AS std, round_even(min(p), 4) AS min,
-  round_even(max(p), 4) AS max, round_even(quantile_cont(p, 0.25), 4) AS q25, round_even(quantile_cont(p, 0.5), 4) AS median,
-  round_even(quantile_cont(p, 0.75), 4) AS q75 FROM preds GROUP BY snapshot_date""",
+    """SELECT snapshot_date, count(p) AS count, round_even(round((avg(p)) * 10000, 4), 0) / 10000 AS mean, round_even(round((stddev_samp(p)) * 10000, 4), 0) / 10000 AS std, round_even(round((min(p)) * 10000, 4), 0) / 10000 AS min,
+  round_even(round((max(p)) * 10000, 4), 0) / 10000 AS max, round_even(round((quantile_cont(p, 0.25)) * 10000, 4), 0) / 10000 AS q25, round_even(round((quantile_cont(p, 0.5)) * 10000, 4), 0) / 10000 AS median,
+  round_even(round((quantile_cont(p, 0.75)) * 10000, 4), 0) / 10000 AS q75 FROM preds GROUP BY snapshot_date""",
 )
 
 
@@ -346,23 +346,23 @@ def _share(condition: str) -> str:
     return f"avg(CASE WHEN {condition} THEN 1.0::DOUBLE ELSE 0 END)"
 
 
-_CV = "round_even(stddev_samp(p) / avg(p), 4)"
+_CV = "round_even(round((stddev_samp(p) / avg(p)) * 10000, 4), 0) / 10000"
 oracle(
     "prediction_concentration",
     f"""SELECT {_CV} AS overall_coefficient_of_variation, round({_share("p < 0.1")}, 6) AS below_0_1,
   round({_share("p >= 0.1 AND p < 0.5")}, 6) AS between_0_1_0_5, round({_share("p >= 0.5")}, 6) AS above_0_5 FROM preds""",
 )
-_CONSISTENCY = "(SELECT round_even(1 / (1 + stddev_samp(m)), 4) FROM (SELECT avg(p) AS m FROM preds GROUP BY snapshot_date) d)"
+_CONSISTENCY = "(SELECT round_even(round((1 / (1 + stddev_samp(m))) * 10000, 4), 0) / 10000 FROM (SELECT avg(p) AS m FROM preds GROUP BY snapshot_date) d)"
 oracle(
     "confidence_metrics",
-    f"""SELECT round_even({_share("p < 0.2 OR p > 0.8")}, 4) AS high_confidence_predictions,
-  round_even({_share("p >= 0.2 AND p <= 0.8")}, 4) AS medium_confidence_predictions, {_CONSISTENCY} AS temporal_consistency,
-  round_even(avg(p), 4) AS average_prediction_confidence, round_even(stddev_samp(p), 4) AS confidence_std FROM preds""",
+    f"""SELECT round_even(round(({_share("p < 0.2 OR p > 0.8")}) * 10000, 4), 0) / 10000 AS high_confidence_predictions,
+  round_even(round(({_share("p >= 0.2 AND p <= 0.8")}) * 10000, 4), 0) / 10000 AS medium_confidence_predictions, {_CONSISTENCY} AS temporal_consistency,
+  round_even(round((avg(p)) * 10000, 4), 0) / 10000 AS average_prediction_confidence, round_even(round((stddev_samp(p)) * 10000, 4), 0) / 10000 AS confidence_std FROM preds""",
 )
 oracle(
     "stability_metrics",
-    f"""SELECT round_even(avg(p), 4) AS overall_mean, round_even(stddev_samp(p), 4) AS overall_std, count(*) AS prediction_count,
-  round_even(avg(c), 4) AS positive_prediction_rate, {_CV} AS coefficient_of_variation, {_CV} < 0.5 AS is_stable FROM preds""",
+    f"""SELECT round_even(round((avg(p)) * 10000, 4), 0) / 10000 AS overall_mean, round_even(round((stddev_samp(p)) * 10000, 4), 0) / 10000 AS overall_std, count(*) AS prediction_count,
+  round_even(round((avg(c)) * 10000, 4), 0) / 10000 AS positive_prediction_rate, {_CV} AS coefficient_of_variation, {_CV} < 0.5 AS is_stable FROM preds""",
 )
 oracle(
     "monitoring_period",
@@ -379,9 +379,9 @@ PARTS["drifts"] = """SELECT avg(p) FILTER (early) AS em, stddev_samp(p) FILTER (
   stddev_samp(p) FILTER (NOT early) AS rs FROM halves"""
 oracle(
     "drift_detection",
-    """SELECT abs(rm - em) > 0.1 OR abs(rs - es) > 0.1 AS drift_detected, round_even(abs(rm - em), 4) AS mean_difference,
-  round_even(abs(rs - es), 4) AS std_difference, 0.1::DOUBLE AS drift_threshold, round_even(em, 4) AS early_mean, round_even(es, 4) AS early_std,
-  round_even(rm, 4) AS recent_mean, round_even(rs, 4) AS recent_std FROM drifts""",
+    """SELECT abs(rm - em) > 0.1 OR abs(rs - es) > 0.1 AS drift_detected, round_even(round((abs(rm - em)) * 10000, 4), 0) / 10000 AS mean_difference,
+  round_even(round((abs(rs - es)) * 10000, 4), 0) / 10000 AS std_difference, 0.1::DOUBLE AS drift_threshold, round_even(round((em) * 10000, 4), 0) / 10000 AS early_mean, round_even(round((es) * 10000, 4), 0) / 10000 AS early_std,
+  round_even(round((rm) * 10000, 4), 0) / 10000 AS recent_mean, round_even(round((rs) * 10000, 4), 0) / 10000 AS recent_std FROM drifts""",
 )
 oracle(
     "confidence_histogram",
@@ -400,7 +400,7 @@ FROM (SELECT {keys}{label} AS y, rank() OVER ({over} ORDER BY {score}) + (count(
 {f"GROUP BY {by}" if by else ""}"""
 
 
-_GINI = "round_even(2 * auc - 1, 3) AS gini"
+_GINI = "round_even(round((2 * auc - 1) * 1000, 5), 0) / 1000 AS gini"
 PARTS["day_auc"] = _auc("preds", "snapshot_date", "p", "label")
 oracle("auc_gini_by_period", f"SELECT snapshot_date, positives, negatives, round(auc, 6) AS auc, {_GINI} FROM day_auc")
 oracle("average_period_auc", "SELECT count(auc) AS periods, round(avg(auc), 6) AS oot_avg FROM day_auc")
@@ -472,9 +472,9 @@ def _governed(source: str, carried: str) -> str:
 
 
 PARTS["run_stability"] = _stability("(SELECT 1 AS one, auc FROM day_auc) a", "one")
-PARTS["run_row"] = f"""SELECT abs(rm - em) > 0.1 OR abs(rs - es) > 0.1 AS drift, round_even(abs(rm - em), 4) AS diff, x.*,
-  (SELECT rating FROM run_stability) AS rating FROM drifts, (SELECT {_CV} AS cv, {_CV} < 0.5 AS stable, count(*) AS n, round_even(avg(c), 4) AS pos,
-  round_even(avg(p), 4) AS confidence, {_CONSISTENCY} AS consistency FROM preds) x"""
+PARTS["run_row"] = f"""SELECT abs(rm - em) > 0.1 OR abs(rs - es) > 0.1 AS drift, round_even(round((abs(rm - em)) * 10000, 4), 0) / 10000 AS diff, x.*,
+  (SELECT rating FROM run_stability) AS rating FROM drifts, (SELECT {_CV} AS cv, {_CV} < 0.5 AS stable, count(*) AS n, round_even(round((avg(c)) * 10000, 4), 0) / 10000 AS pos,
+  round_even(round((avg(p)) * 10000, 4), 0) / 10000 AS confidence, {_CONSISTENCY} AS consistency FROM preds) x"""
 PARTS["run_rules"] = _governed("run_row", "drift, diff, stable, n, pos, confidence, consistency, cv")
 _TRIGGERS = str(fixed.GOVERNANCE_BLOCKS["refresh_triggers"]).replace("'", "''")
 oracle(
@@ -489,8 +489,8 @@ PARTS["day_parts"] = f"""SELECT * FROM (SELECT *, CAST(floor((row_number() OVER
   / (count(*) OVER (PARTITION BY snapshot_date) // 3)) + 1 AS INT) AS part FROM preds) t WHERE part <= 3"""
 PARTS["part_auc"] = _auc("day_parts", "snapshot_date, part", "p", "label")
 PARTS["day_rating"] = _stability("part_auc", "snapshot_date")
-PARTS["day_metrics"] = """SELECT snapshot_date, coalesce(d, 0) > 0.01 AS drift, round_even(d, 4) * 10 AS diff, round_even(x.s / x.m, 4) < 0.5 AS stable,
-  round_even(x.s / x.m, 4) AS cv, n, round_even(pos, 4) AS pos, rating FROM day_drift x LEFT JOIN day_rating USING (snapshot_date)"""
+PARTS["day_metrics"] = """SELECT snapshot_date, coalesce(d, 0) > 0.01 AS drift, round_even(round((d) * 10000, 4), 0) / 10000 * 10 AS diff, round_even(round((x.s / x.m) * 10000, 4), 0) / 10000 < 0.5 AS stable,
+  round_even(round((x.s / x.m) * 10000, 4), 0) / 10000 AS cv, n, round_even(round((pos) * 10000, 4), 0) / 10000 AS pos, rating FROM day_drift x LEFT JOIN day_rating USING (snapshot_date)"""
 PARTS["day_rules"] = _governed("day_metrics", "snapshot_date")
 oracle("governance_rules", "SELECT * FROM day_rules")
 oracle(
@@ -583,7 +583,7 @@ oracle(
     f"""SELECT model_file, substr(model_file, 1, length(model_file) - 4) AS stem,
   try_strptime(nullif(regexp_extract(model_file, 'credit_model_(\\d{{8}})\\.pkl', 1), ''), '%Y%m%d')::DATE AS name_date,
   concat('credit_model_', strftime(model_date, '%Y_%m_%d')) AS model_version, {_RATING.format(cv="cv")} AS rating,
-  {_WORDS.format(r="(" + _RATING.format(cv="cv") + ")")} AS explanation, round_even(2 * auc - 1, 3) AS gini FROM in_registry""",
+  {_WORDS.format(r="(" + _RATING.format(cv="cv") + ")")} AS explanation, round_even(round((2 * auc - 1) * 1000, 5), 0) / 1000 AS gini FROM in_registry""",
 )
 
 # --- stores -----------------------------------------------------------------------------------------------------

@@ -499,7 +499,7 @@ def governed(i: Inputs) -> DataFrame:
         F.col("stability_rating").alias("oot_rating"),
         F.round("coefficient_of_variation", 4).alias("oot_cv"),
     )
-    cv = F.bround(F.try_divide("std", "mean"), 4)
+    cv = measures.stable_round(F.try_divide("std", "mean"))
     metrics = (
         profile(i)
         .join(drifted, "snapshot_date")
@@ -507,11 +507,11 @@ def governed(i: Inputs) -> DataFrame:
         .select(
             "snapshot_date",
             (F.coalesce("drift_score", F.lit(0.0)) > 0.01).alias("drift_detected"),
-            (F.bround("drift_score", 4) * 10).alias("mean_difference"),
+            (measures.stable_round(F.col("drift_score")) * 10).alias("mean_difference"),
             (cv < 0.5).alias("is_stable"),
             cv.alias("coefficient_of_variation"),
             F.col("n").alias("prediction_count"),
-            F.bround(F.try_divide("positives", "n"), 4).alias("positive_rate"),
+            measures.stable_round(F.try_divide("positives", "n")).alias("positive_rate"),
             "oot_rating",
             "oot_cv",
         )
