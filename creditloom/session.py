@@ -62,7 +62,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.partition("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = _local_root()
     return f"{root.rstrip('/')}/creditloom/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, *folders: str) -> None:
+    """Delete scratch folders through the file system they live on."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

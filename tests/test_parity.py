@@ -4,10 +4,10 @@ import pytest
 from tests.parity import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from creditloom.plans.oracles import ORACLES
+from creditloom.plans.queries import QUERIES
 from tests.conftest import SF_DIR
 
-ORACLES = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -15,20 +15,20 @@ def con():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, con, name):
-    assert differences(queries()[name](spark, SF_DIR), con, ORACLES[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == []
 
 
-MODEL_QUERIES = sorted(set(queries()) - set(ORACLES))
+MODEL_QUERIES = sorted(set(QUERIES) - set(ORACLES))
 
 
 @pytest.mark.parametrize("name", MODEL_QUERIES)
 def test_model_query_is_sane(spark, name):
-    rows = queries()[name](spark, SF_DIR).collect()
+    rows = QUERIES[name](spark, SF_DIR).collect()
     assert rows
     for row in rows:
         for column in ("auc", "cv_auc", "model_predictions"):
