@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import exact, urls
+from creditloom.llm import bpe, exact, simhash, tokens, urls
 from creditloom.llm.common import table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
 
@@ -19,6 +22,21 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word-shingle fingerprints link at two bits or fewer."""
+    return simhash.near_copies(table(spark, sf_dir, "documents"), width=3, radius=2).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of whole texts, and which documents exceed a context of 2048."""
+    counted = tokens.token_counts(table(spark, sf_dir, "documents"), WORD_BPE)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of whole texts; the row with the largest id stays."""
@@ -38,6 +56,18 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of whole texts and the text they decode to, as digests."""
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE), WORD_BPE)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every url judged by rules, then by the weighted vocabulary."""
