@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import bpe, exact, simhash, tokens, urls
+from creditloom.llm import bpe, exact, language, mixing, pii, simhash, tokens, toxicity, urls, vectors
 from creditloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -22,6 +22,13 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of whole texts; the threshold 0.3 decides."""
+    scored, _ = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 3-word-shingle fingerprints link at two bits or fewer."""
@@ -37,6 +44,21 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+@query
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors at cosine 0.95 or more, over all rows."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three quarters of all tokens, dealt to domains, languages and sources by weight, up to two epochs a leaf."""
+    return mixing.select_documents(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLES["op5_mixing"] = mixing.sql()
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of whole texts; the row with the largest id stays."""
@@ -56,6 +78,15 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with pseudonyms: how many values of each kind, and the digest of the new text."""
+    made = pii.pseudonymise(table(spark, sf_dir, "documents"))
+    kinds = [F.size(F.filter("found", pii.is_kind(kind))).alias(f"n_{kind}") for kind in pii.KINDS]
+    n_found = F.size("found").alias("n_found")
+    return made.select("doc_id", n_found, *kinds, F.sha2("text", 256).alias("text_sha256"))
+
+
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of whole texts and the text they decode to, as digests."""
@@ -68,6 +99,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of whole texts, learned from two thirds of the documents."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every url judged by rules, then by the weighted vocabulary."""
