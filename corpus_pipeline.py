@@ -18,7 +18,7 @@ MIX = mixing.Settings(budget=(9, 10), max_epochs=1)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a letter, and rows for which no language reaches even odds, go."""
+    """Rows without a letter, and rows in which nothing tells the languages apart, go."""
     prepare(spark)
     return language.drop_unidentified(docs)
 

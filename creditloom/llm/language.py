@@ -105,13 +105,14 @@ def fit(
     at = {lang: i for i, lang in enumerate(languages)}
 
     def table(rows) -> tuple[dict[str, int], np.ndarray]:
-        counts = np.full((len(rows), len(languages)), 0.5)
-        norms = np.ones((len(rows), len(languages)))
+        """Log frequencies; a language without the piece gets half an occurrence in the largest language's total, so
+        that a language with few documents is not favoured."""
+        shares = np.zeros((len(rows), len(languages)))
         for i, row in enumerate(rows):
+            shares[i] = 0.5 / max(totals[row.size_, lang] for lang in languages if (row.size_, lang) in totals)
             for lang, n in row.counts:
-                counts[i, at[lang]] += n
-            norms[i] = [totals.get((row.size_, lang), 0) + 1 for lang in languages]
-        return {r.piece: i for i, r in enumerate(rows)}, np.log(counts / norms)
+                shares[i, at[lang]] = n / totals[row.size_, lang]
+        return {r.piece: i for i, r in enumerate(rows)}, np.log(shares)
 
     pieces = pieces.withColumnRenamed("size", "size_")
     order = [F.desc("total"), F.col("piece")]
@@ -195,18 +196,19 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     )
 
 
-def drop_unidentified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """``docs`` without rows that have no language: no letter, or no language at least as likely as ``min_score``.
+def drop_unidentified(docs: DataFrame) -> DataFrame:
+    """``docs`` without rows that have no language: no letter, or nothing in the text that tells the languages apart.
 
     Judged inside one pass over the rows themselves, so all columns stay and nothing is joined.
     """
     fold = crc_mod(column(docs, "doc_id"), 3) == 1
     model = fit(docs.filter(~fold).select(F.col("doc_id").alias("key"), "text", F.col("lang").cast("string").alias("lang")))
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    chance = 1 / len(model.languages) + 1e-9 if len(model.languages) > 1 else 0.0
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         judged = [scorer.judge(text.as_py()) for text in batch.column("text")]
-        yield batch.filter(pa.array([lang != UNDETERMINED and score >= min_score for lang, score in judged]))
+        yield batch.filter(pa.array([lang != UNDETERMINED and score > chance for lang, score in judged]))
 
     return by_batch(docs, work, docs.schema)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
+import math
+import re
+from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import xxhash
 
 
@@ -44,3 +49,116 @@ def simhash_components(texts: dict, width: int = 3, radius: int = 2) -> dict:
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def vector_links(vectors: dict, threshold: float = 0.95) -> dict:
+    """id -> (n_links, component_id, kept) by comparing all pairs."""
+    usable = {
+        i: v for i, v in vectors.items() if v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+    }
+    sizes = Counter(len(v) for v in usable.values())
+    width = max(sizes, key=lambda n: (sizes[n], n), default=0)
+    usable = {i: np.array(v, float) for i, v in usable.items() if len(v) == width}
+    unit = {i: v / np.linalg.norm(v) for i, v in usable.items()}
+    linked = [(a, b) for a, b in combinations(unit, 2) if unit[a] @ unit[b] >= threshold]
+    counts = Counter(x for pair in linked for x in pair)
+    groups = components(vectors, linked)
+    return {i: (counts[i], groups[i], groups[i] == i) for i in vectors}
+
+
+def _hash(key, tag, step, value) -> bytes:
+    return hashlib.sha256(f"{key}:{tag}:{step}:{value}".encode()).digest()
+
+
+def feistel(left: int, right: int, a: int, b: int, key: str, tag: str) -> tuple[int, int]:
+    for step in range(8):
+        if step % 2 == 0:
+            left = (left + int(_hash(key, tag, step, right).hex()[:15], 16)) % a
+        else:
+            right = (right + int(_hash(key, tag, step, left).hex()[:15], 16)) % b
+    return left, right
+
+
+def feistel_digits(digits: str, key: str, tag: str) -> str:
+    half, rest = len(digits) // 2, len(digits) - len(digits) // 2
+    left, right = feistel(int(digits[:half]), int(digits[half:]), 10**half, 10**rest, key, tag)
+    return str(left).zfill(half) + str(right).zfill(rest)
+
+
+def luhn(digits: str) -> int:
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else 2 * d - 9 * (d > 4)
+    return total
+
+
+def put_back(value: str, digits: str) -> str:
+    new = iter(digits)
+    return "".join(next(new) if "0" <= c <= "9" else c for c in value)
+
+
+def pseudonym(value: str, key: str) -> tuple[str | None, str]:
+    """(kind, pseudonym); kind None for values that are not valid."""
+    digits = re.sub("[^0-9]", "", value)
+    if "@" in value:
+        name, _, host = value.rpartition("@")
+        left, right = name[: len(name) // 2], name[len(name) // 2 :]
+
+        def shifted(half: str, step: int, other: str) -> str:
+            out = []
+            for c, add in zip(half, _hash(key, "email", step, other)):
+                for first, n in (("0", 10), ("a", 26), ("A", 26)):
+                    if 0 <= ord(c) - ord(first) < n:
+                        c = chr(ord(first) + (ord(c) - ord(first) + add) % n)
+                        break
+                out.append(c)
+            return "".join(out)
+
+        for step in range(8):
+            if step % 2 == 0:
+                left = shifted(left, step, right)
+            else:
+                right = shifted(right, step, left)
+        return "email", f"{left}{right}@{host}"
+    if re.fullmatch(r"\d+\.\d+\.\d+\.\d+", value):
+        octets = value.split(".")
+        if any(int(o) > 255 or str(int(o)) != o for o in octets):
+            return None, value
+        a, b, c, d = map(int, octets)
+        left, right = feistel(a * 256 + b, c * 256 + d, 65536, 65536, key, "ip")
+        return "ip", f"{left // 256}.{left % 256}.{right // 256}.{right % 256}"
+    for pattern, form in ((r"\d{4}-\d\d-\d\d", "%Y-%m-%d"), (r"\d\d\.\d\d\.\d{4}", "%d.%m.%Y"), (r"\d\d/\d\d/\d{4}", "%m/%d/%Y")):
+        if re.fullmatch(pattern, value):
+            try:
+                day = (dt.datetime.strptime(value, form).date() - dt.date(1900, 1, 1)).days
+            except ValueError:
+                return None, value
+            if not 0 <= day < 270 * 270:
+                return None, value
+            left, right = feistel(day // 270, day % 270, 270, 270, key, "date")
+            return "date", (dt.date(1900, 1, 1) + dt.timedelta(left * 270 + right)).strftime(form)
+    if re.fullmatch(r"\d{3}-\d\d-\d{4}", value):
+        area, group, serial = int(digits[:3]), int(digits[3:5]), int(digits[5:])
+        if not (1 <= area <= 899 and area != 666 and group and serial):
+            return None, value
+        left, right = feistel((area - 1 - (area > 666)) * 99 + group - 1, serial - 1, 898 * 99, 9999, key, "ssn")
+        area = left // 99
+        return "ssn", f"{area + 1 + (area >= 665):03d}-{left % 99 + 1:02d}-{right + 1:04d}"
+    if re.fullmatch(r"(?:\+1[ -])?(?:\(\d{3}\) ?|\d{3}[ -])\d{3}-\d{4}", value):
+        return "phone", put_back(value, digits[:-10] + feistel_digits(digits[-10:], key, "phone"))
+    if luhn(digits) % 10:
+        return None, value
+    payload = feistel_digits(digits[:-1], key, "card")
+    return "card", put_back(value, payload + str(-luhn(payload + "0") % 10))
+
+
+def pseudonymised(text: str, pattern: str, key: str) -> tuple[str, list]:
+    found = []
+
+    def replace(match):
+        kind, new = pseudonym(match[0], key)
+        if kind:
+            found.append((kind, match[0], new))
+        return new
+
+    return re.sub(pattern, replace, text, flags=re.ASCII), found
