@@ -7,27 +7,25 @@ subquery: no collect, no cross join.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom import fixed_values as fixed
 from creditloom.functions import cleaning
 from creditloom.functions.measures import age_group, ratio
 from creditloom.operators import joins, ledger
-from creditloom.operators.order_stats import quantile_sketch
+from creditloom.operators.order_stats import order_statistics
 from creditloom.operators.silver import click_columns
+from creditloom.session import scratch_dir
+from creditloom.sources.sinks import materialise
 
-# Rank error of fitted quantiles is at most rows / QUANTILE_ACCURACY; the sketch's size depends on it, not on rows.
-# Stored results were fitted with an error of one in a hundred.
-QUANTILE_ACCURACY = 50_000
-MAX_CATEGORIES = 10_000
-STATS = "__stats"
+STATS, INDEX = "__stats", "__index"
 
 
 def attach(df: DataFrame, stats: DataFrame) -> DataFrame:
@@ -35,15 +33,13 @@ def attach(df: DataFrame, stats: DataFrame) -> DataFrame:
     return df.withColumn(STATS, stats.select(F.struct("*")).scalar())
 
 
-def fit_quantiles(
-    df: DataFrame, wanted: dict[str, tuple[str, float]], accuracy: int = QUANTILE_ACCURACY, groups: int | None = None
-) -> DataFrame:
+def fit_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:
     """One row with the named quantiles ``{name: (column, q)}``: the smallest value that has at least the share q of
-    the rows at or below it.  All columns share a single pass."""
+    the rows at or below it, exactly.  All columns share the passes."""
     shares: dict[str, list[float]] = {}
     for column, q in wanted.values():
         shares.setdefault(column, []).append(q)
-    row = quantile_sketch(df, shares, accuracy, groups)
+    row = order_statistics(df, shares)
     return row.select(*[F.col(c)[shares[c].index(q)].alias(name) for name, (c, q) in wanted.items()])
 
 
@@ -119,26 +115,60 @@ def financial_numbers(df: DataFrame, fitted: DataFrame | None = None) -> DataFra
 # --- encodings --------------------------------------------------------------------------------------------------
 
 
-def fit_encoder(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> PipelineModel:
-    """Index categories by descending frequency (ties alphabetical) and one-hot encode them; missing and unseen
-    values become the all-zero vector.
+@dataclass(frozen=True)
+class Encoder:
+    """Fitted category indexes: a stored table (name, value, index) and the number of categories per column."""
+
+    table: DataFrame
+    sizes: Mapping[str, int]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add a sparse one-hot vector ``<column>_vec`` per column; missing and unseen values become the zero vector.
+
+        The indexes are joined, so their number has no limit; Spark broadcasts them where they are small."""
+        columns, width = df.columns, {c: max(n + 1, 2) for c, n in self.sizes.items()}
+        for c, n in self.sizes.items():
+            index = self.table.filter(F.col("name") == c).select(F.col("value").alias(c), F.col("index").alias(INDEX))
+            nominal = {"ml_attr": {"type": "nominal", "num_vals": width[c]}}
+            place = F.coalesce(INDEX, F.lit(width[c] - 1)).cast("double").alias(f"{c}_idx", metadata=nominal)
+            df = df.join(index, c, "left").select(*columns, place)
+            columns = df.columns
+        encoder = OneHotEncoder(inputCols=[f"{c}_idx" for c in self.sizes], outputCols=[f"{c}_vec" for c in self.sizes])
+        return encoder.fit(df).transform(df)
+
+
+def fit_encoder(df: DataFrame, columns: Sequence[str]) -> Encoder:
+    """Index categories by descending frequency (ties alphabetical).
+
+    Categories are counted for all columns in one pass and numbered by their place in a range-partitioned order, so
+    neither the driver nor a single task ever holds them all."""
+    spark = df.sparkSession
+    entries = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]
+    counts = (
+        df.select(F.explode(F.array(*entries)).alias("e"))
+        .select("e.*")
+        .filter("value IS NOT NULL")
+        .groupBy("name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    order = ["name", F.desc("n"), "value"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = counts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Partition number and place within it, stored so that both stay what they are.
+    stored = materialise(
+        placed.select("name", "value", F.monotonically_increasing_id().alias("id")), scratch_dir(spark, "categories")
+    ).withColumn("part", F.shiftright("id", 33))
+    starts = stored.groupBy("name", "part").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("first"))
+    before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    table = stored.join(starts, ["name", "part"]).select(
+        "name", "value", (F.col("start") + F.col("id") - F.col("first")).alias("index")
+    )
+    found = {r["name"]: r["rows"] for r in stored.groupBy("name").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    return Encoder(table, {c: found.get(c, 0) for c in columns})
 
-    The category list lives on the driver, so its size is checked before it is fetched.
-    """
-    narrow = df.select(*columns)
-    sizes = narrow.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    for name in columns:
-        if sizes[name] > max_categories:
-            raise ValueError(f"{name} has about {sizes[name]} categories, more than {max_categories}")
-    index = [f"{c}_idx" for c in columns]
-    stages = [
-        StringIndexer(inputCols=list(columns), outputCols=index, handleInvalid="keep"),
-        OneHotEncoder(inputCols=index, outputCols=[f"{c}_vec" for c in columns]),
-    ]
-    return Pipeline(stages=stages).fit(narrow)
-
-
-def encode(df: DataFrame, columns: Sequence[str], encoder: PipelineModel | None = None) -> DataFrame:
+
+def encode(df: DataFrame, columns: Sequence[str], encoder: Encoder | None = None) -> DataFrame:
     """Replace category columns by their one-hot vectors."""
     encoder = fit_encoder(df, columns) if encoder is None else encoder
     return encoder.transform(df).drop(*columns, *[f"{c}_idx" for c in columns])
@@ -147,7 +177,7 @@ def encode(df: DataFrame, columns: Sequence[str], encoder: PipelineModel | None
 # --- the three sources ------------------------------------------------------------------------------------------
 
 
-def financial_features(df: DataFrame, fitted: DataFrame | None = None, encoder: PipelineModel | None = None) -> DataFrame:
+def financial_features(df: DataFrame, fitted: DataFrame | None = None, encoder: Encoder | None = None) -> DataFrame:
     if encoder is None:
         encoder = fit_encoder(complete_financials(df), fixed.FINANCIAL_CATEGORIES)
     return encode(financial_numbers(df, fitted), fixed.FINANCIAL_CATEGORIES, encoder)
@@ -164,7 +194,7 @@ def attribute_groups(df: DataFrame, missing_as_oldest: bool = True) -> DataFrame
     ).withColumn("Age_group", age_group(F.col("Age"), missing_as_oldest))
 
 
-def attribute_features(df: DataFrame, encoder: PipelineModel | None = None) -> DataFrame:
+def attribute_features(df: DataFrame, encoder: Encoder | None = None) -> DataFrame:
     return encode(attribute_groups(df), fixed.ATTRIBUTE_CATEGORIES, encoder)
 
 

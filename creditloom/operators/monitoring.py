@@ -187,7 +187,7 @@ def drift(
     keys: Sequence[str] = ("Customer_ID", P),
     threshold: float = fixed.DRIFT_THRESHOLD,
     profile: DataFrame | None = None,
-    digits: int = 3,
+    digits: int | None = None,
 ) -> DataFrame:
     """Mean and deviation of the older half of the rows against the newer half.
 
@@ -199,6 +199,7 @@ def drift(
     totals per hash prefix show which part; and only the rows of that part are ordered.  Equal rows travel as one row
     with a count, so repeated rows cannot swell the part.  Pass ``profile`` when it is computed anyway.
     """
+    digits = order_stats.hash_digits(predictions.count()) if digits is None else digits
     p, n, start, half = F.col("p"), F.col("n"), F.col("start"), F.col("half")
     # First and second moments are sums around a constant near the middle of the scale; any constant would do.
     off = p - 0.5

@@ -9,6 +9,7 @@ any other data of its size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -18,60 +19,96 @@ from pyspark.sql import functions as F
 from creditloom.functions.measures import gini
 
 RANGE, GROUP = "__range", "__group"
+ROWS_PER_PREFIX = 50_000
 
 
-def quantile_sketch(
-    df: DataFrame, wanted: dict[str, Sequence[float]], accuracy: int, groups: int | None = None
-) -> DataFrame:
-    """One row with a list of approximate quantiles for every column in ``wanted``: for each share q the smallest
-    value with at least q of the rows at or below it, off by at most rows / ``accuracy``.
+def _parallelism(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _default_ranges(df: DataFrame) -> int:
+    """Ranges follow the session's shuffle parallelism, so they get finer as clusters grow."""
+    return max(32, 4 * _parallelism(df))
+
 
-    A global sketch is merged by a single task, and every input task sends one.  On wide clusters the sketches are
-    therefore merged in ``groups`` parallel groups first; each group passes on evenly spaced quantiles weighted by its
-    rows, which adds at most a thousandth to the error.  Small sessions use one group.
+def _cuts(df: DataFrame, columns: Sequence[str], ranges: int) -> dict[str, list[float]]:
+    """Cut points per column from one pass of sketches; fewer than ``ranges`` numbers a column reach the driver."""
+    shares = [i / ranges for i in range(1, ranges)]
+    if not shares:
+        return {c: [] for c in columns}
+    numbers = {c: F.col(c).cast("double") for c in columns}
+    sketches = [
+        F.percentile_approx(F.when(~F.isnan(v), v), shares, 2 * ranges).alias(str(k))
+        for k, v in enumerate(numbers.values())
+    ]
+    row = df.agg(*sketches).first()
+    return {c: sorted(set(row[k] or [])) for k, c in enumerate(columns)}
+
+
+def order_statistics(df: DataFrame, wanted: dict[str, Sequence[float]], ranges: int | None = None) -> DataFrame:
+    """One row with a list of exact quantiles for every column in ``wanted``: for each share q the smallest value with
+    at least q of the column's rows at or below it.  NULLs are left out; a column without values gives NULLs.
+
+    Values are counted, then placed by range totals; only the ranges that hold a wanted rank are sorted.  All columns
+    share the pass that counts and the pass that finds cut points; neither partitioning nor settings change a result.
     """
-    columns = {c: F.col(c).cast("double").alias(c) for c in wanted}
-    if groups is None:
-        groups = _parallelism(df) // 64
-    if groups <= 1:
-        return df.select(*columns.values()).agg(
-            *[F.percentile_approx(c, list(q), accuracy).alias(c) for c, q in wanted.items()]
-        )
-    steps = 1000
-    grid = [k / steps for k in range(steps + 1)]
-    merged = (
-        # Which group a row joins does not matter, its input partition is as good as any.
-        df.select(*columns.values(), F.pmod(F.spark_partition_id(), F.lit(groups)).alias(GROUP))
-        .groupBy(GROUP)
-        .agg(
-            *[F.percentile_approx(c, grid, accuracy).alias(c) for c in wanted],
-            *[F.count(c).alias(f"{c}__n") for c in wanted],
-        )
+    names = list(wanted)
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    cuts = _cuts(numbers, names, _default_ranges(df) if ranges is None else ranges)
+    entries = [
+        F.struct(F.lit(c).alias("name"), _range_number(F.col(c), cuts[c]).alias(RANGE), F.col(c).alias("v")) for c in names
+    ]
+    long = numbers.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter("v IS NOT NULL")
+    counts = long.groupBy("name", RANGE, "v").agg(F.count(F.lit(1)).alias("n"))
+    per_range = (
+        counts.groupBy("name", RANGE)
+        .agg(F.sum("n").alias("range_n"))
+        .withColumn("range_start", _sum_before("range_n", _before(["name"], RANGE)))
+        .withColumn("total", F.sum("range_n").over(Window.partitionBy("name")))
+    )
+    shares = F.lit(None)
+    for c in names:
+        points = F.array(*[F.struct(F.lit(k).alias("at"), F.lit(float(q)).alias("q")) for k, q in enumerate(wanted[c])])
+        shares = F.when(F.col("name") == c, points).otherwise(shares)
+    # The first rank at or above the share, counted down from the total so that rounding of q * total cannot show.
+    rank = F.greatest(F.lit(1), F.col("total") - F.floor(F.col("total") - F.col("q") * F.col("total"))) - 1
+    needed = (
+        per_range.withColumn("share", F.explode(shares))
+        .select("name", RANGE, "range_start", "range_n", "total", "share.at", "share.q")
+        .select("name", RANGE, "at", "range_n", (rank - F.col("range_start")).alias("rank"))
+        .filter("rank >= 0 AND rank < range_n")
     )
-    points = merged.select("*", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("__k")).select(
-        *[F.col(c)[F.col("__k")].alias(c) for c in wanted], *[f"{c}__n" for c in wanted]
+    inside = counts.join(needed, ["name", RANGE]).withColumn("start", _sum_before("n", _before(["name", RANGE, "at"], "v")))
+    found = inside.filter("start <= rank AND rank < start + n")
+    return found.agg(
+        *[
+            F.array(*[F.max(F.when((F.col("name") == c) & (F.col("at") == k), F.col("v"))) for k in range(len(wanted[c]))]).alias(c)
+            for c in names
+        ]
     )
-    return points.agg(*[F.percentile(c, list(q), F.col(f"{c}__n")).alias(c) for c, q in wanted.items()])
 
 
-def _parallelism(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range_number(value: Column, cuts: Sequence[float]) -> Column:
+    """Number of cut points at or below the value, by halving; NaN counts as the largest value."""
+    if not cuts:
+        return F.lit(0)
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < cuts[middle], search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(cuts))
 
 
 def range_cuts(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
     """Cut points that split the rows into about ``ranges`` equal parts.
 
-    One pass; what reaches the driver is fewer than ``ranges`` numbers.  The default follows the session's shuffle
-    parallelism up to 4096, so ranges get finer as clusters grow.  Cut points only steer the work: any increasing list
-    gives the same results.
+    One pass; what reaches the driver is fewer than ``ranges`` numbers.  Cut points only steer the work: any
+    increasing list gives the same results.
     """
-    if ranges is None:
-        ranges = min(4096, max(32, 4 * _parallelism(df)))
-    shares = [i / ranges for i in range(1, ranges)]
-    if not shares:
-        return []
-    numbers = df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
-    return sorted(set(quantile_sketch(numbers, {"v": shares}, 2 * ranges).first()["v"] or []))
+    return _cuts(df, [value], _default_ranges(df) if ranges is None else ranges)[value]
 
 
 def with_range(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
@@ -199,12 +236,18 @@ def hash_fraction(*keys: str, seed: str | None = None) -> Column:
     return F.conv(F.substring(row_hash(*keys, seed=seed), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
-def hash_position(df: DataFrame, *keys: str, by: Sequence[str] = (), digits: int = 3) -> DataFrame:
+def hash_digits(rows: int) -> int:
+    """Length of a hash prefix that leaves about ``ROWS_PER_PREFIX`` rows to each, however many rows there are."""
+    return max(1, math.ceil(math.log(max(rows, 1) / ROWS_PER_PREFIX, 16)))
+
+
+def hash_position(df: DataFrame, *keys: str, by: Sequence[str] = (), digits: int | None = None) -> DataFrame:
     """Add ``position`` (from 0) and ``group_rows``: each row's place in a repeatable shuffled order of its group.
 
     Keys must identify rows.  Rows are ordered by hash.  Hash prefixes spread any group evenly over 16**digits parts,
-    each part is sorted by itself, and the table of part sizes supplies the offsets.
+    as many as the row count asks for; each part is sorted by itself, and the table of part sizes supplies the offsets.
     """
+    digits = hash_digits(df.count()) if digits is None else digits
     hashed = df.withColumns({GROUP: _group(by), "__hash": row_hash(*keys)}).withColumn(
         RANGE, F.substring("__hash", 1, digits)
     )

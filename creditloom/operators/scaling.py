@@ -70,6 +70,17 @@ def scale(df: DataFrame, columns: Sequence[str], fitted: DataFrame) -> DataFrame
     return attach(df, fitted).withColumns(scaled).drop(STATS)
 
 
+def scale_vectors(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
+    """Every entry of an array column scaled over its position, in long form (keys, dim, scaled); arrays may differ in
+    length.  Positions are few next to rows, so their statistics are a small joined table."""
+    entries = df.select(*keys, F.posexplode(F.col(vector)).alias("dim", "v")).withColumn("v", F.col("v").cast("double"))
+    deviation = F.stddev_pop("v")
+    stats = entries.groupBy("dim").agg(
+        F.avg("v").alias("mean"), F.when(deviation == 0, 1.0).otherwise(deviation).alias("scale")
+    )
+    return entries.join(stats, "dim").select(*keys, "dim", ((F.col("v") - F.col("mean")) / F.col("scale")).alias("scaled"))
+
+
 def model_matrix(df: DataFrame, numbers: Sequence[str], vectors: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``align_features`` that also carries encoded vectors along."""
     aligned = align_features(df, numbers, [*keep, *[v for v in vectors if v not in keep]])

@@ -256,13 +256,7 @@ def index_onehot(i):
 @query
 def standard_scale(i):
     """Every embedding dimension scaled, in long form."""
-    width = 64
-    names = [f"e_{k}" for k in range(width)]
-    wide = i.embeddings.select("vec_id", *[F.col("embedding")[k].cast("double").alias(n) for k, n in enumerate(names)])
-    scaled = scaling.scale(wide, names, scaling.fit_scaler(wide, names))
-    return scaled.select("vec_id", F.posexplode(F.array(*names)).alias("dim", "scaled")).withColumn(
-        "scaled", F.round("scaled", 5)
-    )
+    return rounded(scaling.scale_vectors(i.embeddings, ["vec_id"], "embedding"), "scaled", digits=5)
 
 
 @query

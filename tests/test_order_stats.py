@@ -150,18 +150,31 @@ def test_missing_groups_keep_their_rows(spark):
     assert medians == {"a": pytest.approx(0.9), None: pytest.approx(1.0)}
 
 
-@pytest.mark.parametrize("groups", [1, 2, 5])
-def test_grouped_sketches_stay_within_their_error(spark, groups):
-    """Partitions of very different size and content; the last column is all missing."""
+@pytest.mark.parametrize(("partitions", "shuffle"), [(1, 8), (16, 200), (64, 512)])
+def test_order_statistics_do_not_depend_on_settings(spark, partitions, shuffle):
+    """Values between rows never appear; ties, missing values, NaN and infinities keep their places."""
     df = (
-        spark.range(0, 20_000, 1, 7)
+        spark.range(20_000)
         .withColumn("v", F.when(F.col("id") < 9_000, F.lit(0.5)).otherwise(F.sqrt(F.col("id").cast("double"))))
+        .withColumn("w", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(-F.col("id").cast("double")))
+        .withColumn("x", F.expr("CASE id WHEN 1 THEN double('NaN') WHEN 2 THEN double('inf') ELSE id END"))
         .withColumn("none", F.lit(None).cast("double"))
+        .repartition(partitions)
     )
-    shares = [0.01, 0.25, 0.5, 0.95]
-    row = order_stats.quantile_sketch(df, {"v": shares, "none": [0.5]}, 20_000, groups).first()
-    values = np.sort(df.toPandas().v.to_numpy())
-    for q, got in zip(shares, row["v"]):
-        low, high = np.searchsorted(values, got, "left") / len(values), np.searchsorted(values, got, "right") / len(values)
-        assert low - 0.003 <= q <= high + 0.003
-    assert not row["none"] or row["none"] == [None]
+    shares = [0.0, 0.01, 0.07, 0.25, 0.5, 0.95, 1.0]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    try:
+        row = order_stats.order_statistics(df, {c: shares for c in ("v", "w", "x", "none")}).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    pdf = df.select("v", "w").toPandas()
+    for c in ("v", "w"):
+        values = np.sort(pdf[c].dropna().to_numpy())
+        ranks = [max(1, -(-len(values) * round(q * 100) // 100)) - 1 for q in shares]
+        assert row[c] == [values[k] for k in ranks]
+    assert row["x"][:2] == [0.0, 201.0] and np.isnan(row["x"][-1]) and row["none"] == [None] * len(shares)
+
+
+def test_hash_digits_follow_the_rows():
+    assert [order_stats.hash_digits(n) for n in (0, 1, 50_000, 900_000, 10**9, 10**13)] == [1, 1, 1, 2, 4, 7]

@@ -135,10 +135,18 @@ def test_onehot(spark):
     assert [r[0] for r in got] == [[1, 0], [0, 1], [1, 0], [0, 0]]
 
 
-def test_category_limit(spark):
-    df = column(spark, [str(k) for k in range(300)])
-    with pytest.raises(ValueError, match="categories"):
-        features.fit_encoder(df, ["v"], max_categories=100)
+def test_many_categories_and_unseen_values(spark):
+    df = spark.range(36_000).selectExpr("cast(id as int) k", "cast(id % 12000 as string) v").unionAll(
+        spark.range(5).selectExpr("cast(-id as int) k", "'7' v")
+    )
+    encoder = features.fit_encoder(df, ["v"])
+    assert encoder.sizes == {"v": 12_000}
+    indexes = encoder.table.select("index").collect()
+    assert sorted(r["index"] for r in indexes) == list(range(12_000))
+    slots = {r["value"]: r["index"] for r in encoder.table.filter("index < 3").collect()}
+    assert slots == {"7": 0, "0": 1, "1": 2}
+    unseen = features.encode(column(spark, ["7", "new", None]), ["v"], encoder).orderBy("k").collect()
+    assert [r["v_vec"].indices.tolist() for r in unseen] == [[0], [], []] and unseen[0]["v_vec"].size == 12_000
 
 
 def test_caps_keep_nulls_and_are_fitted_elsewhere(spark):
