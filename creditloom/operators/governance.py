@@ -73,7 +73,7 @@ def governance_rules() -> list[Rule]:
             {"action": "investigate_model_degradation", "monitoring": "enhanced_real_time_monitoring"},
         ),
         Rule(
-            unstable & (cv <= 1.0),
+            unstable & F.coalesce(cv <= 1.0, F.lit(True)),  # also where it is undefined
             "MEDIUM: Monitor model stability closely",
             {"action": "increase_monitoring_frequency"},
         ),
@@ -210,7 +210,7 @@ def retraining_decision(
     executions: DataFrame, registry: DataFrame, date: str = "execution_date", epoch: dt.date = EPOCH
 ) -> DataFrame:
     """``retrain`` or ``keep`` with a reason for every execution date."""
-    models = registry.agg(F.count(F.lit(1)).alias("n")).scalar()
+    models = pipeline_path(registry).select("models").scalar()
     known = previous_model(executions, registry, date)
     month = months_since(F.col(date), epoch)
     hits = F.filter(F.array(*[F.when(c, name) for name, c in breaches().items()]), lambda b: b.isNotNull())

@@ -59,10 +59,10 @@ def batch_inference(
 ) -> DataFrame:
     """Score every date of the calendar in one pass.
 
-    The calendar is broadcast: it holds one date per row, at most a few ten thousand for a century of days.
+    The calendar holds one date per row; Spark broadcasts it as long as its size allows.
     """
     dates = calendar.select(F.col(calendar.columns[0]).alias(date)).distinct()
-    return score(model, features.join(F.broadcast(dates), date, "left_semi"), model_name, date=date, **kw)
+    return score(model, features.join(dates, date, "left_semi"), model_name, date=date, **kw)
 
 
 def batch_summary(calendar: DataFrame, predictions: DataFrame, cut: float = 0.5) -> DataFrame:

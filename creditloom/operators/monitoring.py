@@ -93,14 +93,19 @@ def overall(profile: DataFrame) -> DataFrame:
 
 
 def stability_metrics(rolled: DataFrame) -> DataFrame:
-    """Overall mean, deviation, positive rate and coefficient of variation; stable below the fixed limit."""
+    """Overall mean, deviation, positive rate and coefficient of variation; stable below the fixed limit, unstable where
+    the coefficient is undefined."""
     return rolled.select(
         stable_round(F.col("mean")).alias("overall_mean"),
         stable_round(F.col("std")).alias("overall_std"),
         F.col("n").alias("prediction_count"),
         stable_round(F.try_divide("positives", "n")).alias("positive_prediction_rate"),
         stable_round(F.col("cv")).alias("coefficient_of_variation"),
-    ).withColumn("is_stable", F.col("coefficient_of_variation") < fixed.STABLE_BELOW_CV)
+    ).withColumn("is_stable", is_stable(F.col("coefficient_of_variation")))
+
+
+def is_stable(cv: Column) -> Column:
+    return F.coalesce(cv < fixed.STABLE_BELOW_CV, F.lit(False))
 
 
 def prediction_concentration(rolled: DataFrame) -> DataFrame:

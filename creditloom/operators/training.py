@@ -97,8 +97,10 @@ def with_validation(df: DataFrame, keys: Sequence[str], share: float = 0.1, name
 # --- fitting several models -------------------------------------------------------------------------------------
 
 
-def fit_models(estimators: Mapping[str, Callable[[], Estimator]], train: DataFrame) -> dict[str, PipelineModel]:
-    """Fit each model on the same rows; one that fails is reported and left out."""
+def fit_models(
+    estimators: Mapping[str, Callable[[], Estimator]], train: DataFrame, failed: dict[str, str] | None = None
+) -> dict[str, PipelineModel]:
+    """Fit each model on the same rows; one that fails is reported, noted in ``failed`` and left out."""
     models = {}
     train = train.persist()
     try:
@@ -107,6 +109,8 @@ def fit_models(estimators: Mapping[str, Callable[[], Estimator]], train: DataFra
                 models[name] = make().fit(train)
             except Exception as error:  # noqa: BLE001 - any learner may fail, the others go on
                 log.error("training %s failed: %s", name, error)
+                if failed is not None:
+                    failed[name] = str(error)
     finally:
         train.unpersist()
     if not models:
@@ -119,8 +123,10 @@ def compare_models(
     df: DataFrame,
     by: Sequence[str] = ("split",),
     stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    failed: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """AUC and Gini of every model on every split, in one aggregation over all scores.
+    """AUC and Gini of every model on every split, in one aggregation over all scores; each learner in ``failed`` has
+    a row without figures.
 
     The scores are read twice (for cut points, then for ranks); ``stage(df, name)`` may store them in between, so that
     scoring itself happens once.
@@ -130,7 +136,11 @@ def compare_models(
         for name, model in models.items()
     ]
     scores = stage(reduce(DataFrame.unionByName, scored), "scores")
-    return order_stats.auc(scores, "model_predictions", LABEL, by=["model_name", *by])
+    quality = order_stats.auc(scores, "model_predictions", LABEL, by=["model_name", *by])
+    if not failed:
+        return quality
+    missing = df.sparkSession.createDataFrame([(name,) for name in failed], "model_name string")
+    return quality.unionByName(missing, allowMissingColumns=True)
 
 
 # --- random search ----------------------------------------------------------------------------------------------
@@ -169,7 +179,7 @@ def random_search(
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=draw_grid(estimator, space, draws, seed),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
+        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0),
         numFolds=folds,
         foldCol="fold",
         parallelism=parallelism,
@@ -232,11 +242,13 @@ def registry_row(
     parameters: Mapping,
     split: str = "split",
     period: str | None = None,
+    oot: DataFrame | None = None,
 ) -> DataFrame:
     """Metadata of a trained model as one row: split sizes and base rates, AUC and Gini per split, and how evenly it
     performs over out-of-time periods when a ``period`` column is given.
 
-    ``scored`` holds label, model_predictions and the split.
+    ``scored`` holds label, model_predictions and the split; ``oot`` the out-of-time rows with their period, by default
+    those of ``scored``.
     """
     rates = base_rates(scored, split)
     quality = order_stats.auc(scored, "model_predictions", LABEL, by=[split])
@@ -248,7 +260,8 @@ def registry_row(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(split).alias("key"), entry.alias("value"))))).alias("splits")
     )
     if period is not None:
-        aucs = order_stats.auc(scored.filter(F.col(split) == "oot"), "model_predictions", LABEL, by=[period])
+        late = scored.filter(F.col(split) == "oot") if oot is None else oot
+        aucs = order_stats.auc(late, "model_predictions", LABEL, by=[period])
         spread = aucs.agg(F.avg("auc").alias("m"), F.stddev_pop("auc").alias("s")).select(
             F.struct("m", F.try_divide("s", "m").alias("cv"))
         )

@@ -7,6 +7,7 @@ at once; running it again for a snapshot replaces that snapshot.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from creditloom.operators import features, governance, inference, joins, ledger,
 from creditloom.plans.monitor import monitor
 from creditloom.sources import ingest, scans, sinks, stores
 
+log = logging.getLogger(__name__)
 CLEANERS = {
     "financials": silver.clean_financials,
     "attributes": silver.clean_attributes,
@@ -57,17 +59,20 @@ def build_silver(
     end: str | None = None,
     single_precision_ledger: bool = False,
 ) -> None:
-    """Clean whole sources, or only the snapshots between two dates (a back-fill of that range in one job)."""
+    """Clean whole sources, which replaces their tables, or only the snapshots between two dates, which replaces those
+    (a back-fill of that range in one job)."""
     cleaners = CLEANERS | ({"loans": silver.clean_loans_single_precision} if single_precision_ledger else {})
     for name in names:
         bronze = mart.read("bronze", name)
         if start is not None and end is not None:
             bronze = scans.snapshot_range(bronze, start, end)
-        sinks.write_snapshots(cleaners[name](bronze), mart.path("silver", name))
+        whole = start is None or end is None
+        sinks.write_snapshots(cleaners[name](bronze), mart.path("silver", name), rebuild=whole)
 
 
 def build_labels(mart: Mart, dpd: int = 30, mob: int = 3) -> None:
-    sinks.write_snapshots(ledger.label_store(mart.read("silver", "loans"), dpd, mob), mart.path("gold", "label_store"))
+    labels = ledger.label_store(mart.read("silver", "loans"), dpd, mob)
+    sinks.write_snapshots(labels, mart.path("gold", "label_store"), rebuild=True)
 
 
 def build_features(mart: Mart, dpd: int = 30, mob: int = 3) -> None:
@@ -78,7 +83,8 @@ def build_features(mart: Mart, dpd: int = 30, mob: int = 3) -> None:
         mob=mob,
         stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"),
     )
-    sinks.write_snapshots(store, mart.path("gold", "feature_store"), "feature_snapshot_date")
+    sinks.write_snapshots(store, mart.path("gold", "feature_store"), "feature_snapshot_date", rebuild=True)
+    session.remove(mart.spark, folder)
 
 
 def feature_store(mart: Mart) -> DataFrame:
@@ -96,7 +102,8 @@ def train(
 ) -> str:
     """Train the learners on what was known at ``train_date``, store the best by out-of-time AUC, return its version.
 
-    Feature dates before the out-of-time window are split 80/20 into train and test by customer and date.
+    Feature dates before the out-of-time window are split 80/20 into train and test, each label by itself; the
+    out-of-time rows are rated over three equal parts.  A learner that fails is reported and left out.
     """
     today = F.lit(train_date)
     store = feature_store(mart)
@@ -107,7 +114,9 @@ def train(
     )
     keys = ["Customer_ID", "feature_snapshot_date"]
     side = F.when(F.col("split") == "oot", "oot").otherwise(F.col("side"))
-    sided = splits.hash_split(dated.withColumnRenamed("split", "window"), keys).withColumnsRenamed({"split": "side", "window": "split"})
+    target = scaling.target_column(dated)
+    windowed = dated.withColumnRenamed(target, "label").withColumnRenamed("split", "window")
+    sided = splits.stratified_split(windowed, keys).withColumnsRenamed({"split": "side", "window": "split"})
     table = sinks.materialise(
         training.with_validation(
             scaling.model_matrix(sided.withColumn("split", side), numbers, vectors, [*keys, "split", "label"]), keys
@@ -128,8 +137,9 @@ def train(
     name = best["model_name"] if best else next(iter(models))
     version = f"credit_model_{train_date:%Y_%m_%d}"
     scored = sinks.materialise(inference.with_probability(models[name], table).drop(*columns), f"{folder}/best")
+    thirds = splits.equal_parts(scored.filter("split = 'oot'"), keys)
     row = training.registry_row(
-        scored, version, train_date, columns, {"learner": name, "rounds": rounds}, period="feature_snapshot_date"
+        scored, version, train_date, columns, {"learner": name, "rounds": rounds}, period="part", oot=thirds
     ).withColumn("model_file", F.lit(f"credit_model_{train_date:%Y%m%d}.pkl"))
     training.save_model(models[name], row, mart.bank, version)
     return version
@@ -138,11 +148,33 @@ def train(
 def registry(mart: Mart) -> DataFrame:
     """Model registry in the form the retraining rules read."""
     stored = mart.spark.read.parquet(f"{mart.bank}/registry")
+    versions = [r["model_version"] for r in stored.select("model_version").collect()]  # one row per model
+    readable = F.col("model_version").isin([v for v in versions if _readable(mart, v)])
     return stored.select(
-        "model_file", "model_date", F.col("oot_avg").alias("auc"), F.col("oot_cv").alias("cv"), F.lit(True).alias("readable")
+        "model_file", "model_date", F.col("oot_avg").alias("auc"), F.col("oot_cv").alias("cv"), readable.alias("readable")
     )
 
 
+def _readable(mart: Mart, version: str) -> bool:
+    try:
+        training.load_model(mart.bank, version)
+    except Exception as error:  # noqa: BLE001 - whatever keeps a model from loading makes it unreadable
+        log.warning("model %s cannot be read: %s", version, str(error)[:200])
+        return False
+    return True
+
+
+def retain(mart: Mart, keep: int = 3) -> DataFrame:
+    """Mark all but the newest ``keep`` models of the registry as archived and return the registry."""
+    path = f"{mart.bank}/registry"
+    stored = sinks.materialise(mart.spark.read.parquet(path), session.scratch_dir(mart.spark, "registry"))
+    judged = governance.retention(stored.select("model_version", "model_file"), keep)
+    status = F.when(F.col("kept") == "archived", "archived").otherwise("active")
+    rows = stored.drop("status").join(judged.select("model_version", F.col("status").alias("kept")), "model_version", "left")
+    sinks.write_snapshots(rows.withColumn("status", status).drop("kept"), path, "model_version")
+    return mart.spark.read.parquet(path)
+
+
 def _matrix(mart: Mart, version: str) -> tuple[PipelineModel, DataFrame]:
     row = inference.validate_registry(mart.spark.read.parquet(f"{mart.bank}/registry")).filter(
         F.col("model_version") == version

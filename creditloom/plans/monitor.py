@@ -41,7 +41,7 @@ def run_metrics(
         F.lit(model_version).alias("model_version"),
         F.col("d.drift_detected").alias("drift_detected"),
         F.col("d.mean_difference").alias("mean_difference"),
-        (four(F.col("cv")) < fixed.STABLE_BELOW_CV).alias("is_stable"),
+        monitoring.is_stable(four(F.col("cv"))).alias("is_stable"),
         F.col("n").alias("prediction_count"),
         four(F.try_divide("positives", "n")).alias("positive_rate"),
         four(F.col("cv")).alias("coefficient_of_variation"),
@@ -53,7 +53,8 @@ def run_metrics(
 
 
 def monitoring_row(ruled: DataFrame, monitored_at: Column | None = None) -> DataFrame:
-    """The stored monitoring row; unset advice reads ``N/A``."""
+    """The stored monitoring row; unset advice reads ``N/A``, measures that one date or one prediction cannot have are
+    NULL."""
 
     def text(name: str, alias: str) -> Column:
         return F.coalesce(F.col(name), F.lit("N/A")).alias(alias)
@@ -62,7 +63,7 @@ def monitoring_row(ruled: DataFrame, monitored_at: Column | None = None) -> Data
         "snapshot_date",
         F.coalesce("drift_detected", F.lit(False)).alias("drift_detected"),
         F.coalesce("mean_difference", F.lit(0.0)).alias("mean_difference"),
-        F.coalesce("is_stable", F.lit(True)).alias("model_stable"),
+        F.col("is_stable").alias("model_stable"),
         "prediction_count",
         F.coalesce("positive_rate", F.lit(0.0)).alias("positive_rate"),
         F.array_join("recommendations", " | ").alias("recommendations"),
@@ -75,8 +76,8 @@ def monitoring_row(ruled: DataFrame, monitored_at: Column | None = None) -> Data
         F.lit(str(fixed.GOVERNANCE_BLOCKS["refresh_triggers"])).alias("refresh_triggers"),
         "model_version",
         F.coalesce("avg_confidence", F.lit(0.0)).alias("avg_confidence"),
-        F.coalesce("temporal_consistency", F.lit(0.0)).alias("temporal_consistency"),
-        F.coalesce("coefficient_of_variation", F.lit(0.0)).alias("coefficient_of_variation"),
+        "temporal_consistency",
+        "coefficient_of_variation",
     ]
     if monitored_at is not None:
         columns.insert(0, monitored_at.alias("monitoring_date"))

@@ -445,7 +445,7 @@ _RULES = [
     ("rating = 'MODERATE'", "MEDIUM: Moderate OOT stability - Monitor closely"),
     ("rating = 'EXCELLENT'", "EXCELLENT: High OOT stability - Model is robust"),
     ("NOT stable AND cv > 1.0", "CRITICAL: High prediction variability - Model stability compromised"),
-    ("NOT stable AND cv <= 1.0", "MEDIUM: Monitor model stability closely"),
+    ("NOT stable AND coalesce(cv <= 1.0, TRUE)", "MEDIUM: Monitor model stability closely"),
     ("n < 100", "LOW: Insufficient prediction volume for reliable monitoring"),
     ("n > 10000", "HIGH: High prediction volume - Consider model optimization"),
     ("pos > 0.8", "INVESTIGATE: Unusually high positive prediction rate"),
@@ -489,7 +489,7 @@ PARTS["day_parts"] = f"""SELECT * FROM (SELECT *, CAST(floor((row_number() OVER
   / (count(*) OVER (PARTITION BY snapshot_date) // 3)) + 1 AS INT) AS part FROM preds) t WHERE part <= 3"""
 PARTS["part_auc"] = _auc("day_parts", "snapshot_date, part", "p", "label")
 PARTS["day_rating"] = _stability("part_auc", "snapshot_date")
-PARTS["day_metrics"] = """SELECT snapshot_date, coalesce(d, 0) > 0.01 AS drift, round_even(round((d) * 10000, 4), 0) / 10000 * 10 AS diff, round_even(round((x.s / x.m) * 10000, 4), 0) / 10000 < 0.5 AS stable,
+PARTS["day_metrics"] = """SELECT snapshot_date, coalesce(d, 0) > 0.1 AS drift, round_even(round((d) * 10000, 4), 0) / 10000 AS diff, coalesce(round_even(round((x.s / x.m) * 10000, 4), 0) / 10000 < 0.5, FALSE) AS stable,
   round_even(round((x.s / x.m) * 10000, 4), 0) / 10000 AS cv, n, round_even(round((pos) * 10000, 4), 0) / 10000 AS pos, rating FROM day_drift x LEFT JOIN day_rating USING (snapshot_date)"""
 PARTS["day_rules"] = _governed("day_metrics", "snapshot_date")
 oracle("governance_rules", "SELECT * FROM day_rules")
@@ -599,6 +599,11 @@ oracle(
     "snapshot_overwrite",
     "SELECT *, CASE WHEN snapshot_date >= DATE '2024-01-16' THEN 2 ELSE 1 END AS run FROM in_predictions",
 )
+oracle(
+    "snapshot_rebuild",
+    """SELECT *, CASE WHEN snapshot_date >= DATE '2024-01-16' THEN 2 ELSE 3 END AS run FROM in_predictions
+WHERE snapshot_date >= DATE '2024-01-16' OR snapshot_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'""",
+)
 oracle(
     "store_dates_from_paths",
     """SELECT snapshot_date, snapshot_date AS monitoring_date, count(p) AS prediction_count,

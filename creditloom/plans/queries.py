@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import session
-from creditloom.fixed_values import FINANCIAL_CATEGORIES
+from creditloom.fixed_values import DRIFT_THRESHOLD, FINANCIAL_CATEGORIES
 from creditloom.functions import calendar, cleaning, measures
 from creditloom.operators import (
     features,
@@ -500,9 +500,9 @@ def governed(i: Inputs) -> DataFrame:
         .join(rating, "snapshot_date", "left")
         .select(
             "snapshot_date",
-            (F.coalesce("drift_score", F.lit(0.0)) > 0.01).alias("drift_detected"),
-            (measures.stable_round(F.col("drift_score")) * 10).alias("mean_difference"),
-            (cv < 0.5).alias("is_stable"),
+            (F.coalesce("drift_score", F.lit(0.0)) > DRIFT_THRESHOLD).alias("drift_detected"),
+            measures.stable_round(F.col("drift_score")).alias("mean_difference"),
+            monitoring.is_stable(cv).alias("is_stable"),
             cv.alias("coefficient_of_variation"),
             F.col("n").alias("prediction_count"),
             measures.stable_round(F.try_divide("positives", "n")).alias("positive_rate"),
@@ -690,6 +690,17 @@ def snapshot_overwrite(i):
     return i.spark.read.parquet(path).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
 
 
+@query
+def snapshot_rebuild(i):
+    """All snapshots, a rebuild from the later ones, which drops the others, and a back-fill of one week."""
+    path = i.scratch("rebuild")
+    first = i.predictions.withColumn("run", F.lit(1))
+    sinks.write_snapshots(first, path)
+    sinks.write_snapshots(scans.snapshot_range(first, "2024-01-16", "2024-12-31").withColumn("run", F.lit(2)), path, rebuild=True)
+    sinks.write_snapshots(scans.snapshot_range(first, "2024-01-03", "2024-01-09").withColumn("run", F.lit(3)), path)
+    return i.spark.read.parquet(path).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+
+
 @query
 def batch_summary_append(i):
     """Summary rows of two runs in one store."""

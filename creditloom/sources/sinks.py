@@ -1,7 +1,7 @@
 """Writers.
 
-Every snapshot store is one dataset partitioned by date.  Writing a snapshot replaces that snapshot and no other, so
-any run can be repeated.  Rows are first rebalanced on the partition column: files come out at a sensible size, and a
+Every snapshot store is one dataset partitioned by date.  A back-fill replaces the snapshots it holds and no other, a
+rebuild replaces the store, so any run can be repeated.  Rows are first rebalanced on the partition column: files come out at a sensible size, and a
 snapshot that holds much of the data is written by many tasks.
 """
 
@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 DATE = "snapshot_date"
 
 
-def write_snapshots(df: DataFrame, path: str, partition: str | list[str] = DATE) -> None:
-    """Replace the partitions present in ``df``, leave the others."""
+def write_snapshots(df: DataFrame, path: str, partition: str | list[str] = DATE, rebuild: bool = False) -> None:
+    """Replace the partitions present in ``df`` and leave the others, or with ``rebuild`` the whole store.
+
+    A rebuild must not read the store it replaces."""
     by = [partition] if isinstance(partition, str) else list(partition)
     (
         df.hint("rebalance", *by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if rebuild else "dynamic")
         .partitionBy(*by)
         .parquet(path)
     )

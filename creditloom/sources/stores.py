@@ -22,6 +22,15 @@ def read_all(spark: SparkSession, paths: str | Sequence[str], recursive: bool =
     )
 
 
+def skipped_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Files below the paths that gave :func:`read_all` no row: unreadable or empty ones, one ``path`` a row."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    seen = read_all(spark, paths).select(F.regexp_replace("_metadata.file_path", "^file:/+", "/").alias("path")).distinct()
+    listed = files.load(paths).select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
+    return listed.join(seen, "path", "left_anti")
+
+
 def read_predictions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Stored predictions of old and new layout in the current one; each file is read once."""
     return reconcile(read_all(spark, paths))

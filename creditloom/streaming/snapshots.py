@@ -1,7 +1,7 @@
 """Incremental form of the monthly back-fill: new ledger files become silver snapshots.
 
 The unit of work is a snapshot, as in the batch jobs.  Files that arrived since the last run are found by the file
-source's checkpoint, cleaned, and merged into the snapshots they belong to.  A repeated micro-batch after a failure
+source's checkpoint, cleaned, and replace the snapshots they hold.  A repeated micro-batch after a failure
 writes the same partitions again, so nothing is counted twice.
 """
 
@@ -19,8 +19,10 @@ TEXT_LEDGER = T.StructType([T.StructField(c, T.StringType()) for c in fixed.LEDG
 
 
 def ledger_arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    """Ledger files as they arrive, cleaned row by row; every column starts as text."""
-    return clean_loans(spark.readStream.schema(TEXT_LEDGER).option("header", True).csv(folder))
+    """Ledger files as they arrive, cleaned row by row; every column starts as text.  A header that does not name the
+    columns in the ledger's order stops the run instead of shifting values."""
+    reader = spark.readStream.schema(TEXT_LEDGER).option("header", True).option("enforceSchema", False)
+    return clean_loans(reader.csv(folder))
 
 
 def ingest_new_snapshots(spark: SparkSession, folder: str, silver: str, checkpoint: str) -> StreamingQuery:

@@ -79,6 +79,26 @@ def test_inference_monitoring_decision(built):
     assert decided["model_file"] == "credit_model_20000601.pkl"
 
 
+def test_unreadable_and_archived_models(built):
+    mart, _, version = built
+    row = mart.spark.read.parquet(f"{mart.bank}/registry")
+    for year in (1996, 1997, 1998):
+        other = row.filter(F.col("model_version") == version).withColumns(
+            {
+                "model_version": F.lit(f"credit_model_{year}_06_01"),
+                "model_file": F.lit(f"credit_model_{year}0601.pkl"),
+                "model_date": F.lit(f"{year}-06-01").cast("date"),
+            }
+        )
+        jobs.sinks.write_snapshots(other, f"{mart.bank}/registry", "model_version")
+    readable = {r["model_file"]: r["readable"] for r in jobs.registry(mart).collect()}
+    assert readable.pop("credit_model_20000601.pkl") and not any(readable.values()) and len(readable) == 3
+    decided = jobs.decide(mart, dt.date(1999, 1, 1), epoch=dt.date(1990, 1, 1)).first()
+    assert (decided["reason"], decided["decision"]) == ("unreadable_model", "retrain")
+    status = {r["model_file"]: r["status"] for r in jobs.retain(mart).collect()}
+    assert status.pop("credit_model_19960601.pkl") == "archived" and set(status.values()) == {"active"} and len(status) == 3
+
+
 def test_scoring_an_empty_date_is_an_error(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     with pytest.raises(ValueError, match="no feature data"):
@@ -92,7 +112,11 @@ def test_failing_learners_are_left_out(spark, sf_dir):
         raise RuntimeError("no")
 
     good = {"good": lambda: training.logistic(["embedding_vec"], 300, max_iter=5), "bad": broken}
-    assert set(training.fit_models(good, train_rows(i))) == {"good"}
+    failed = {}
+    models = training.fit_models(good, train_rows(i), failed)
+    assert set(models) == {"good"} and set(failed) == {"bad"}
+    rows = training.compare_models(models, vectors(i), failed=failed).collect()
+    assert {r["model_name"]: r["auc"] is None for r in rows} == {"good": False, "bad": True}
     with pytest.raises(ValueError):
         training.fit_models({"bad": broken}, train_rows(i))
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.operators import monitoring, order_stats, splits
+from creditloom.plans import monitor
 
 
 def brute_auc(scores, labels):
@@ -142,6 +143,17 @@ def test_pooled_moments(spark):
     assert row["std_of_daily_means"] == pytest.approx(pdf.groupby("snapshot_date").prediction_probability.mean().std())
 
 
+def test_one_prediction_is_unstable_and_has_no_consistency(spark):
+    pdf = pd.DataFrame({"Customer_ID": ["c"], "snapshot_date": [pd.Timestamp("2024-01-01").date()], "prediction_probability": [0.4], "prediction_class": [0]})
+    rolled = monitoring.overall(monitoring.daily_profile(spark.createDataFrame(pdf)))
+    assert monitoring.stability_metrics(rolled).first()["is_stable"] is False
+    assert monitoring.confidence_metrics(rolled).first()["temporal_consistency"] is None
+    row, _ = monitor.monitor(spark.createDataFrame(pdf), F.lit("2024-02-01").cast("date"), "m.pkl")
+    stored = row.first()
+    assert stored["model_stable"] is False and stored["temporal_consistency"] is None
+    assert "MEDIUM: Monitor model stability closely" in stored["recommendations"]
+
+
 def test_missing_groups_keep_their_rows(spark):
     df = spark.createDataFrame([(k, None if k % 2 else "a", k / 10) for k in range(20)], "k int, g string, s double")
     placed = order_stats.hash_position(df, "k", by=["g"])

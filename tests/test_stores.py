@@ -30,6 +30,29 @@ def test_snapshots_are_replaced_one_by_one(spark):
     assert totals(spark, path) == {"2024-01-01": 4, "2024-01-02": 20, "2024-01-03": 4}
 
 
+def test_a_rebuild_drops_what_the_source_no_longer_holds(spark, tmp_path):
+    path = session.scratch_dir(spark, "test")
+    sinks.write_snapshots(frame(spark, 1), path)
+    sinks.write_snapshots(frame(spark, 5, days=(2,)), path, rebuild=True)
+    assert totals(spark, path) == {"2024-01-02": 20}
+    root = session.scratch_dir(spark, "test")
+    for rows in (3, 2):
+        lines = [f"l{k},2024-0{k + 1}-01" for k in range(rows)]
+        (tmp_path / "loans.csv").write_text("\n".join(["loan_id,snapshot_date", *lines]))
+        assert ingest.ingest_bronze(spark, {"loans": str(tmp_path / "loans.csv")}, root) == {"loans": rows}
+
+
+def test_skipped_files_are_listed(spark):
+    path = session.scratch_dir(spark, "test")
+    frame(spark, 1).coalesce(1).write.parquet(f"{path}/a.parquet")
+    spark.createDataFrame([("PAR1 but not really",)], "value string").coalesce(1).write.text(f"{path}/text")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    text = [f.getPath() for f in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/text")) if "part-" in f.getPath().getName()]
+    fs.rename(text[0], spark._jvm.org.apache.hadoop.fs.Path(f"{path}/broken.parquet"))
+    schema = spark.read.parquet(f"{path}/a.parquet").schema
+    assert schema and [r["path"].rsplit("/", 1)[1] for r in stores.skipped_files(spark, path).collect()] == ["broken.parquet"]
+
+
 def test_snapshot_filters_prune_directories(spark, capsys):
     path = session.scratch_dir(spark, "test")
     sinks.write_snapshots(frame(spark, 1), path)
