@@ -10,7 +10,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import by_batch, column, crc_mod, staged
@@ -19,8 +19,8 @@ UNDETERMINED = "und"
 #: Bounds of the fit: documents per language (in expectation), languages, words and n-grams kept (the most frequent).
 DOCS_PER_LANGUAGE = 5_000
 LANGUAGES = 500
-WORDS = 150_000
-GRAMS = 80_000
+WORDS = 100_000
+GRAMS = 50_000
 LONGEST_GRAM = 4
 WORD = re.compile(r"[^\W\d_]+")
 COUNTED_AT_ONCE = 200_000
@@ -96,29 +96,37 @@ def fit(
     sample = labelled.filter(F.pmod(F.xxhash64("key", F.length("text")), F.lit(1 << 20)) < share)
     counted = sample.select("lang", "text").mapInArrow(_count, "lang string, size int, piece string, n long")
     by_lang = staged(counted.groupBy("size", "piece", "lang").agg(F.sum("n").alias("n")), "pieces")
-    pieces = (
-        by_lang.groupBy("size", "piece")
-        .agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("counts"))
-        .select((F.col("size") > 0).alias("gram"), "size", "piece", "total", "counts")
-    )
-    totals = {(r["size"], r["lang"]): r["n"] for r in by_lang.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
-    at = {lang: i for i, lang in enumerate(languages)}
-
-    def table(rows) -> tuple[dict[str, int], np.ndarray]:
-        """Log frequencies; a language without the piece gets half an occurrence in the largest language's total, so
-        that a language with few documents is not favoured."""
-        shares = np.zeros((len(rows), len(languages)))
-        for i, row in enumerate(rows):
-            shares[i] = 0.5 / max(totals[row.size_, lang] for lang in languages if (row.size_, lang) in totals)
-            for lang, n in row.counts:
-                shares[i, at[lang]] = n / totals[row.size_, lang]
-        return {r.piece: i for i, r in enumerate(rows)}, np.log(shares)
-
-    pieces = pieces.withColumnRenamed("size", "size_")
-    order = [F.desc("total"), F.col("piece")]
-    top_words = pieces.filter("not gram").orderBy(*order).limit(words).collect()
-    top_grams = pieces.filter("gram").orderBy(*order).limit(grams).collect()
-    return Model(languages, *table(top_words), *table(top_grams))
+    summed = by_lang.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()
+    totals = {(r["size"], r["lang"]): r["n"] for r in summed}
+    seen_words = _table(by_lang.filter("size = 0"), words, totals, languages)
+    seen_grams = _table(by_lang.filter("size > 0"), grams, totals, languages)
+    return Model(languages, *seen_words, *seen_grams)
+
+
+def _table(
+    by_lang: DataFrame, most: int, totals: dict[tuple[int, str], int], languages: list[str]
+) -> tuple[dict[str, int], np.ndarray]:
+    """The most frequent pieces, at most ``most``, and their log frequencies.  The least count that is kept follows from
+    a table of counts, so no task ranks all pieces; pieces come to the driver as Arrow columns, one row per language
+    that has them.  A language without the piece gets half an occurrence in the largest language's
+    total, so that a language with few documents is not favoured."""
+    sums = by_lang.groupBy("size", "piece").agg(F.sum("n").alias("total"))
+    sizes_of = sums.groupBy("total").agg(F.count("*").alias("pieces"))
+    so_far = F.sum("pieces").over(Window.orderBy(F.desc("total")))
+    least = sizes_of.withColumn("so_far", so_far).filter(F.col("so_far") <= most).agg(F.min("total").alias("total")).first()
+    kept = sums.filter(F.col("total") >= least.total) if least.total else sums.limit(0)
+    rows = kept.select("size", "piece").join(by_lang, ["size", "piece"]).select("size", "piece", "lang", "n").toArrow()
+    if not rows.num_rows:
+        return {}, np.zeros((0, len(languages)))
+    pieces = rows.column("piece").combine_chunks().dictionary_encode()
+    at, place = {lang: i for i, lang in enumerate(languages)}, pieces.indices.to_numpy()
+    sizes, langs = rows.column("size").to_pylist(), rows.column("lang").to_pylist()
+    norms = np.array([totals[size, lang] for size, lang in zip(sizes, langs)], float)
+    largest = {size: max(n for (s, _), n in totals.items() if s == size) for size in set(sizes)}
+    shares = np.zeros((len(pieces.dictionary), len(languages)))
+    shares[place] = 0.5 / np.array([largest[size] for size in sizes], float)[:, None]
+    shares[place, [at[lang] for lang in langs]] = rows.column("n").to_numpy() / norms
+    return {piece: i for i, piece in enumerate(pieces.dictionary.to_pylist())}, np.log(shares)
 
 
 class Scorer:
