@@ -66,8 +66,10 @@ def boosted(
     min_leaf: int = 1,
     seed: int = 88,
     validation: str | None = None,
+    tolerance: float = 0.0,
 ) -> Pipeline:
-    """Boosted trees.  With a boolean ``validation`` column, rounds stop once its rows no longer improve."""
+    """Boosted trees.  With a boolean ``validation`` column, rounds stop at the first that improves its rows by no more
+    than the share ``tolerance``; Spark has no patience beyond one round."""
     model = GBTClassifier(
         labelCol=LABEL,
         maxIter=rounds,
@@ -79,7 +81,7 @@ def boosted(
         seed=seed,
     )
     if validation:
-        model = model.setValidationIndicatorCol(validation)
+        model = model.copy({model.validationIndicatorCol: validation, model.validationTol: tolerance})
     return assembled(columns, model)
 
 

@@ -634,4 +634,46 @@ FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1998-09-01', max(o_orderdate
 LEFT JOIN in_clickstream_m f ON f.snapshot_date = m GROUP BY m""",
 )
 
+_CLASSES = "count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives"
+_BOTH = "count(*) FILTER (label = 1) > 0 AND count(*) FILTER (label = 0) > 0"
+
+
+def _checked(model: str, source: str = "vec", more: str = "") -> str:
+    return f"""SELECT '{model}' AS model_name, split, {_CLASSES}, {_BOTH} AS learned, {_BOTH} AS gini_follows{more}
+FROM {source} GROUP BY split"""
+
+
+oracle("train_logistic", _checked("logistic_regression", more=", count(*) AS rows_by_formula"))
+oracle("train_forest", _checked("random_forest"))
+oracle("train_gbt", _checked("boosted_trees"))
+oracle("train_mlp", _checked("neural_network"))
+_LEARNERS = ("logistic_regression", "random_forest", "boosted_trees")
+oracle(
+    "model_comparison",
+    "\nUNION ALL\n".join(_checked(m, more=", CAST(1 AS BIGINT) AS selected_models") for m in _LEARNERS),
+)
+oracle(
+    "random_search",
+    """SELECT CAST(3 AS BIGINT) AS draws, CAST(3 AS BIGINT) AS distinct_points, CAST(3 AS BIGINT) AS rated, count(*) AS train_rows,
+  CAST(sum(label) AS BIGINT) AS train_positives FROM vec WHERE split = 'train'""",
+)
+oracle(
+    "search_comparison",
+    f"""SELECT unnest(['boosted_trees', 'random_forest']) AS model_name, bool_and(ok) AS complete, CAST(1 AS BIGINT) AS selected_models
+FROM (SELECT split, {_BOTH} AS ok FROM vec GROUP BY split) t""",
+)
+PARTS["credit_rows"] = """SELECT label, CASE WHEN snapshot_date BETWEEN DATE '1998-07-01' AND DATE '1998-08-31' THEN 'oot'
+  WHEN snapshot_date BETWEEN DATE '1995-07-01' AND DATE '1998-06-30' THEN 'train_test' END AS split FROM left_features"""
+oracle("credit_model_by_split", _checked("logistic_regression", "(SELECT * FROM credit_rows WHERE split IS NOT NULL) t"))
+_SCORED = "Customer_ID, snapshot_date AS feature_snapshot_date, snapshot_date, 'credit_model_1998_09_01.pkl' AS model_name, true AS class_follows"
+oracle(
+    "score_snapshot",
+    f"""SELECT {_SCORED}, 'credit_model_1998_09_01' AS model_version FROM in_clickstream_m WHERE snapshot_date = DATE '1998-09-01'""",
+)
+oracle(
+    "batch_inference",
+    f"""SELECT {_SCORED} FROM in_clickstream_m WHERE snapshot_date IN (SELECT CAST(unnest(generate_series(
+  date_trunc('month', min(o_orderdate)), max(o_orderdate), INTERVAL 1 MONTH)) AS DATE) FROM orders)""",
+)
+
 ORACLES = {name: _with(body) for name, body in ORACLES.items()}

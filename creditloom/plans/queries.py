@@ -765,84 +765,133 @@ def train_rows(i: Inputs) -> DataFrame:
     return vectors(i).filter("split = 'train'")
 
 
+def checked(table: DataFrame, floor: float = 0.6) -> DataFrame:
+    """A comparison table without the figures a fit blurs: rows per class, whether the training rows rank at least as
+    well as ``floor`` and the others have a figure at all, and whether Gini follows from the AUC."""
+    auc = F.col("auc")
+    learned = F.when(F.col("split") == "train", auc >= floor).otherwise(auc.between(0, 1))
+    follows = F.abs(F.col("gini") - (2 * auc - 1)) < 0.000501  # stored with three digits
+    return table.select("model_name", "split", "positives", "negatives", learned.alias("learned"), follows.alias("gini_follows"))
+
+
 def fit_and_compare(i: Inputs, name: str, make) -> DataFrame:
     return training.compare_models(training.fit_models({name: make}, train_rows(i)), vectors(i), stage=staged(i))
 
 
-def quick_logistic(i: Inputs):
-    return training.logistic(["embedding_vec"], train_rows(i).count(), max_iter=100)
+def logistic_model(i: Inputs):
+    return training.logistic(["embedding_vec"], train_rows(i).count())
 
 
 @query
 def train_logistic(i):
-    return fit_and_compare(i, "logistic_regression", lambda: quick_logistic(i))
+    """Logistic regression, and on how many rows the stored coefficients give the model's own probability."""
+    model = training.fit_models({"logistic_regression": lambda: logistic_model(i)}, train_rows(i))["logistic_regression"]
+    _, scaler, fitted = model.stages
+    weights = [w / s if s else 0.0 for w, s in zip(fitted.coefficients, scaler.std)]
+    shift = fitted.intercept - sum(w * m for w, m in zip(weights, scaler.mean))
+    product = F.zip_with(vector_to_array("embedding_vec"), F.array(*map(F.lit, weights)), lambda x, w: x * w)
+    by_hand = 1 / (1 + F.exp(-(F.aggregate(product, F.lit(0.0), lambda total, x: total + x) + F.lit(float(shift)))))
+    scored = inference.with_probability(model, vectors(i))
+    same = scored.groupBy("split").agg(F.count_if(F.abs(by_hand - F.col("model_predictions")) < 1e-9).alias("rows_by_formula"))
+    table = training.compare_models({"logistic_regression": model}, vectors(i), stage=staged(i))
+    return checked(table).join(same, "split")
 
 
 @query
 def train_forest(i):
-    return fit_and_compare(i, "random_forest", lambda: training.forest(["embedding_vec"], trees=100))
+    return checked(fit_and_compare(i, "random_forest", lambda: training.forest(["embedding_vec"])))
+
 
+def boosted_model(**options):
+    return training.boosted(["embedding_vec"], **options)
 
-def quick_boosted(rounds: int = 15, **options):
-    return training.boosted(["embedding_vec"], rounds=rounds, depth=3, rate=0.1, **options)
+
+def marked_rows(i: Inputs) -> DataFrame:
+    return training.with_validation(train_rows(i), ["Customer_ID"])
 
 
 @query
 def train_gbt(i):
-    marked = training.with_validation(train_rows(i), ["Customer_ID"])
-    models = training.fit_models({"boosted_trees": lambda: quick_boosted(validation="is_validation")}, marked)
-    return training.compare_models(models, vectors(i), stage=staged(i))
+    makers = {"boosted_trees": lambda: boosted_model(validation="is_validation")}
+    models = training.fit_models(makers, marked_rows(i))
+    return checked(training.compare_models(models, vectors(i), stage=staged(i)))
+
+
+def vector_width(i: Inputs) -> int:
+    return i.embeddings.agg(F.max(F.size("embedding")).alias("n")).first()["n"]
 
 
 @query
 def train_mlp(i):
-    return fit_and_compare(i, "neural_network", lambda: training.perceptron(["embedding_vec"], 64, max_iter=50))
+    return checked(fit_and_compare(i, "neural_network", lambda: training.perceptron(["embedding_vec"], vector_width(i))))
 
 
 @query
 def random_search(i):
-    space = {"maxIter": [5, 10], "maxDepth": [2, 3], "stepSize": [0.01, 0.1], "subsamplingRate": [0.6, 0.8]}
-    found = training.random_search(quick_boosted(), space, train_rows(i), ["Customer_ID"], draws=3)
-    return training.search_results(i.spark, found)
+    """Cross-validated random search: how many points were drawn, how many of them differ, and over how many rows."""
+    space = {
+        "maxIter": [5, 10],
+        "maxDepth": [2, 3],
+        "stepSize": [0.01, 0.1],
+        "subsamplingRate": [0.6, 0.8],
+        "minInstancesPerNode": [1, 5],
+        "featureSubsetStrategy": ["0.6", "0.8"],
+        "minInfoGain": [0.0, 0.01],
+    }
+    rows = train_rows(i)
+    found = training.search_results(i.spark, training.random_search(boosted_model(), space, rows, ["Customer_ID"], draws=3))
+    size = rows.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives")).alias("s")).select("s").scalar()
+    return found.agg(
+        F.count(F.lit(1)).alias("draws"),
+        F.countDistinct("parameters").alias("distinct_points"),
+        F.count_if(F.col("cv_auc").between(0, 1)).alias("rated"),
+        F.max(size["n"]).alias("train_rows"),
+        F.max(size["positives"]).alias("train_positives"),
+    )
 
 
 @query
 def model_comparison(i):
-    """Three learners over three splits, and the best of them by out-of-time AUC."""
+    """Three learners over three splits, and that the best of them by out-of-time AUC is one."""
     models = training.fit_models(
         {
-            "logistic_regression": lambda: quick_logistic(i),
-            "random_forest": lambda: training.forest(["embedding_vec"], trees=20),
-            "boosted_trees": lambda: quick_boosted(),
+            "logistic_regression": lambda: logistic_model(i),
+            "random_forest": lambda: training.forest(["embedding_vec"]),
+            "boosted_trees": lambda: boosted_model(validation="is_validation"),
         },
-        train_rows(i),
+        marked_rows(i),
     )
     table = training.compare_models(models, vectors(i), stage=staged(i))
     best = governance.best_model(table.filter("split = 'oot'")).select("model_name").scalar()
-    return table.withColumn("selected", F.col("model_name") == best)
+    chosen = table.filter(F.col("model_name") == best).select(F.countDistinct("model_name").alias("n")).scalar()
+    return checked(table).withColumn("selected_models", chosen)
 
 
 @query
 def search_comparison(i):
-    """Random search for two learners, compared over all splits."""
+    """Random search for two learners over all splits: which have figures everywhere, and how many are selected."""
     searches = {
-        "boosted_trees": (quick_boosted(), {"maxIter": [5, 10], "maxDepth": [2, 3], "stepSize": [0.01, 0.1]}),
+        "boosted_trees": (boosted_model(), {"maxIter": [5, 10], "maxDepth": [2, 3], "stepSize": [0.01, 0.1]}),
         "random_forest": (training.forest(["embedding_vec"]), {"numTrees": [10, 20], "maxDepth": [2, 4]}),
     }
     _, table = training.search_models(
         searches, train_rows(i), vectors(i), ["Customer_ID"], stage=staged(i), draws=2, folds=2
     )
-    return table
+    complete = F.lit(True)
+    for column in ("cv_auc", "train_auc", "test_auc", "oot_auc"):
+        complete = complete & F.coalesce(F.col(column).between(0, 1), F.lit(False))
+    selected = table.agg(F.count_if("selected").alias("n")).scalar()
+    return table.select("model_name", complete.alias("complete"), selected.alias("selected_models"))
 
 
 @query
 def model_registry(i):
     """Registry row of a trained model, stored next to the model and validated after reading it back."""
     bank, version = i.scratch("bank"), "credit_model_2024_02_01"
-    model = quick_logistic(i).fit(train_rows(i))
+    model = logistic_model(i).fit(train_rows(i))
     scored = inference.with_probability(model, vectors(i)).withColumn("period", F.substring(F.md5("Customer_ID"), 1, 1))
     row = training.registry_row(
-        scored, version, dt.date(2024, 2, 1), ["embedding_vec"], {"maxIter": 100}, period="period"
+        scored, version, dt.date(2024, 2, 1), ["embedding_vec"], {"maxIter": 1000}, period="period"
     )
     training.save_model(model, row, bank, version)
     checked = inference.validate_registry(i.spark.read.parquet(f"{bank}/registry"))
@@ -863,7 +912,7 @@ def model_registry(i):
 @query
 def reload_check(i):
     bank, version = i.scratch("bank"), "credit_model_2024_02_01"
-    model = quick_logistic(i).fit(train_rows(i))
+    model = logistic_model(i).fit(train_rows(i))
     model.write().overwrite().save(f"{bank}/models/{version}")
     return training.reload_check(model, training.load_model(bank, version), vectors(i), ["Customer_ID"])
 
@@ -879,7 +928,7 @@ def credit_model(i: Inputs):
     rows = joins.training_set(monthly_features(i), labels(i), day("1998-06-01"))
     known = rows.select("label", "fe_1", "fe_2", "fe_3").persist()
     try:
-        return training.logistic(["fe_1", "fe_2", "fe_3"], known.count(), max_iter=50).fit(known)
+        return training.logistic(["fe_1", "fe_2", "fe_3"], known.count()).fit(known)
     finally:
         known.unpersist()
 
@@ -891,14 +940,22 @@ def credit_model_by_split(i):
     split = splits.time_split(table, day("1998-09-01"), history_months=36)
     rows = scaling.align_features(split, ["fe_1", "fe_2", "fe_3"], keep=["Customer_ID", "split", "label"])
     model = credit_model(i)
-    return training.compare_models({"logistic_regression": model}, rows, stage=staged(i))
+    return checked(training.compare_models({"logistic_regression": model}, rows, stage=staged(i)), floor=0.0)
+
+
+def scored_rows(scored: DataFrame) -> DataFrame:
+    """Predictions without the number itself: whether it is a probability and the class follows from it."""
+    p = F.col("model_predictions")
+    follows = p.between(0, 1) & (F.col("prediction_class") == (p > 0.5).cast("int"))
+    return scored.withColumn("class_follows", follows).drop("model_predictions", "prediction_class")
 
 
 @query
 def score_snapshot(i):
-    return inference.score_snapshot(
+    scored = inference.score_snapshot(
         credit_model(i), monthly_features(i), day("1998-09-01"), "credit_model_1998_09_01.pkl", model_version="credit_model_1998_09_01"
     )
+    return scored_rows(scored)
 
 
 @query
@@ -906,7 +963,7 @@ def batch_inference(i):
     """Every month of the feature store scored in one job."""
     bounds = i.orders.agg(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b"))
     months = calendar.calendar(bounds, "a", "b", "monthly")
-    return inference.batch_inference(credit_model(i), monthly_features(i), months, "credit_model_1998_09_01.pkl")
+    return scored_rows(inference.batch_inference(credit_model(i), monthly_features(i), months, "credit_model_1998_09_01.pkl"))
 
 
 @query
