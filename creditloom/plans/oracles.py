@@ -130,6 +130,16 @@ PARTS["s_att"] = f"""SELECT Customer_ID, Name, CASE WHEN a > 0 AND a < 100 THEN
   {_blank("Occupation", fixed.ATTRIBUTE_NULL_TOKENS)} AS Occupation, snapshot_date
 FROM (SELECT *, {_AGE} AS a FROM in_attributes) t WHERE Customer_ID IS NOT NULL AND snapshot_date IS NOT NULL"""
 oracle("silver_attributes", "SELECT * FROM s_att")
+_TOKENS = ", ".join(f"'{t}'" for t in fixed.NULL_TOKENS)
+oracle(
+    "silver_clickstream_text",
+    "SELECT Customer_ID, CAST(snapshot_date AS DATE) AS snapshot_date, event_id, "
+    + ", ".join(
+        f"TRY_CAST(trunc(TRY_CAST(CASE WHEN fe_{k} IN ({_TOKENS}) THEN NULL ELSE fe_{k} END AS DOUBLE)) AS INT) AS fe_{k}"
+        for k in range(1, 21)
+    )
+    + " FROM in_clickstream_text WHERE Customer_ID IS NOT NULL AND snapshot_date IS NOT NULL",
+)
 oracle("silver_clickstream", "SELECT * FROM in_clickstream WHERE Customer_ID IS NOT NULL AND snapshot_date IS NOT NULL")
 
 # --- features ---------------------------------------------------------------------------------------------------
@@ -493,10 +503,18 @@ PARTS["day_metrics"] = """SELECT snapshot_date, coalesce(d, 0) > 0.1 AS drift, r
   round_even(round((x.s / x.m) * 10000, 4), 0) / 10000 AS cv, n, round_even(round((pos) * 10000, 4), 0) / 10000 AS pos, rating FROM day_drift x LEFT JOIN day_rating USING (snapshot_date)"""
 PARTS["day_rules"] = _governed("day_metrics", "snapshot_date")
 oracle("governance_rules", "SELECT * FROM day_rules")
+def _literal(value) -> str:
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else f"{value}"
+
+
+_BLOCKS = ", ".join(
+    f'{_literal(value)} AS "{block}_{name}"' for block, entries in fixed.GOVERNANCE_BLOCKS.items() for name, value in entries.items()
+)
 oracle(
     "governance_json",
-    f"""SELECT snapshot_date, recommendations, action, investigation, 3 AS minimum_periods, strategy, monitoring, coalesce(oot_rating, 'UNKNOWN') AS rating,
-  coalesce({_WORDS.format(r="oot_rating")}, 'N/A') AS explanation FROM day_rules""",
+    f"""SELECT snapshot_date, recommendations, retrain_urgency, retrain_timeline, action, investigation, {_BLOCKS}, strategy, rollback_plan,
+  monitoring, coalesce(oot_rating, 'UNKNOWN') AS rating, round(coalesce(round(oot_cv, 4), 0), 6) AS oot_cv,
+  coalesce({_WORDS.format(r="oot_rating")}, 'N/A') AS explanation FROM day_rules JOIN (SELECT snapshot_date, day_rating.cv AS oot_cv FROM day_metrics LEFT JOIN day_rating USING (snapshot_date)) r USING (snapshot_date)""",
 )
 
 # --- batch summaries --------------------------------------------------------------------------------------------
@@ -523,7 +541,7 @@ oracle(
 )
 oracle(
     "batch_summary_append",
-    """SELECT snapshot_date, prediction_count, 'daily' AS frequency, DATE '2024-01-01' AS batch_start_date, DATE '2024-04-01' AS batch_end_date, run_date
+    """SELECT batch.* REPLACE (round(avg_probability, 6) AS avg_probability), 'daily' AS frequency, DATE '2024-01-01' AS batch_start_date, DATE '2024-04-01' AS batch_end_date, run_date
 FROM batch, (SELECT unnest([DATE '2024-04-01', DATE '2024-04-02']) AS run_date) r""",
 )
 
@@ -589,7 +607,7 @@ oracle(
 # --- stores -----------------------------------------------------------------------------------------------------
 
 oracle("bronze_ingest", "SELECT *, (SELECT count(*) FROM in_loans) AS ingested_rows, true AS skipped FROM s_loans")
-oracle("bronze_csv_snapshots", "SELECT snapshot_date, count(*) AS rows FROM in_loans GROUP BY 1")
+oracle("bronze_csv_snapshots", "SELECT * FROM in_loans")
 oracle(
     "bronze_reconcile",
     "SELECT Customer_ID, event_id, snapshot_date, p AS prediction_probability, c AS prediction_class FROM preds",

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom import session
 from creditloom.fixed_values import DRIFT_THRESHOLD, FINANCIAL_CATEGORIES
@@ -202,6 +203,12 @@ def silver_clickstream(i):
     return silver.clean_clickstream(i.clickstream)
 
 
+@query
+def silver_clickstream_text(i):
+    """All twenty features from dirty text."""
+    return silver.clean_clickstream(i.clickstream_text)
+
+
 # --- features ---------------------------------------------------------------------------------------------------
 
 
@@ -526,22 +533,25 @@ def governance_rules(i):
 @query
 def governance_json(i):
     path = i.scratch("governance")
-    sinks.write_documents(governance.governance_document(governed(i)), path)
-    back = i.spark.read.schema(
-        "snapshot_date date, recommendations array<string>, "
-        "governance_sop struct<action: string, investigation: string, `3_oot_requirements`: struct<minimum_periods: int>>, "
-        "deployment_options struct<strategy: string, monitoring: string>, "
-        "oot_stability_assessment struct<rating: string, recommendation: string>"
-    ).json(path)
+    documents = governance.governance_document(governed(i))
+    sinks.write_documents(documents, path)
+    back = i.spark.read.schema(documents.schema).json(path)
+    sop = documents.schema["governance_sop"].dataType
+    blocks = [
+        F.col(f"governance_sop.`{block.name}`.`{entry.name}`").alias(f"{block.name}_{entry.name}")
+        for block in sop.fields
+        if isinstance(block.dataType, T.StructType)
+        for entry in block.dataType.fields
+    ]
+    advice = [f"governance_sop.{f.name}" for f in sop.fields if not isinstance(f.dataType, T.StructType)]
     return back.select(
         "snapshot_date",
         F.array_join("recommendations", " | ").alias("recommendations"),
-        "governance_sop.action",
-        "governance_sop.investigation",
-        F.col("governance_sop.3_oot_requirements.minimum_periods").alias("minimum_periods"),
-        "deployment_options.strategy",
-        "deployment_options.monitoring",
+        *advice,
+        *blocks,
+        "deployment_options.*",
         "oot_stability_assessment.rating",
+        F.round("oot_stability_assessment.coefficient_of_variation", 6).alias("oot_cv"),
         F.col("oot_stability_assessment.recommendation").alias("explanation"),
     )
 
@@ -653,11 +663,11 @@ def bronze_ingest(i):
 
 @query
 def bronze_csv_snapshots(i):
-    """Ledger as CSV per snapshot, one snapshot read back by its directory."""
+    """Ledger as CSV per snapshot, all of them read back with their contents."""
     path = i.scratch("bronze_csv")
     sinks.write_csv_snapshots(i.loans, path)
-    back = i.spark.read.option("header", True).csv(path)
-    return scans.row_audit(back.withColumn("snapshot_date", F.col("snapshot_date").cast("date")))
+    back = i.spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in i.loans.schema.fields])
 
 
 @query
@@ -708,10 +718,8 @@ def batch_summary_append(i):
     rows = inference.with_run(summary(i), day("2024-01-01"), day("2024-04-01"), "daily")
     for at in ("2024-04-01 08:00:00", "2024-04-02 08:00:00"):
         sinks.append_run(rows, path, F.lit(at).cast("timestamp_ntz"))
-    return i.spark.read.parquet(path).select(
-        "snapshot_date", "prediction_count", "frequency", "batch_start_date", "batch_end_date",
-        F.col("batch_execution_date").cast("date").alias("run_date"),
-    )
+    stored = i.spark.read.parquet(path).withColumn("run_date", F.col("batch_execution_date").cast("date"))
+    return rounded(stored.drop("batch_execution_date"), "avg_probability")
 
 
 def _named_files(i: Inputs) -> str:

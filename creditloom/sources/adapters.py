@@ -56,6 +56,18 @@ FROM {customer} JOIN (SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orde
 SELECT CAST(user_id AS STRING) AS Customer_ID, CAST(ts AS DATE) AS snapshot_date, event_id,
   CAST(floor(value) AS INT) AS fe_1, CAST(floor(value * 7) AS INT) % 101 - 50 AS fe_2,
   CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(event_id % 97 AS INT) END AS fe_3
+FROM {events}""",
+    # All twenty click features as dirty text: placeholders, blanks, decimals, overflow and words; keys may be missing.
+    "clickstream_text": """
+SELECT CASE WHEN event_id % 41 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS Customer_ID,
+  CASE WHEN event_id % 43 = 0 THEN NULL ELSE CAST(CAST(ts AS DATE) AS STRING) END AS snapshot_date, event_id,
+  """
+    + ",\n  ".join(
+        f"""CASE (event_id + {k}) % 23 WHEN 0 THEN '_' WHEN 1 THEN 'NA' WHEN 2 THEN 'na' WHEN 3 THEN 'N/A' WHEN 4 THEN '' WHEN 5 THEN 'x{k}'
+    WHEN 6 THEN '99999999999' WHEN 7 THEN concat(CAST(event_id % 50 AS STRING), '.0') ELSE CAST((event_id * {k}) % 211 - 100 AS STRING) END AS fe_{k}"""
+        for k in range(1, 21)
+    )
+    + """
 FROM {events}""",
     # Monthly click-style features on the customers of the financial statements.
     "clickstream_m": """
