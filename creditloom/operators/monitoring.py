@@ -7,7 +7,7 @@ where the drift halves meet need the predictions again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -193,6 +193,7 @@ def drift(
     threshold: float = fixed.DRIFT_THRESHOLD,
     profile: DataFrame | None = None,
     digits: int | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """Mean and deviation of the older half of the rows against the newer half.
 
@@ -202,7 +203,8 @@ def drift(
 
     No sort over all rows is needed.  The daily profile shows which date the middle falls into; within that date,
     totals per hash prefix show which part; and only the rows of that part are ordered.  Equal rows travel as one row
-    with a count, so repeated rows cannot swell the part.  Pass ``profile`` when it is computed anyway.
+    with a count, so repeated rows cannot swell the part.  Pass ``profile`` when it is computed anyway;
+    ``stage(df, name)`` may store the rows of the date in the middle, so that it is read once.
     """
     digits = order_stats.hash_digits(predictions.count()) if digits is None else digits
     p, n, start, half = F.col("p"), F.col("n"), F.col("start"), F.col("half")
@@ -226,10 +228,11 @@ def drift(
 
     # The date in the middle, by hash prefix.
     middle = _struct_of(dates.filter(divided).select(DATE, "start", "half"))
-    rows = (
+    rows = stage(
         predictions.filter(F.col(P).isNotNull() & (F.col(DATE) == middle[DATE]))
         .select(F.col(P).alias("p"), order_stats.row_hash(*keys).alias("hash"))
-        .withColumn("prefix", F.substring("hash", 1, digits))
+        .withColumn("prefix", F.substring("hash", 1, digits)),
+        "middle",
     )
     parts = _running(
         rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.sum(off).alias("s1"), F.sum(off * off).alias("s2")),

@@ -215,9 +215,17 @@ def monitor_run(mart: Mart, version: str, run_date: dt.date) -> None:
     oot = mart.spark.read.parquet(f"{mart.bank}/registry").filter(F.col("model_version") == version).select(
         inference.oot_rating(F.col("oot_cv")).alias("stability_rating"), F.col("oot_cv").alias("coefficient_of_variation")
     )
-    row, document = monitor(stored_predictions(mart, f"{version}.pkl"), F.lit(run_date), f"{version}.pkl", oot=oot)
+    folder = session.scratch_dir(mart.spark, "monitor")
+    row, document = monitor(
+        stored_predictions(mart, f"{version}.pkl"),
+        F.lit(run_date),
+        f"{version}.pkl",
+        oot=oot,
+        stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"),
+    )
     sinks.write_snapshots(row, mart.path("gold", "model_monitoring"))
     sinks.write_documents(document, mart.path("gold", "governance"), "snapshot_date")
+    session.remove(mart.spark, folder)
 
 
 def decide(mart: Mart, execution_date: dt.date, epoch: dt.date = governance.EPOCH) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,15 +18,17 @@ def run_metrics(
     oot: DataFrame | None = None,
     keys: Sequence[str] = ("Customer_ID", monitoring.P),
     threshold: float = fixed.DRIFT_THRESHOLD,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """All measures of one run in one row; no row when there are no predictions.
 
     ``oot`` is the one-row stability of the model's out-of-time periods.  The prediction store is read for the daily
-    profile and for the drift halves; everything else works on one row per date.
+    profile and for the drift halves; everything else works on one row per date.  ``stage(df, name)`` may store the
+    profile and the rows of the date in the middle: two reads then, four or more without.
     """
-    profile = monitoring.daily_profile(predictions)
+    profile = stage(monitoring.daily_profile(predictions), "profile")
     rolled = monitoring.overall(profile)
-    drifted = monitoring.drift(predictions, keys, threshold, profile)
+    drifted = monitoring.drift(predictions, keys, threshold, profile, stage=stage)
     row = rolled.filter("n > 0").withColumn("d", drifted.select(F.struct("*")).scalar())
     if oot is None:
         row = row.withColumns({"oot_rating": F.lit(None).cast("string"), "oot_cv": F.lit(None).cast("double")})

@@ -485,13 +485,16 @@ def threshold_incidents(i):
 @query
 def monitoring_row(i):
     oot = monitoring.oot_stability(daily_auc(i).withColumn("model_version", F.lit("m")))
-    metrics = monitor.run_metrics(stored_predictions(i), day("2024-02-01"), "credit_model_2024_02_01.pkl", oot, ROW_KEYS)
+    metrics = monitor.run_metrics(
+        stored_predictions(i), day("2024-02-01"), "credit_model_2024_02_01.pkl", oot, ROW_KEYS, stage=staged(i)
+    )
     return monitor.monitoring_row(governance.apply_rules(metrics))
 
 
 def governed(i: Inputs) -> DataFrame:
     """Rules per snapshot date.  The rating of a date comes from its predictions' AUC over three equal parts."""
-    drifted = monitoring.drift_by_period(profile(i))
+    daily = staged(i)(profile(i), "profile")
+    drifted = monitoring.drift_by_period(daily)
     parts = splits.equal_parts(stored_predictions(i), ROW_KEYS, by=["snapshot_date"])
     cuts = order_stats.range_cuts(stored_predictions(i), monitoring.P)
     part_auc = order_stats.auc(parts, monitoring.P, "label", by=["snapshot_date", "part"], cuts=cuts)
@@ -502,8 +505,7 @@ def governed(i: Inputs) -> DataFrame:
     )
     cv = measures.stable_round(F.try_divide("std", "mean"))
     metrics = (
-        profile(i)
-        .join(drifted, "snapshot_date")
+        daily.join(drifted, "snapshot_date")
         .join(rating, "snapshot_date", "left")
         .select(
             "snapshot_date",
