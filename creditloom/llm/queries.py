@@ -50,6 +50,25 @@ def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
 
 
+LLM_ORACLES["op4_vectors"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), FALSE)))
+        AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), linked AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reached AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT reached.vec_id, linked.b FROM reached JOIN linked ON linked.a = reached.other
+)
+SELECT vec_id, (SELECT count(*) FROM linked WHERE a = vec_id) AS n_links, min(other) AS component_id,
+       vec_id = min(other) AS kept
+FROM reached GROUP BY vec_id
+"""
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three quarters of all tokens, dealt to domains, languages and sources by weight, up to two epochs a leaf."""
