@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -49,9 +51,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return tune(builder.getOrCreate())
 
 
+_HANDED_OUT: list[str] = []
+
+
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="creditloom-")
+    root = tempfile.mkdtemp(prefix="creditloom-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -65,7 +72,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.partition("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = _local_root()
-    return f"{root.rstrip('/')}/creditloom/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/creditloom/{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(folder)
+    return folder
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete every scratch folder handed out so far.  Results that still read one must have been written before."""
+    remove(spark, *_HANDED_OUT)
+    _HANDED_OUT.clear()
 
 
 def remove(spark: SparkSession, *folders: str) -> None:

@@ -42,6 +42,15 @@ def test_a_rebuild_drops_what_the_source_no_longer_holds(spark, tmp_path):
         assert ingest.ingest_bronze(spark, {"loans": str(tmp_path / "loans.csv")}, root) == {"loans": rows}
 
 
+def test_clean_deletes_scratch_folders(spark, monkeypatch):
+    monkeypatch.setattr(session, "_HANDED_OUT", [])
+    path = session.scratch_dir(spark, "test")
+    sinks.write_table(frame(spark, 1), path)
+    session.clean(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_skipped_files_are_listed(spark):
     path = session.scratch_dir(spark, "test")
     frame(spark, 1).coalesce(1).write.parquet(f"{path}/a.parquet")
