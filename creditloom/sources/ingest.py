@@ -34,8 +34,9 @@ def ingest_bronze(
 ) -> dict[str, int | None]:
     """Copy each source into the bronze layer and return its row count, or None for a source that does not exist.
 
-    A source replaces its bronze table: snapshots that it no longer holds go.  Any other failure stops the ingest.  Rows are counted from the footers of what was written.  (An ``Observation``
-    would count for free, but a session that has used one can no longer ship models with a training summary.)
+    A source replaces its bronze table: snapshots that it no longer holds go.  Any other failure stops the ingest.  Rows
+    are counted from the footers of what was written.  (An ``Observation`` would count for free, but a session that has
+    used one can no longer ship models with a training summary.)
     """
     report: dict[str, int | None] = {}
     for name, path in chosen_sources(sources, only).items():
