@@ -17,15 +17,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.llm import simhash
 from creditloom.llm.common import column, crc_mod, staged, text_of
 
 #: Bounds of the fit: labelled documents that lexicons are drawn from and documents the classifier sees (both in
 #: expectation, chosen by a hash), and features kept.
-LABELLED_SAMPLE = 40_000
-TRAINING_SAMPLE = 40_000
+LABELLED_SAMPLE = 20_000
+TRAINING_SAMPLE = 20_000
 POSITIVE_FEATURES, NEGATIVE_FEATURES = 8_000, 2_000
 STEMS = (4, 5, 6)
 LEXICONS = 6
+#: Labelled documents whose fingerprints differ in so few bits count once.
+COPY_SHINGLE, COPY_BITS = 3, 6
 MIN_DOCS = 3
 #: A feature counts from here on, and enters the voters' lexicons from there on; a hundred thousand candidates give
 #: a few by chance at the first and next to none at the second.
@@ -101,6 +104,14 @@ def lexicon(labelled: DataFrame) -> list[Feature]:
     return [Feature(*r) for r in best + worst]
 
 
+def one_of_each(labelled: DataFrame) -> DataFrame:
+    """One document of every group of near copies: copies share words and label, and are no evidence beyond the first.
+    ``labelled`` is a bounded sample."""
+    judged = simhash.near_copies(labelled, COPY_SHINGLE, COPY_BITS).filter("doc_id = component_id")
+    chosen = staged(judged.select("doc_id").distinct(), "one-of-each")
+    return labelled.join(F.broadcast(chosen), "doc_id")
+
+
 # -- voters -----------------------------------------------------------------------------------------------------------
 
 
@@ -225,21 +236,28 @@ class LabelModel:
 # -- classifier -------------------------------------------------------------------------------------------------------
 
 
-def train(rows: list[list[int]], target: np.ndarray, n_features: int, steps: int = 300, ridge: float = 1e-4):
-    """Logistic regression on 0/1 features and probabilistic labels, by full-batch gradient steps: (weights, bias)."""
+def train(rows: list[list[int]], target: np.ndarray, n_features: int, steps: int = 500, ridge: float = 0.01):
+    """Logistic regression on 0/1 features and probabilistic labels, by full-batch gradient steps: (weights, bias).
+
+    Both labels weigh the same in total.  The ridge spreads the evidence: documents with one or two toxic words must
+    score too, although most have more."""
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
     flat = np.concatenate([np.asarray(r, np.int64) for r in rows]) if lengths.sum() else np.zeros(0, np.int64)
     of = np.repeat(np.arange(len(rows)), lengths)
     weights, bias = np.zeros(n_features), 0.0
+    if not len(rows) or not 0 < target.sum() < len(rows):
+        return weights, bias
+    share = 1 + ((1 - target).sum() / target.sum() - 1) * target
+    share = share / share.sum()
     seen, seen_bias = np.full(n_features, 1e-8), 1e-8
-    for _ in range(steps if len(rows) else 0):
+    for _ in range(steps):
         z = np.bincount(of, weights[flat], len(rows)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - target) / len(rows)
+        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - target) * share
         slope = np.bincount(flat, error[of], n_features) + ridge * weights
         seen += slope**2
         seen_bias += error.sum() ** 2
-        weights -= 0.3 * slope / np.sqrt(seen)
-        bias -= 0.3 * error.sum() / np.sqrt(seen_bias)
+        weights -= 0.6 * slope / np.sqrt(seen)
+        bias -= 0.6 * error.sum() / np.sqrt(seen_bias)
     return weights, bias
 
 
@@ -276,7 +294,9 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2)
 
     n_known = known.count()
     drawn = sampled(source, n_known, LABELLED_SAMPLE, 1, "doc_id").filter(crc_mod(F.col("doc_id"), folds) != held_out)
-    found = lexicon(drawn.join(sampled(known, n_known, LABELLED_SAMPLE, 1, "doc_id"), "doc_id").select("text", "toxic"))
+    # The drawn labels are bounded by the sample, so their documents meet them without moving texts.
+    drawn = drawn.join(F.broadcast(sampled(known, n_known, LABELLED_SAMPLE, 1, "doc_id")), "doc_id")
+    found = lexicon(one_of_each(drawn).select("text", "toxic"))
     fold = (crc_mod(F.col("doc_id"), folds) == held_out).alias("held_out")
     if not found:
         return source.select("doc_id", fold, F.lit(0.0).alias("score")), Model({}, np.zeros(0), 0.0, [], None)
