@@ -23,17 +23,8 @@ def test_query_equals_oracle(spark, con, name):
     assert differences(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == []
 
 
-MODEL_QUERIES = sorted(set(QUERIES) - set(ORACLES))
-
-
-@pytest.mark.parametrize("name", MODEL_QUERIES)
-def test_model_query_is_sane(spark, name):
-    rows = QUERIES[name](spark, SF_DIR).collect()
-    assert rows
-    for row in rows:
-        for column in ("auc", "cv_auc", "model_predictions"):
-            if column in row and row[column] is not None:
-                assert 0 <= row[column] <= 1
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
