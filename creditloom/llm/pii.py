@@ -26,7 +26,11 @@ SLASH_DATE = r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9]|/[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9])(?:\+1[ -])?(?:\([0-9]{3}\) ?|[0-9]{3}[ -])[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-CANDIDATE = "|".join([EMAIL, IP, ISO_DATE, DOT_DATE, SLASH_DATE, SSN, PHONE, CARD])
+NUMBER = "|".join([IP, ISO_DATE, DOT_DATE, SLASH_DATE, SSN, PHONE, CARD])
+CANDIDATE = f"(?=[0-9+(])(?:{NUMBER})|{EMAIL}"  # one look decides at most characters
+#: Two noncharacters of Unicode.  The first marks where candidates begin and end; where a text has it, the second
+#: follows it meanwhile.
+MARK, STAYS = "\ufdd0", "\ufdd1"
 FOUND_TYPE = "array<struct<kind:string,value:string,pseudonym:string>>"
 KINDS = ("email", "ip", "date", "ssn", "phone", "card")
 FIRST_DAY = "1900-01-01"
@@ -38,6 +42,11 @@ def whole(pattern: str, value: Column) -> Column:
     return F.regexp_like(value, F.lit(f"^(?:{pattern})$"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the value, which is computed once however often the body or its inner functions use it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -85,10 +94,9 @@ def permuted_digits(value: Column, key: str, tag: str) -> Column:
     """A string of digits mapped to another of the same length."""
     half = F.floor(F.length(value) / 2).cast("int")
     rest = F.length(value) - half
-    pair = feistel(
-        number(part(value, F.lit(1), half)), number(part(value, half + 1, rest)), power_of_ten(half), power_of_ten(rest), key, tag
-    )
-    return F.concat(padded(pair["l"], half), padded(pair["r"], rest))
+    left, right = number(part(value, F.lit(1), half)), number(part(value, half + 1, rest))
+    pair = feistel(left, right, power_of_ten(half), power_of_ten(rest), key, tag)
+    return let(pair, lambda p: F.concat(padded(p["l"], half), padded(p["r"], rest)))
 
 
 def luhn_sum(value: Column, last_weight: int) -> Column:
@@ -154,23 +162,29 @@ def is_kind(kind: str) -> Callable[[Column], Column]:
 
 
 def new_card(value: Column, key: str) -> Column:
-    d = digits(value)
-    payload = permuted_digits(part(d, F.lit(1), F.length(d) - 1), key, "card")
-    check = (10 - luhn_sum(payload, 2) % 10) % 10
-    return put_back(value, F.concat(payload, check.cast("string")))
+    def checked(payload: Column) -> Column:
+        return F.concat(payload, ((10 - luhn_sum(payload, 2) % 10) % 10).cast("string"))
+
+    payload = let(digits(value), lambda d: permuted_digits(part(d, F.lit(1), F.length(d) - 1), key, "card"))
+    return let(let(payload, checked), lambda new: put_back(value, new))
 
 
 def new_phone(value: Column, key: str) -> Column:
-    d = digits(value)
-    last_ten = permuted_digits(F.right(d, F.lit(10)), key, "phone")
-    return put_back(value, F.concat(part(d, F.lit(1), F.length(d) - 10), last_ten))
+    def new_digits(d: Column) -> Column:
+        return F.concat(part(d, F.lit(1), F.length(d) - 10), permuted_digits(F.right(d, F.lit(10)), key, "phone"))
+
+    return let(let(digits(value), new_digits), lambda new: put_back(value, new))
 
 
 def new_ip(value: Column, key: str) -> Column:
     side = F.lit(65536).cast("bigint")
     pair = feistel(octet(value, 0) * 256 + octet(value, 1), octet(value, 2) * 256 + octet(value, 3), side, side, key, "ip")
-    halves = [f(pair[h]) for h in ("l", "r") for f in (lambda x: F.floor(x / 256), lambda x: x % 256)]
-    return F.concat_ws(".", *(h.cast("bigint").cast("string") for h in halves))
+
+    def dotted(p: Column) -> Column:
+        halves = [f(p[h]) for h in ("l", "r") for f in (lambda x: F.floor(x / 256), lambda x: x % 256)]
+        return F.concat_ws(".", *(h.cast("bigint").cast("string") for h in halves))
+
+    return let(pair, dotted)
 
 
 def new_ssn(value: Column, key: str) -> Column:
@@ -179,21 +193,29 @@ def new_ssn(value: Column, key: str) -> Column:
     index = area - 1 - (area > 666).cast("int")
     a, b = F.lit(AREAS * GROUPS).cast("bigint"), F.lit(SERIALS).cast("bigint")
     pair = feistel(index * GROUPS + group - 1, serial - 1, a, b, key, "ssn")
-    new = F.floor(pair["l"] / GROUPS)
-    return F.concat_ws(
-        "-", padded(new + 1 + (new >= 665).cast("int"), 3), padded(pair["l"] % GROUPS + 1, 2), padded(pair["r"] + 1, 4)
-    )
+
+    def dashed(p: Column) -> Column:
+        new = F.floor(p["l"] / GROUPS)
+        return F.concat_ws(
+            "-", padded(new + 1 + (new >= 665).cast("int"), 3), padded(p["l"] % GROUPS + 1, 2), padded(p["r"] + 1, 4)
+        )
+
+    return let(pair, dashed)
 
 
 def new_date(value: Column, key: str) -> Column:
     side, day = F.lit(DAY_SIDE).cast("bigint"), day_number(value)
     pair = feistel(F.floor(day / DAY_SIDE), day % DAY_SIDE, side, side, key, "date")
-    date = F.date_add(F.lit(FIRST_DAY).cast("date"), (pair["l"] * DAY_SIDE + pair["r"]).cast("int"))
-    return (
-        F.when(whole(ISO_DATE, value), F.date_format(date, "yyyy-MM-dd"))
-        .when(whole(DOT_DATE, value), F.date_format(date, "dd.MM.yyyy"))
-        .otherwise(F.date_format(date, "MM/dd/yyyy"))
-    )
+
+    def written(p: Column) -> Column:
+        date = F.date_add(F.lit(FIRST_DAY).cast("date"), (p["l"] * DAY_SIDE + p["r"]).cast("int"))
+        return (
+            F.when(whole(ISO_DATE, value), F.date_format(date, "yyyy-MM-dd"))
+            .when(whole(DOT_DATE, value), F.date_format(date, "dd.MM.yyyy"))
+            .otherwise(F.date_format(date, "MM/dd/yyyy"))
+        )
+
+    return let(pair, written)
 
 
 def new_email(value: Column, key: str) -> Column:
@@ -201,9 +223,7 @@ def new_email(value: Column, key: str) -> Column:
     within their class; at most 64 characters, so a hash has enough bytes for a half."""
 
     def shifted(half: Column, step: Column, other: Column) -> Column:
-        stream = hashed(key, "email", step, other)
-
-        def char(i: Column) -> Column:
+        def char(stream: Column, i: Column) -> Column:
             own = part(half, i, F.lit(1))
             add, code = F.conv(part(stream, 2 * i - 1, F.lit(2)), 16, 10).cast("int"), F.ascii(own)
 
@@ -217,7 +237,9 @@ def new_email(value: Column, key: str) -> Column:
                 .otherwise(own)
             )
 
-        moved = F.array_join(F.transform(F.sequence(F.lit(1), F.length(half)), char), "")
+        places = F.sequence(F.lit(1), F.length(half))
+        stream = hashed(key, "email", step, other)
+        moved = let(stream, lambda s: F.array_join(F.transform(places, lambda i: char(s, i)), ""))
         return F.when(F.length(half) == 0, half).otherwise(moved)
 
     def step(pair: Column, i: Column) -> Column:
@@ -231,7 +253,7 @@ def new_email(value: Column, key: str) -> Column:
     half = F.floor(F.length(name) / 2).cast("int")
     start = F.struct(part(name, F.lit(1), half).alias("l"), part(name, half + 1, F.length(name)).alias("r"))
     pair = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
-    return F.concat(pair["l"], pair["r"], F.lit("@"), F.substring_index(value, "@", -1))
+    return let(pair, lambda p: F.concat(p["l"], p["r"], F.lit("@"), F.substring_index(value, "@", -1)))
 
 
 def pseudonym(kind: Column, value: Column, key: str) -> Column:
@@ -250,23 +272,23 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_
     fail validation stay.  A null text stays null with nothing found; an empty text stays empty.  Repeated rows are
     treated alike, other columns stay; ``found_col`` gets another name where ``docs`` has one of that name.
     """
-    text = column(docs, text_col)
-    candidates = F.transform(
-        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
-        lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value")),
-    )
-    judged, found = unused(docs, "candidates"), unused(docs, found_col)
-    named = docs.withColumn(
-        judged,
-        F.transform(
-            candidates,
-            lambda f: F.struct(f["kind"].alias("kind"), f["value"].alias("value"), pseudonym(f["kind"], f["value"], key).alias("pseudonym")),
-        ),
-    )
-    gaps = F.split(text, CANDIDATE, -1)
-    new = F.array_join(
-        F.flatten(F.zip_with(gaps, judged, lambda gap, f: F.array(gap, F.coalesce(f["pseudonym"], F.lit(""))))), ""
+    text = column(docs, text_col).cast("string")
+    guarded = F.replace(text, F.lit(MARK), F.lit(MARK + STAYS))
+    # One pass of the pattern: every second piece is a candidate.
+    pieces = F.split(F.regexp_replace(guarded, f"({CANDIDATE})", f"{MARK}$1{MARK}"), f"{MARK}(?!{STAYS})", -1)
+
+    def sort(piece: Column, at: Column) -> Column:
+        return F.struct(F.when(at % 2 == 1, kind_of(piece)).alias("kind"), piece.alias("value"))
+
+    def judge(f: Column) -> Column:
+        return F.struct(f["kind"].alias("kind"), f["value"].alias("value"), pseudonym(f["kind"], f["value"], key).alias("pseudonym"))
+
+    judged, found = unused(docs, "pieces"), unused(docs, found_col)
+    named = docs.withColumn(judged, F.transform(F.transform(pieces, sort), judge))
+    new = F.array_join(F.transform(judged, lambda f: f["pseudonym"]), "")
+    listed = F.filter(judged, lambda f: f["kind"].isNotNull())
+    return (
+        named.withColumn(text_col, F.replace(new, F.lit(MARK + STAYS), F.lit(MARK)))
+        .withColumn(found, F.coalesce(listed, F.array().cast(FOUND_TYPE)))
+        .drop(judged)
     )
-    return named.withColumn(text_col, F.when(text.isNotNull(), new)).withColumn(
-        found, F.coalesce(F.filter(judged, lambda f: f["kind"].isNotNull()), F.array().cast(FOUND_TYPE))
-    ).drop(judged)

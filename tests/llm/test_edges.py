@@ -140,7 +140,7 @@ def test_tokens_and_bpe(odd, none):
     few = tokens.token_counts(odd, PATH, sample_docs=0).collect()  # everything through the join
     assert sorted(map(str, few)) == sorted(map(str, counted))
     coded = bpe.decode(bpe.encode(odd, PATH), PATH).collect()
-    assert len(coded) == 13
+    assert len(coded) == 13 and sorted(map(str, coded)) == sorted(map(str, bpe.encode(odd, PATH, decoded=True).collect()))
     for r in coded:
         assert r.ids == expected[r.doc_id] and r.decoded == library.decode(r.ids, skip_special_tokens=False)
     assert tokens.token_counts(none, PATH).count() == 0 and bpe.decode(bpe.encode(none, PATH), PATH).count() == 0
@@ -239,6 +239,7 @@ PRIVATE = [
     "+1 (017) 555-7713 or 212-555-0123", "10.0.0.1 256.1.1.1 01.2.3.4 1.2.3.4.5 192.168.255.0.", "1999-12-31 2099-08-05 2001-02-29 1900-01-01",
     "24.12.2020, 12/24/2020, 24/12/2020", "123-45-6789 000-12-3456 666-12-3456 899-99-9999", "7@a.bc", "x" * 300 + "@a.com",
     "5105105105105100" * 3, "378282246310005 6304000000000000000", "@ @@ a@b", "9" * 100_000,
+    "\ufdd0 1.2.3.4 \ufdd0\ufdd1 a@b.cd\ufdd0\ufdd0", "\ufdd1" + "4111111111111111" + "\ufdd0",
 ]
 
 
