@@ -45,7 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens, decoded_sha256): token ids, and the digest of the text they decode to."""
     prepare(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, path, decoded=True)
     return coded.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -29,7 +29,7 @@ SPACES = "\t-\r \x85\xa0"
 LATIN_PIECES = re.compile(f"[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{DIGITS}]|[^{SPACES}{LETTERS}{DIGITS}]+")
 #: What the splitter above stands for; a file with another rule is refused.
 SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 
 
 def byte_letters() -> list[str]:
@@ -142,16 +142,13 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _batches(rows: list, pack) -> Iterator[pa.RecordBatch]:
-    if rows:
-        yield pack(rows)
+OUT_BYTES = 8 << 20  # of an output batch, which keeps worker memory bounded
 
 
-OUT_BYTES = 32 << 20
-
-
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: (doc_id, ids array<int>).
+def encode(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
+    """One row per document: (doc_id, ids array<int>), with ``decoded`` also the text that the ids decode to.
 
     Null and empty texts give no ids; special strings inside texts become their ids; nothing is added or cut.
     Repeated rows are encoded each, other columns are not read, an empty table gives an empty result.
@@ -160,24 +157,29 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        bpe, keys, packed, size = load(path), [], [], 0
+        bpe, keys, packed, texts, size = load(path), [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
-            return pa.RecordBatch.from_arrays([pa.array(keys, batch.column("doc_id").type), ids], names=["doc_id", "ids"])
+            columns = [pa.array(keys, batch.column("doc_id").type), ids]
+            if decoded:
+                columns.append(pa.array(texts, pa.string()))
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
         for key, text in zip(batch.column("doc_id"), batch.column("text")):
             keys.append(key.as_py())
             packed.append(bpe.encode(text.as_py()))
+            if decoded:
+                texts.append(bpe.decode(np.frombuffer(packed[-1], np.int32).tolist()))
             size += len(packed[-1])
             if size >= OUT_BYTES:
                 yield flush()
-                keys, packed, size = [], [], 0
+                keys, packed, texts, size = [], [], [], 0
         if keys:
             yield flush()
 
-    return by_batch(source, work, f"doc_id {id_type}, ids array<int>")
+    return by_batch(source, work, f"doc_id {id_type}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -185,17 +187,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     id_type = encoded.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        bpe, ids = load(path), batch.column("ids")
-        at, size = 0, 0
-        texts = []
-        for row, item in enumerate(ids):
-            texts.append(bpe.decode(item.values.to_numpy().tolist()) if len(item.values) else "")
-            size += len(texts[-1])
-            if size >= OUT_BYTES or row + 1 == len(ids):
-                part = batch.slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"]
-                )
-                at, size, texts = row + 1, 0, []
+        bpe = load(path)
+        texts = [bpe.decode(item.values.to_numpy().tolist()) if len(item.values) else "" for item in batch.column("ids")]
+        columns = [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
     return by_batch(encoded, work, f"doc_id {id_type}, ids array<int>, decoded string")

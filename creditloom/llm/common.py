@@ -18,9 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes of an Arrow batch.  Texts are long: Spark's default of 10,000 rows costs workers and JVM hundreds of
+#: megabytes.
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings, and the place of this package for the Python workers."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return session.tune(spark)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import by_batch, column, crc_mod, staged
+from creditloom.llm.common import column, crc_mod, staged
 
 UNDETERMINED = "und"
 #: Bounds of the fit: documents per language (in expectation), languages, words and n-grams kept (the most frequent).
@@ -24,7 +23,7 @@ GRAMS = 50_000
 LONGEST_GRAM = 4
 WORD = re.compile(r"[^\W\d_]+")
 COUNTED_AT_ONCE = 200_000
-CACHED_WORDS = 100_000
+CACHED_WORDS = 50_000
 
 
 class Model(NamedTuple):
@@ -143,7 +142,7 @@ class Scorer:
             parts, vector = self.model.parts, np.zeros(len(self.model.languages))
             for size in range(LONGEST_GRAM, 0, -1):
                 if found := [parts[g] for g in grams_of(word, size) if g in parts]:
-                    vector = self.model.grams[found].mean(axis=0)
+                    vector = np.add.reduce(self.model.grams.take(found, axis=0), axis=0) / len(found)
                     break
             if len(self.unseen) >= CACHED_WORDS:
                 self.unseen.clear()
@@ -180,15 +179,16 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     kept = [f for f in source.schema if f.name != "text"]
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
-        judged = [scorer.judge(text.as_py()) for text in batch.column("text")]
-        columns = [batch.column(f.name) for f in kept]
-        columns += [pa.array([j[0] for j in judged], pa.string()), pa.array([j[1] for j in judged], pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in kept), "lang_pred", "score"])
+        for batch in batches:
+            judged = [scorer.judge(text.as_py()) for text in batch.column("text")]
+            columns = [batch.column(f.name) for f in kept]
+            columns += [pa.array([j[0] for j in judged], pa.string()), pa.array([j[1] for j in judged], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in kept), "lang_pred", "score"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
-    return by_batch(source, work, f"{fields}, lang_pred string, score double")
+    return source.mapInArrow(work, f"{fields}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -214,9 +214,10 @@ def drop_unidentified(docs: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
     chance = 1 / len(model.languages) + 1e-9 if len(model.languages) > 1 else 0.0
 
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
-        judged = [scorer.judge(text.as_py()) for text in batch.column("text")]
-        yield batch.filter(pa.array([lang != UNDETERMINED and score > chance for lang, score in judged]))
+        for batch in batches:
+            judged = [scorer.judge(text.as_py()) for text in batch.column("text")]
+            yield batch.filter(pa.array([lang != UNDETERMINED and score > chance for lang, score in judged], pa.bool_()))
 
-    return by_batch(docs, work, docs.schema)
+    return docs.mapInArrow(work, docs.schema)

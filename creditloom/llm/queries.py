@@ -109,7 +109,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of whole texts and the text they decode to, as digests."""
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE), WORD_BPE)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE, decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -102,7 +102,8 @@ def intervals(classes: DataFrame, axes: np.ndarray, eps: float, length: int) ->
                 "high": [z.max(axis=0).tolist()],
             }
             number += 1
-            kinds = (pa.int64(), *(pa.list_(t) for t in (pa.int64(), pa.int64(), part.schema.field("vector").type.value_type, pa.float64(), pa.float64())))
+            entry = part.schema.field("vector").type.value_type
+            kinds = (pa.int64(), *map(pa.list_, (pa.int64(), pa.int64(), entry, pa.float64(), pa.float64())))
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], names=list(row))
 
         for batch in batches:
@@ -239,7 +240,13 @@ def interval_links(stored: DataFrame, axes: np.ndarray, threshold: float) -> Dat
     return met.mapInArrow(work, "class long, weight long, other long")
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", interval: int = INTERVAL) -> DataFrame:
+def near_vectors(
+    vectors: DataFrame,
+    threshold: float = 0.95,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    interval: int = INTERVAL,
+) -> DataFrame:
     """One row per vector: (vec_id, n_links, component_id, kept).
 
     Vectors link when their cosine in double precision is at least ``threshold`` (above 0, at most 1).  ``n_links``
