@@ -41,7 +41,8 @@ def words_of(text: str) -> list[str]:
 
 
 def grams_of(word: str, size: int) -> list[str]:
-    padded = f" {word} "
+    """The n-grams of the word between blanks, without those that are only a blank: every language has them."""
+    padded = f" {word} " if size > 1 else word
     return [padded[i : i + size] for i in range(len(padded) - size + 1)]
 
 

@@ -2,7 +2,7 @@
 
 import random
 
-from creditloom.llm import toxicity
+from creditloom.llm import language, toxicity
 
 
 def test_lexicon_sees_every_label_up_to_its_documented_bound(spark):
@@ -25,3 +25,19 @@ def crc(i):
     import zlib
 
     return zlib.crc32(str(i).encode())
+
+
+LANGUAGES = {
+    "en": "the cat sat on the mat and the dog ran to the house with a red door",
+    "fr": "le chat est sur la table et le chien court vers la maison avec une porte rouge",
+    "de": "die Katze sitzt auf der Matte und der Hund rennt zu dem Haus mit einer roten Tür",
+}
+
+
+def test_unseen_scripts_give_no_evidence(spark):
+    rows = [(3 * i + k, text, lang) for i in range(30) for k, (lang, text) in enumerate(LANGUAGES.items())]
+    unseen = {1000: "привет мир " * 100, 1001: "中文 文本 没有 证据 " * 50, 1002: "ελληνικά"}
+    docs = spark.createDataFrame([*rows, *((i, t, None) for i, t in unseen.items())], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in language.drop_unidentified(docs).collect()} == {i for i, _, _ in rows}
+    scores = {r.doc_id: r.score for r in language.identify(docs).collect()}
+    assert all(abs(scores[i] - 1 / 3) < 1e-9 for i in unseen)
