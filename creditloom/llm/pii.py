@@ -28,6 +28,10 @@ PHONE = r"(?<![0-9])(?:\+1[ -])?(?:\([0-9]{3}\) ?|[0-9]{3}[ -])[0-9]{3}-[0-9]{4}
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 NUMBER = "|".join([IP, ISO_DATE, DOT_DATE, SLASH_DATE, SSN, PHONE, CARD])
 CANDIDATE = f"(?=[0-9+(])(?:{NUMBER})|{EMAIL}"  # one look decides at most characters
+#: All formats but cards, and, in what they leave, the stretches of digits, blanks and hyphens that may hold cards.
+NO_CARD = f"(?=[0-9+(])(?:{'|'.join([IP, ISO_DATE, DOT_DATE, SLASH_DATE, SSN, PHONE])})|{EMAIL}"
+STRETCH = r"(?<![0-9])[0-9][0-9 -]{12,}+"
+CARD_DIGITS = 19
 #: Two noncharacters of Unicode.  The first marks where candidates begin and end; where a text has it, the second
 #: follows it meanwhile.
 MARK, STAYS = "\ufdd0", "\ufdd1"
@@ -152,10 +156,57 @@ def kind_of(value: Column) -> Column:
         .when(whole(ISO_DATE, value) | whole(DOT_DATE, value) | whole(SLASH_DATE, value), F.when(is_date, "date"))
         .when(whole(SSN, value), F.when(assigned, "ssn"))
         .when(whole(PHONE, value), "phone")
-        .when(luhn_sum(d, 1) % 10 == 0, "card")
     )
 
 
+def sorted_piece(kind: Column, value: Column) -> Column:
+    return F.struct(kind.cast("string").alias("kind"), value.alias("value"))
+
+
+def cards_in(stretch: Column) -> Column:
+    """A stretch as pieces (kind, value): the Luhn-valid runs of 13 to 19 digits that start and end at group borders are
+    cards, the rest is plain.  Of runs that overlap the longer one counts, of equally long ones the first."""
+
+    def runs(groups: Column) -> Column:
+        """The longest valid run from each group, as places among the groups and separators."""
+
+        def longest(start: Column) -> Column:
+            ends = F.sequence(start, F.least(F.size(groups), start + 2 * CARD_DIGITS - 2), F.lit(2))
+            made = F.transform(ends, lambda end: F.struct(
+                start.alias("start"), end.alias("end"), F.array_join(F.slice(groups, start, end - start + 1), "").alias("value")
+            ))
+            valid = F.filter(made, lambda r: F.when(whole(CARD, r["value"]), luhn_sum(digits(r["value"]), 1) % 10 == 0).otherwise(False))
+            return F.slice(valid, -1, 1)
+
+        found = F.transform(F.sequence(F.lit(1), F.size(groups), F.lit(2)), longest)
+        return F.flatten(found)
+
+    def apart(found: Column) -> Column:
+        def add(chosen: Column, run: Column) -> Column:
+            last = F.get(chosen, F.size(chosen) - 1)
+            longer = F.length(digits(run["value"])) > F.length(digits(last["value"]))
+            instead = F.concat(F.slice(chosen, F.lit(1), F.size(chosen) - 1), F.array(run))
+            after = F.concat(chosen, F.array(run))
+            overlap = F.coalesce(last["end"] >= run["start"], F.lit(False))
+            return F.when(~overlap, after).when(longer, instead).otherwise(chosen)
+
+        return F.aggregate(found, F.slice(found, F.lit(1), F.lit(0)), add)
+
+    def cut(groups: Column, chosen: Column) -> Column:
+        def plain(start: Column, end: Column) -> Column:
+            return sorted_piece(F.lit(None), F.array_join(F.slice(groups, start, end - start + 1), ""))
+
+        def with_gap(run: Column, at: Column) -> Column:
+            before = F.coalesce(F.get(chosen, at - 1)["end"], F.lit(0))
+            return F.array(plain(before + 1, run["start"] - 1), sorted_piece(F.lit("card"), run["value"]))
+
+        rest = F.coalesce(F.get(chosen, F.size(chosen) - 1)["end"], F.lit(0))
+        return F.concat(F.flatten(F.transform(chosen, with_gap)), F.array(plain(rest + 1, F.size(groups))))
+
+    groups = F.regexp_extract_all(stretch, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+    return let(groups, lambda g: let(apart(runs(g)), lambda chosen: cut(g, chosen)))
+
+
 def is_kind(kind: str) -> Callable[[Column], Column]:
     """Predicate on an element of the ``found`` column."""
     return lambda f: f["kind"] == kind
@@ -274,17 +325,23 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_
     """
     text = column(docs, text_col).cast("string")
     guarded = F.replace(text, F.lit(MARK), F.lit(MARK + STAYS))
-    # One pass of the pattern: every second piece is a candidate.
-    pieces = F.split(F.regexp_replace(guarded, f"({CANDIDATE})", f"{MARK}$1{MARK}"), f"{MARK}(?!{STAYS})", -1)
+
+    def split(value: Column, pattern: str) -> Column:
+        """Every second piece is a match."""
+        return F.split(F.regexp_replace(value, f"({pattern})", f"{MARK}$1{MARK}"), f"{MARK}(?!{STAYS})", -1)
+
+    def within(piece: Column, at: Column) -> Column:
+        return F.when(at % 2 == 1, cards_in(piece)).otherwise(F.array(sorted_piece(F.lit(None), piece)))
 
     def sort(piece: Column, at: Column) -> Column:
-        return F.struct(F.when(at % 2 == 1, kind_of(piece)).alias("kind"), piece.alias("value"))
+        cards = F.flatten(F.transform(split(piece, STRETCH), within))
+        return F.when(at % 2 == 1, F.array(sorted_piece(kind_of(piece), piece))).otherwise(cards)
 
     def judge(f: Column) -> Column:
         return F.struct(f["kind"].alias("kind"), f["value"].alias("value"), pseudonym(f["kind"], f["value"], key).alias("pseudonym"))
 
     judged, found = unused(docs, "pieces"), unused(docs, found_col)
-    named = docs.withColumn(judged, F.transform(F.transform(pieces, sort), judge))
+    named = docs.withColumn(judged, F.transform(F.flatten(F.transform(split(guarded, NO_CARD), sort)), judge))
     new = F.array_join(F.transform(judged, lambda f: f["pseudonym"]), "")
     listed = F.filter(judged, lambda f: f["kind"].isNotNull())
     return (

@@ -2,7 +2,7 @@
 
 import random
 
-from creditloom.llm import language, toxicity
+from creditloom.llm import language, pii, toxicity
 
 
 def test_lexicon_sees_every_label_up_to_its_documented_bound(spark):
@@ -41,3 +41,26 @@ def test_unseen_scripts_give_no_evidence(spark):
     assert {r.doc_id for r in language.drop_unidentified(docs).collect()} == {i for i, _, _ in rows}
     scores = {r.doc_id: r.score for r in language.identify(docs).collect()}
     assert all(abs(scores[i] - 1 / 3) < 1e-9 for i in unseen)
+
+
+BESIDE = [
+    ("4111 1111 1111 1111 123", ["4111 1111 1111 1111"]),
+    ("4111 1111 1111 1111 12/27", ["4111 1111 1111 1111"]),
+    ("room 5 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+    ("4111111111111111 100 EUR", ["4111111111111111"]),
+    ("12345 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+    ("7 4111-1111-1111-1111 99 5105105105105100 3", ["4111-1111-1111-1111", "5105105105105100"]),
+    ("4111 1111 1111 1112 123", []),
+    ("4111 1111 1111 1111 10.0.0.1", ["4111 1111 1111 1111", "10.0.0.1"]),
+    ("1 " * 20_000, None),
+]
+
+
+def test_cards_beside_other_numbers(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(BESIDE)], "doc_id int, text string")
+    for r in pii.pseudonymise(docs).collect():
+        text, values = BESIDE[r.doc_id]
+        assert values is None or [f.value for f in r.found] == values
+        for f in r.found:
+            text = text.replace(f.value, f.pseudonym, 1)
+        assert values is None or r.text == text
