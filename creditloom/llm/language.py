@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from creditloom.llm.common import column, crc_mod, staged
 
 UNDETERMINED = "und"
-#: Bounds of the fit: documents per language (in expectation), languages, words and n-grams kept (the most frequent).
+#: Bounds of the fit: documents per language (in expectation), languages, words and n-grams kept (the most frequent
+#: of every language).
 DOCS_PER_LANGUAGE = 5_000
 LANGUAGES = 500
-WORDS = 100_000
-GRAMS = 50_000
+WORDS = 150_000
+GRAMS = 80_000
 LONGEST_GRAM = 4
 WORD = re.compile(r"[^\W\d_]+")
 COUNTED_AT_ONCE = 200_000
@@ -84,7 +85,7 @@ def fit(
     """Fit on rows (key, text, lang); rows without text or language are ignored.
 
     Up to ``docs_per_language`` documents of a language in expectation, chosen by a hash, are counted as a Spark job;
-    the most frequent words and n-grams come to the driver.  Both bounds are parameters of the classifier.
+    the most frequent words and n-grams of every language come to the driver.  Both bounds are parameters of the classifier.
     """
     labelled = labelled.filter("text is not null and lang is not null")
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(LANGUAGES)
@@ -106,15 +107,19 @@ def fit(
 def _table(
     by_lang: DataFrame, most: int, totals: dict[tuple[int, str], int], languages: list[str]
 ) -> tuple[dict[str, int], np.ndarray]:
-    """The most frequent pieces, at most ``most``, and their log frequencies.  The least count that is kept follows from
-    a table of counts, so no task ranks all pieces; pieces come to the driver as Arrow columns, one row per language
+    """The most frequent pieces of every language, at most ``most`` together, and their log frequencies.  A piece has its
+    best rank in any language, so a language with few documents keeps as many pieces as a large one.  Ranks and the last
+    rank that is kept follow from tables of counts, so no task ranks all pieces; pieces come to the driver as Arrow columns, one row per language
     that has them.  A language without the piece gets half an occurrence in the largest language's
     total, so that a language with few documents is not favoured."""
-    sums = by_lang.groupBy("size", "piece").agg(F.sum("n").alias("total"))
-    sizes_of = sums.groupBy("total").agg(F.count("*").alias("pieces"))
-    so_far = F.sum("pieces").over(Window.orderBy(F.desc("total")))
-    least = sizes_of.withColumn("so_far", so_far).filter(F.col("so_far") <= most).agg(F.min("total").alias("total")).first()
-    kept = sums.filter(F.col("total") >= least.total) if least.total else sums.limit(0)
+    of_lang = Window.partitionBy("lang").orderBy(F.desc("n"))
+    ranks = by_lang.groupBy("lang", "n").agg(F.count("*").alias("pieces"))
+    ranks = ranks.select("lang", "n", F.sum("pieces").over(of_lang).alias("rank"))
+    best = by_lang.join(F.broadcast(ranks), ["lang", "n"]).groupBy("size", "piece").agg(F.min("rank").alias("rank"))
+    sizes_of = best.groupBy("rank").agg(F.count("*").alias("pieces"))
+    so_far = F.sum("pieces").over(Window.orderBy("rank"))
+    last = sizes_of.withColumn("so_far", so_far).filter(F.col("so_far") <= most).agg(F.max("rank").alias("rank")).first()
+    kept = best.filter(F.col("rank") <= last.rank) if last.rank else best.orderBy("rank", "piece").limit(most)
     rows = kept.select("size", "piece").join(by_lang, ["size", "piece"]).select("size", "piece", "lang", "n").toArrow()
     if not rows.num_rows:
         return {}, np.zeros((0, len(languages)))

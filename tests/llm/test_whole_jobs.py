@@ -64,3 +64,13 @@ def test_cards_beside_other_numbers(spark):
         for f in r.found:
             text = text.replace(f.value, f.pseudonym, 1)
         assert values is None or r.text == text
+
+
+def test_a_small_language_keeps_its_words(spark):
+    large = [(i, " ".join(f"{a}{b}lar" for a in "abcdefghij" for b in "klmnopqrst"), "xl") for i in range(50)]
+    small = [(100, "sma smb smc smd sme smf smg smh smi smj", "xs")]
+    docs = spark.createDataFrame(large + small, "key int, text string, lang string")
+    model = language.fit(docs, words=110, grams=10_000)
+    assert {f"sm{c}" for c in "abcdefghij"} <= set(model.known)
+    assert len(language.fit(docs, words=60, grams=10_000).known) <= 60
+    assert {f"sm{c}" for c in "abcdefghij"} <= set(language.fit(docs, words=60, grams=10_000).known)
