@@ -16,8 +16,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from creditloom.llm.common import by_batch, column, staged, text_of
+from creditloom.llm.common import by_batch, column, staged, text_of, unused
 from creditloom.llm.components import components
 
 SEED = 42
@@ -169,9 +170,29 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` with the row of the smallest id of each component; columns stay as they are.
 
-    Of rows that repeat this id, all with its text stay: they are one document.
+    Of rows that repeat this id, all with its text stay: they are one document.  Rows of one id, or without an id, whose
+    texts are in different components are judged each by its own text.
     """
     judged = near_copies(docs, width, radius, id_col, text_col)
-    dropped = judged.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("dropped"))
+    goes = ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    dropped = judged.filter(goes).select(F.col("doc_id").alias("dropped"), F.col("fingerprint").alias("dropped_print"))
     dropped = staged(dropped.distinct(), "near-copies")
-    return docs.join(dropped, column(docs, id_col).eqNullSafe(dropped["dropped"]), "left_anti")
+    ids = dropped.select("dropped").distinct()
+    stays = judged.filter(~goes).select(F.col("doc_id").alias("mixed")).distinct()
+    mixed = staged(stays.join(ids, F.col("mixed").eqNullSafe(F.col("dropped")), "left_semi"), "mixed-ids")
+    sure = ids.join(mixed, F.col("dropped").eqNullSafe(F.col("mixed")), "left_anti")
+    left = docs.join(sure, column(docs, id_col).eqNullSafe(sure["dropped"]), "left_anti")
+    if mixed.isEmpty():
+        return left
+    is_mixed = column(left, id_col).eqNullSafe(mixed["mixed"])
+    own, text = unused(docs, "own_print"), unused(docs, "own_text")
+    unsure = left.join(mixed, is_mixed, "left_semi").withColumn(text, text_of(left, text_col))
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        prints = [signed(fingerprint(t.as_py(), width)) for t in batch.column(text)]
+        yield batch.append_column(own, pa.array(prints, pa.int64()))
+
+    unsure = by_batch(unsure, work, T.StructType([*unsure.schema.fields, T.StructField(own, T.LongType())]))
+    same = column(unsure, id_col).eqNullSafe(dropped["dropped"]) & (unsure[own] == dropped["dropped_print"])
+    unsure = unsure.join(dropped, same, "left_anti").drop(own, text)
+    return left.join(mixed, is_mixed, "left_anti").unionByName(unsure)

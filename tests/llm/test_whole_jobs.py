@@ -2,7 +2,7 @@
 
 import random
 
-from creditloom.llm import language, pii, toxicity
+from creditloom.llm import language, pii, simhash, toxicity
 
 
 def test_lexicon_sees_every_label_up_to_its_documented_bound(spark):
@@ -74,3 +74,13 @@ def test_a_small_language_keeps_its_words(spark):
     assert {f"sm{c}" for c in "abcdefghij"} <= set(model.known)
     assert len(language.fit(docs, words=60, grams=10_000).known) <= 60
     assert {f"sm{c}" for c in "abcdefghij"} <= set(language.fit(docs, words=60, grams=10_000).known)
+
+
+def test_near_copies_are_dropped_by_row_not_by_id(spark):
+    one, two, three = "alpha beta gamma delta", "one two three four five", "red green blue black white"
+    rows = [(1, one), (None, one), (None, two), (5, three), (7, three), (7, "quite another text than those"), (7, "a third text of seven words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.text for r in kept.collect()) == sorted([one, two, three, rows[5][1], rows[6][1]])
+    assert {(r.doc_id, r.text) for r in kept.collect()} >= {(1, one), (None, two), (5, three)}
