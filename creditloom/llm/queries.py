@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import bpe, exact, language, mixing, pii, simhash, tokens, toxicity, urls, vectors
+from creditloom.llm import bpe, exact, fim, language, mixing, pii, simhash, tokens, toxicity, urls, vectors
 from creditloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -140,3 +140,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_ORACLES["op10_url_filter"] = urls.sql()
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts cut at token boundaries and put in prefix, suffix, middle order; digests of output and round trip."""
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+LLM_ORACLES["op11_fill_in_middle"] = fim.sql()
