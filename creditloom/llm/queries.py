@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import bpe, exact, fim, language, mixing, pii, simhash, tokens, toxicity, urls, vectors
+from creditloom.llm import bpe, exact, fim, language, mixing, pii, simhash, suffixes, tokens, toxicity, urls, vectors
 from creditloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -158,3 +158,20 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_ORACLES["op11_fill_in_middle"] = fim.sql()
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts without the bytes of 200-byte strings that start anywhere else."""
+    rest = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return rest.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+LLM_ORACLES["op13_suffix_dedup"] = suffixes.sql()
