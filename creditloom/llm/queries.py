@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import bpe, exact, fim, language, mixing, pii, simhash, suffixes, tokens, toxicity, urls, vectors
+from creditloom.llm import bpe, exact, fim, language, mixing, pii, simhash, suffixes, tokens, toxicity, trie, urls, vectors
 from creditloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -160,6 +160,15 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLES["op11_fill_in_middle"] = fim.sql()
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the conversations, each begun with turns of the first of its twenty."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), heads_of=20).drop("turn")
+
+
+LLM_ORACLES["op12_prefix_trie"] = trie.sql()
+
+
 @query
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts without the bytes of 200-byte strings that start anywhere else."""

@@ -27,7 +27,7 @@ def packed(df: DataFrame, position: Column, bits: int) -> np.ndarray:
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(p & 63 AS INT))")).alias("set"))
         .toArrow()
     )
-    screen = np.zeros(bits >> 6, np.uint64)
+    screen = np.zeros((bits + 63) >> 6, np.uint64)
     screen[words.column("word").to_numpy()] = words.column("set").to_numpy().view(np.uint64)
     return screen
 
