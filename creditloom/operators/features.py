@@ -204,7 +204,7 @@ def click_features(df: DataFrame, fitted: DataFrame | None = None) -> DataFrame:
 
 # --- feature store ----------------------------------------------------------------------------------------------
 
-SLICE = ["Customer_ID", "feature_snapshot_date", "label_snapshot_date", "label"]
+SLICE = ["Customer_ID", "loan_id", "feature_snapshot_date", "label_snapshot_date", "label"]
 
 
 def withhold(df: DataFrame, names: Sequence[str] = tuple(fixed.WITHHELD_COLUMNS)) -> DataFrame:
@@ -223,7 +223,9 @@ def feature_store(
 ) -> DataFrame:
     """Features of all sources for every customer and date that has an outcome ``mob`` months later.
 
-    Each source meets the labels, is processed on the matched rows, and the three results are joined on the slice.
+    Each source meets the labels, is processed on the matched rows, and the three results are joined on the slice.  The
+    loan is part of the slice, so a customer with k labels of one date has k rows; what a source itself repeats still
+    multiplies, see ``joins.repeated_slices``.
     The target itself, personal data and raw sources are withheld.
 
     Fitting reads the matched rows more than once.  ``stage(df, name)`` may store them in between, for example with
@@ -238,7 +240,7 @@ def feature_store(
 
     def build(name: str) -> DataFrame:
         source, process = sources[name]
-        return process(stage(joins.offset_join(source, labels, mob), name))
+        return process(stage(joins.offset_join(source, labels, mob, carry=[joins.LOAN]), name))
 
     # The sources do not depend on each other; their jobs share the cluster instead of queueing.
     with ThreadPoolExecutor(len(sources)) as pool:

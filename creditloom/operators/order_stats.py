@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,29 +21,34 @@ from creditloom.functions.measures import gini
 
 RANGE, GROUP = "__range", "__group"
 ROWS_PER_PREFIX = 50_000
+#: Rows of a value range, as long as there are no more than so many ranges.
+ROWS_PER_RANGE, MAX_RANGES = 50_000, 4096
 
 
-def _parallelism(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _default_ranges(df: DataFrame) -> int:
+    """Ranges follow the number of rows, neither partitions nor settings."""
+    return min(MAX_RANGES, max(1, math.ceil(df.count() / ROWS_PER_RANGE)))
 
 
-def _default_ranges(df: DataFrame) -> int:
-    """Ranges follow the session's shuffle parallelism, so they get finer as clusters grow."""
-    return max(32, 4 * _parallelism(df))
+def _sketch(value: Column, ranges: int) -> Column:
+    """About ``ranges`` - 1 evenly placed values; one literal of shares, however many."""
+    return F.percentile_approx(F.when(~F.isnan(value), value), F.lit(np.arange(1, ranges) / ranges), 2 * ranges)
+
 
+def _cuts(df: DataFrame, column: str, ranges: int) -> list[float]:
+    """Cut points from one pass of a sketch; fewer than ``ranges`` numbers reach the driver."""
+    if ranges < 2:
+        return []
+    return sorted(set(df.agg(_sketch(F.col(column).cast("double"), ranges).alias("cuts")).first()["cuts"] or []))
 
-def _cuts(df: DataFrame, columns: Sequence[str], ranges: int) -> dict[str, list[float]]:
-    """Cut points per column from one pass of sketches; fewer than ``ranges`` numbers a column reach the driver."""
-    shares = [i / ranges for i in range(1, ranges)]
-    if not shares:
-        return {c: [] for c in columns}
-    numbers = {c: F.col(c).cast("double") for c in columns}
-    sketches = [
-        F.percentile_approx(F.when(~F.isnan(v), v), shares, 2 * ranges).alias(str(k))
-        for k, v in enumerate(numbers.values())
-    ]
-    row = df.agg(*sketches).first()
-    return {c: sorted(set(row[k] or [])) for k, c in enumerate(columns)}
+
+def _searched(value: Column, cuts: Column, ranges: int) -> Column:
+    """Number of cut points at or below the value, by halving steps; an expression of one size for any number of cuts.
+    NaN counts as the largest value."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range((ranges - 1).bit_length()))])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) <= value, at + step).otherwise(at)
+    )
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, Sequence[float]], ranges: int | None = None) -> DataFrame:
@@ -50,14 +56,18 @@ def order_statistics(df: DataFrame, wanted: dict[str, Sequence[float]], ranges:
     at least q of the column's rows at or below it.  NULLs are left out; a column without values gives NULLs.
 
     Values are counted, then placed by range totals; only the ranges that hold a wanted rank are sorted.  All columns
-    share the pass that counts and the pass that finds cut points; neither partitioning nor settings change a result.
+    share the pass that counts and the pass that finds cut points, and the cut points stay in the plan as a scalar
+    subquery; neither partitioning nor settings change a result.
     """
     names = list(wanted)
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    cuts = _cuts(numbers, names, _default_ranges(df) if ranges is None else ranges)
-    entries = [
-        F.struct(F.lit(c).alias("name"), _range_number(F.col(c), cuts[c]).alias(RANGE), F.col(c).alias("v")) for c in names
-    ]
+    ranges = _default_ranges(df) if ranges is None else ranges
+    places = [F.lit(0) for _ in names]
+    if ranges > 1:
+        cuts = numbers.agg(F.struct(*[F.array_sort(F.array_distinct(_sketch(F.col(c), ranges))).alias(f"c{k}") for k, c in enumerate(names)]).alias("cuts"))
+        numbers = numbers.withColumn(RANGE, cuts.scalar())
+        places = [_searched(F.col(c), F.col(RANGE)[f"c{k}"], ranges) for k, c in enumerate(names)]
+    entries = [F.struct(F.lit(c).alias("name"), p.alias(RANGE), F.col(c).alias("v")) for c, p in zip(names, places)]
     long = numbers.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter("v IS NOT NULL")
     counts = long.groupBy("name", RANGE, "v").agg(F.count(F.lit(1)).alias("n"))
     per_range = (
@@ -88,33 +98,20 @@ def order_statistics(df: DataFrame, wanted: dict[str, Sequence[float]], ranges:
     )
 
 
-def _range_number(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points at or below the value, by halving; NaN counts as the largest value."""
-    if not cuts:
-        return F.lit(0)
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < cuts[middle], search(low, middle)).otherwise(search(middle + 1, high))
-
-    return search(0, len(cuts))
-
-
 def range_cuts(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
     """Cut points that split the rows into about ``ranges`` equal parts.
 
     One pass; what reaches the driver is fewer than ``ranges`` numbers.  Cut points only steer the work: any
     increasing list gives the same results.
     """
-    return _cuts(df, [value], _default_ranges(df) if ranges is None else ranges)[value]
+    return _cuts(df, value, _default_ranges(df) if ranges is None else ranges)
 
 
 def with_range(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
     """Add the number of the value range each row falls into; higher values never get lower numbers."""
     if not cuts:
-        return df.withColumn(RANGE, F.lit(0))
+        # Not a constant, so that plans over one range have the shape of plans over many.
+        return df.withColumn(RANGE, F.when(F.col(value).isNull(), -1).otherwise(0))
     splits = [float("-inf"), *cuts, float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="__v", outputCol=RANGE, handleInvalid="keep")
     return (
@@ -149,7 +146,7 @@ def auc(
     scored = df.select(*by, F.col(score).alias("__s"), F.col(label).alias("__y")).filter(
         "__s IS NOT NULL AND __y IS NOT NULL"
     )
-    cuts = range_cuts(scored, "__s") if cuts is None else cuts
+    cuts = range_cuts(scored, "__s", _default_ranges(df)) if cuts is None else cuts
     per_score = (
         with_range(scored, "__s", cuts)
         .groupBy(*by, RANGE, "__s")
@@ -184,7 +181,7 @@ def exact_quantiles(
     """
     by = list(by)
     values = df.select(_group(by).alias(GROUP), F.col(value).cast("double").alias("__s")).filter("__s IS NOT NULL")
-    cuts = range_cuts(values, "__s") if cuts is None else cuts
+    cuts = range_cuts(values, "__s", _default_ranges(df)) if cuts is None else cuts
     counts = with_range(values, "__s", cuts).groupBy(GROUP, RANGE, "__s").agg(F.count(F.lit(1)).alias("n"))
     per_range = (
         counts.groupBy(GROUP, RANGE)
@@ -265,3 +262,54 @@ def hash_position(df: DataFrame, *keys: str, by: Sequence[str] = (), digits: int
         .withColumn("position", F.col("part_start") + F.col("__inside"))
         .drop(GROUP, "__hash", RANGE, "__inside", "part_start")
     )
+
+
+PLACE, BOUNDARIES = "__place", "__boundaries"
+
+
+def with_boundaries(df: DataFrame, keys: Sequence[str], positions: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
+    """Add ``__place`` (hash and keys of the row) and ``__boundaries`` (the places of the rows at some positions of the
+    group's shuffled order, NULL beyond its end).  A row's position is below the k-th one wanted exactly if its place is
+    below the k-th boundary, so rows are cut by comparison and never sorted.
+
+    ``positions`` are expressions over ``group_rows``.  Keys must identify rows.  Hash prefixes are counted, and only the
+    one prefix that holds a wanted position is looked into; prefixes follow the row count, so each holds about
+    ``ROWS_PER_PREFIX`` rows, whatever the group.  Groups meet their boundaries in a join that Spark broadcasts while
+    they are few.
+    """
+    hashed = df.select(_group(by).alias(GROUP), F.struct(row_hash(*keys).alias("hash"), *keys).alias(PLACE)).withColumn(
+        RANGE, F.substring(F.col(f"{PLACE}.hash"), 1, hash_digits(df.count()))
+    )
+    sizes = hashed.groupBy(GROUP, RANGE).agg(F.count(F.lit(1)).alias("n"))
+    placed = sizes.withColumns(
+        {"start": _sum_before("n", _before([GROUP], RANGE)), "group_rows": F.sum("n").over(Window.partitionBy(GROUP))}
+    )
+    wanted = F.array(*[F.struct(F.lit(k).alias("at"), p.cast("bigint").alias("position")) for k, p in enumerate(positions)])
+    holders = (
+        placed.withColumn("wanted", F.explode(wanted))
+        .select(GROUP, RANGE, "n", "wanted.at", (F.col("wanted.position") - F.col("start")).alias("inside"))
+        .filter("inside >= 0 AND inside < n")
+        .select(GROUP, RANGE, F.struct("at", "inside").alias("w"))
+    )
+    # One list of places for a prefix, however many positions it holds.
+    holders = holders.groupBy(GROUP, RANGE).agg(F.collect_list("w").alias("wanted"))
+    found = (
+        hashed.join(holders, [GROUP, RANGE])
+        .groupBy(GROUP, RANGE)
+        .agg(F.array_sort(F.collect_list(PLACE)).alias("places"), F.first("wanted").alias("wanted"))
+        .select(GROUP, F.explode(F.transform("wanted", lambda w: F.struct(w["at"].alias("at"), F.get("places", w["inside"].cast("int")).alias("place")))).alias("b"))
+    )
+    boundaries = F.array(*[F.max(F.when(F.col("b.at") == k, F.col("b.place"))) for k in range(len(positions))])
+    place = F.struct(row_hash(*keys).alias("hash"), *keys)
+    if not by:
+        return df.withColumns({PLACE: place, BOUNDARIES: found.agg(boundaries.alias(BOUNDARIES)).scalar()})
+    per_group = found.groupBy(GROUP).agg(boundaries.alias(BOUNDARIES))
+    # A group shorter than its first position has no boundary at all.
+    every = placed.select(GROUP).distinct().join(per_group, GROUP, "left")
+    return df.withColumns({GROUP: _group(by), PLACE: place}).join(every, GROUP).drop(GROUP)
+
+
+def below(boundary: int) -> Column:
+    """Whether a row with ``__place`` and ``__boundaries`` comes before a boundary; all rows do where there is none."""
+    at = F.get(BOUNDARIES, F.lit(boundary))
+    return at.isNull() | (F.col(PLACE) < at)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from creditloom import fixed_values as fixed
 from creditloom.operators.features import STATS, attach
 
-NOT_FEATURES = ("Customer_ID", "snapshot_date", "feature_snapshot_date", "label_snapshot_date", *fixed.TARGET_NAMES)
+NOT_FEATURES = ("Customer_ID", "loan_id", "snapshot_date", "feature_snapshot_date", "label_snapshot_date", *fixed.TARGET_NAMES)
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = NOT_FEATURES, vectors: bool = False) -> list[str]:

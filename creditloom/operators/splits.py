@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.calendar import training_windows
-from creditloom.operators.order_stats import hash_fraction, hash_position
+from creditloom.operators.order_stats import BOUNDARIES, PLACE, below, hash_fraction, with_boundaries
 
 
 def time_split(df: DataFrame, train_date: Column, date: str = "snapshot_date", **windows: int) -> DataFrame:
@@ -27,17 +27,16 @@ def hash_split(df: DataFrame, keys: Sequence[str], train_ratio: float = 0.8) ->
 
 def stratified_split(df: DataFrame, keys: Sequence[str], label: str = "label", train_ratio: float = 0.8) -> DataFrame:
     """Repeatable random split that gives every label the same share, up to one row."""
-    placed = hash_position(df, *keys, by=[label])
-    train = F.col("position") < F.round(F.col("group_rows") * train_ratio)
-    return placed.withColumn("split", F.when(train, "train").otherwise("test")).drop("position", "group_rows")
+    first_test = F.round(F.col("group_rows") * train_ratio)
+    cut = with_boundaries(df, keys, [first_test], [label])
+    return cut.withColumn("split", F.when(below(0), "train").otherwise("test")).drop(PLACE, BOUNDARIES)
 
 
 def equal_parts(df: DataFrame, keys: Sequence[str], parts: int = 3, by: Sequence[str] = ()) -> DataFrame:
     """Cut into ``parts`` equal slices of a shuffled order, numbered from 1; the remainder is left out."""
-    placed = hash_position(df, *keys, by=by)
     size = F.floor(F.col("group_rows") / parts)
-    return (
-        placed.withColumn("part", (F.floor(F.try_divide(F.col("position"), size)) + 1).cast("int"))
-        .filter(F.col("part") <= parts)
-        .drop("position", "group_rows")
-    )
+    cut = with_boundaries(df, keys, [size * (k + 1) for k in range(parts)], by)
+    part = F.lit(None).cast("int")
+    for k in reversed(range(parts)):
+        part = F.when(below(k), k + 1).otherwise(part)
+    return cut.withColumn("part", part).filter("part IS NOT NULL").drop(PLACE, BOUNDARIES)

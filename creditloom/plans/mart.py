@@ -84,6 +84,8 @@ def build_features(mart: Mart, dpd: int = 30, mob: int = 3) -> None:
         stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"),
     )
     sinks.write_snapshots(store, mart.path("gold", "feature_store"), "feature_snapshot_date", rebuild=True)
+    repeated = joins.repeated_slices({n: mart.read("silver", n) for n in ("financials", "attributes", "clickstream")})
+    sinks.write_table(repeated, mart.path("gold", "repeated_slices"))
     session.remove(mart.spark, folder)
 
 

@@ -238,7 +238,7 @@ oracle(
 
 
 def _offset(source: str) -> str:
-    return f"""SELECT f.* RENAME (snapshot_date AS feature_snapshot_date), l.label, l.snapshot_date AS label_snapshot_date
+    return f"""SELECT f.* RENAME (snapshot_date AS feature_snapshot_date), l.loan_id, l.label, l.snapshot_date AS label_snapshot_date
 FROM {source} f JOIN labels_3 l ON f.Customer_ID = l.Customer_ID AND l.snapshot_date = CAST(f.snapshot_date + INTERVAL 3 MONTH AS DATE)"""
 
 
@@ -270,6 +270,13 @@ oracle(
     "repeated_keys",
     "SELECT Customer_ID, snapshot_date, count(*) AS rows FROM in_financials GROUP BY 1, 2 HAVING count(*) > 1",
 )
+oracle(
+    "repeated_slices",
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS source, Customer_ID, snapshot_date, count(*) AS rows FROM {part} GROUP BY 2, 3 HAVING count(*) > 1"
+        for name, part in (("financials", "s_fin"), ("attributes", "s_att"), ("clickstream", "in_clickstream_m"))
+    ),
+)
 PARTS["oc_fin"] = _completed("o_fin")
 PARTS["od_fin"] = (
     "SELECT * REPLACE (coalesce(Outstanding_Debt, (SELECT quantile_disc(Outstanding_Debt, 0.5) FROM oc_fin)) AS Outstanding_Debt, "
@@ -282,19 +289,19 @@ _KEPT = [
     "Monthly_Balance",
     *fixed.CAPPED_FINANCIALS,
 ]
-PARTS["p_fin"] = f"""SELECT {_PAIR}, {", ".join(f"round({c}, 6) AS {c}" for c in _KEPT)}, {_MONTHS.format(c="Credit_History_Age")} AS credit_history_months,
+PARTS["p_fin"] = f"""SELECT {_PAIR}, loan_id, {", ".join(f"round({c}, 6) AS {c}" for c in _KEPT)}, {_MONTHS.format(c="Credit_History_Age")} AS credit_history_months,
   CAST(coalesce(len(Loan_Types_Array), -1) AS INT) AS num_loan_types, {_RATIO_COLUMNS}, {_LIMIT_CHANGED},
   {", ".join(f"{_slot(c, 'oc_fin', 't')} AS {c}_slot" for c in fixed.FINANCIAL_CATEGORIES)} FROM od_fin t"""
 PARTS["og_att"] = _grouped("o_att")
-PARTS["p_att"] = f"""SELECT Customer_ID, feature_snapshot_date, label_snapshot_date, label,
+PARTS["p_att"] = f"""SELECT Customer_ID, loan_id, feature_snapshot_date, label_snapshot_date, label,
   {", ".join(f"{_slot(c, 'og_att', 't')} AS {c}_slot" for c in fixed.ATTRIBUTE_CATEGORIES)} FROM og_att t"""
-PARTS["p_clk"] = f"""SELECT Customer_ID, feature_snapshot_date, label_snapshot_date, label,
+PARTS["p_clk"] = f"""SELECT Customer_ID, loan_id, feature_snapshot_date, label_snapshot_date, label,
   {", ".join(_cap(c, "o_clk") for c in _CLICKS)} FROM o_clk"""
 oracle(
     "feature_store",
     """SELECT * EXCLUDE (label, label_snapshot_date) FROM p_fin
-JOIN p_att USING (Customer_ID, feature_snapshot_date, label_snapshot_date, label)
-JOIN p_clk USING (Customer_ID, feature_snapshot_date, label_snapshot_date, label)""",
+JOIN p_att USING (Customer_ID, loan_id, feature_snapshot_date, label_snapshot_date, label)
+JOIN p_clk USING (Customer_ID, loan_id, feature_snapshot_date, label_snapshot_date, label)""",
 )
 
 # --- calendars, splits ------------------------------------------------------------------------------------------

@@ -324,6 +324,14 @@ def repeated_keys(i):
     return joins.repeated_keys(i.financials, "Customer_ID", "snapshot_date")
 
 
+@query
+def repeated_slices(i):
+    """Slices that a source of the feature store repeats."""
+    return joins.repeated_slices(
+        {"financials": silver_statements(i), "attributes": silver_people(i), "clickstream": i.clickstream_m}
+    )
+
+
 @query
 def feature_store(i):
     store = features.feature_store(

@@ -6,7 +6,7 @@ from functools import reduce
 import pytest
 from pyspark.sql import functions as F
 
-from creditloom.operators import joins, ledger
+from creditloom.operators import features, joins, ledger
 from creditloom.plans.queries import Inputs, labels, silver_ledger, silver_statements
 from creditloom.sources import scans
 
@@ -58,6 +58,35 @@ def test_left_join_keeps_every_label(spark):
     assert rows(mine) == rows(plain)
 
 
+@pytest.mark.parametrize("hot_rows", [4, 50, 10_000])
+def test_left_join_deals_out_heavy_feature_keys(spark, capsys, hot_rows):
+    """Heavy keys on the right, equal rows among them; every input once in the plan."""
+    d = dt.date(2024, 1, 1)
+    key = "Customer_ID string, snapshot_date date"
+    f = [("hot", d, k % 7) for k in range(300)] + [("warm", d, 1) for _ in range(60)] + [(f"c{k}", d, k) for k in range(200)]
+    f += [(None, d, 1) for _ in range(80)] + [("nul", None, 1) for _ in range(80)]
+    l = [("hot", d, 1), ("hot", d, 1), ("warm", d, 0), ("none", d, 1), (None, d, 1), ("nul", None, 0)]
+    l += [(f"c{k}", d, k % 2) for k in range(0, 400, 3)]
+    labels_ = spark.createDataFrame(l, key + ", label int").repartition(3)
+    features_ = spark.createDataFrame(f, key + ", fe_1 int").repartition(5)
+    plain = labels_.join(features_, ["Customer_ID", "snapshot_date"], "left").select("Customer_ID", "snapshot_date", "label", "fe_1")
+    mine = joins.labels_with_features(labels_, features_, hot_rows=hot_rows)
+    assert rows(mine) == rows(plain)
+    heavy = joins.heavy_keys(features_, ["Customer_ID", "snapshot_date"], hot_rows)
+    assert (heavy is None) == (hot_rows == 10_000)
+    if heavy is not None:
+        assert {r["Customer_ID"]: r["rows"] for r in heavy.collect()} == {"hot": 300, "warm": 60}
+
+
+def test_left_join_reads_each_input_once(spark, tmp_path):
+    d = F.lit("2024-01-01").cast("date")
+    spark.range(500).select(F.concat(F.lit("c"), F.col("id") % 3).alias("Customer_ID"), d.alias("snapshot_date"), F.col("id").alias("fe_1")).write.parquet(f"{tmp_path}/f")
+    spark.range(9).select(F.concat(F.lit("c"), F.col("id")).alias("Customer_ID"), d.alias("snapshot_date"), F.lit(1).alias("label")).write.parquet(f"{tmp_path}/l")
+    joined = joins.labels_with_features(spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/f"), hot_rows=20)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2 and joined.count() == 506
+
+
 def test_training_set_never_looks_ahead(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     store = silver_statements(i).withColumnRenamed("snapshot_date", "feature_snapshot_date")
@@ -109,3 +138,22 @@ def test_a_hot_customer_is_split(spark, small_skew, capsys):
     joined.collect()
     joined.explain()
     assert "skew=true" in capsys.readouterr().out
+
+
+def test_two_loans_of_one_slice_give_two_rows(spark):
+    """k labels of a customer and date give k rows of a three-way join, and the training join keeps each to its loan."""
+    d, later = dt.date(2024, 1, 1), dt.date(2024, 4, 1)
+    keys = "Customer_ID string, snapshot_date date"
+    sources = [spark.createDataFrame([("a", d, k), ("b", d, k + 5)], f"{keys}, v{k} int") for k in range(3)]
+    outcome = [("a", "l1", later, 0), ("a", "l2", later, 0), ("a", "l3", later, 1), ("b", "l4", later, 1)]
+    outcome = spark.createDataFrame(outcome, "Customer_ID string, loan_id string, snapshot_date date, label int")
+    store = reduce(
+        lambda x, y: x.join(y, features.SLICE), [joins.offset_join(f, outcome, 3, carry=["loan_id"]) for f in sources]
+    )
+    assert rows(store.select("Customer_ID", "loan_id", "label", "v0", "v1", "v2")) == [
+        ("a", "l1", 0, 0, 1, 2), ("a", "l2", 0, 0, 1, 2), ("a", "l3", 1, 0, 1, 2), ("b", "l4", 1, 5, 6, 7)
+    ]
+    kept = store.drop("label", "label_snapshot_date")
+    assert joins.training_set(kept, outcome, F.lit("2024-06-01").cast("date")).count() == 4
+    twice = {"x": sources[0].unionByName(sources[0].filter("v0 = 0")), "y": sources[1]}
+    assert rows(joins.repeated_slices(twice)) == [("x", "a", d, 2)]

@@ -190,3 +190,42 @@ def test_order_statistics_do_not_depend_on_settings(spark, partitions, shuffle):
 
 def test_hash_digits_follow_the_rows():
     assert [order_stats.hash_digits(n) for n in (0, 1, 50_000, 900_000, 10**9, 10**13)] == [1, 1, 1, 2, 4, 7]
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 37, 400])
+def test_order_statistics_do_not_depend_on_the_ranges(spark, ranges):
+    df = spark.range(3_000).withColumns(
+        {"v": F.floor(F.sqrt(F.col("id").cast("double"))), "w": F.expr("CASE WHEN id % 5 = 0 THEN double('NaN') ELSE -id END")}
+    )
+    row = order_stats.order_statistics(df, {"v": [0.1, 0.5, 0.999], "w": [0.0, 0.5, 0.9]}, ranges).first()
+    values = np.sort(np.floor(np.sqrt(np.arange(3_000))))
+    assert row["v"] == [values[299], values[1499], values[2996]]
+    others = np.sort([-k for k in range(3_000) if k % 5])
+    assert row["w"][:2] == [others[0], others[1499]] and np.isnan(row["w"][2])
+
+
+def test_ranges_follow_the_rows(spark):
+    assert order_stats._default_ranges(spark.range(10)) == 1
+    assert order_stats._default_ranges(spark.range(200_001)) == 5
+    assert order_stats._default_ranges(spark.range(10**9)) == order_stats.MAX_RANGES
+
+
+@pytest.mark.parametrize("shape", ["even", "hot", "few", "one_prefix"])
+def test_boundaries_equal_positions(spark, monkeypatch, shape):
+    """Cut by comparison against numbered rows, over many prefixes, and with more parts than rows."""
+    monkeypatch.setattr(order_stats, "ROWS_PER_PREFIX", 10**6 if shape == "one_prefix" else 20)
+    rows = 2 if shape == "few" else 997
+    df = spark.range(rows).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 9)).alias("g")
+    )
+    if shape == "hot":
+        df = df.withColumn("g", F.lit(None).cast("string"))
+    placed = order_stats.hash_position(df, "k", by=["g"]).toPandas()
+    thirds = {r["k"]: r["part"] for r in splits.equal_parts(df, ["k"], 3, ["g"]).collect()}
+    size = placed.group_rows // 3
+    want = {k: p // s + 1 for k, p, s in zip(placed.k, placed.position, size) if s and p // s < 3}
+    assert thirds == want
+    sides = {r["k"]: r["split"] for r in splits.stratified_split(df, ["k"], "g", 0.8).collect()}
+    assert sides == {
+        k: "train" if p < int(n * 0.8 + 0.5) else "test" for k, p, n in zip(placed.k, placed.position, placed.group_rows)
+    }

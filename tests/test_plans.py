@@ -1,12 +1,13 @@
 """Physical plans: what must and must not appear, whatever the data size."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from creditloom import session
-from creditloom.operators import monitoring, order_stats
+from creditloom.operators import features, monitoring, order_stats
 from creditloom.plans.queries import QUERIES, Inputs, stored_predictions
 from tests.conftest import SF_DIR
 
@@ -103,3 +104,31 @@ def test_scratch_follows_the_session(spark):
 def test_time_zone_is_fixed(spark):
     session.tune(spark)
     assert spark.range(1).select(F.current_timezone()).first()[0] == "UTC"
+
+
+@pytest.mark.parametrize("partitions", [8, 200, 2000])
+def test_quantile_plans_do_not_grow_with_columns_and_partitions(spark, monkeypatch, partitions):
+    """Twenty capped columns over 400 ranges each: built at once, and in a plan without cut points in its expressions."""
+    monkeypatch.setattr(order_stats, "ROWS_PER_RANGE", 50)
+    df = spark.range(20_000).select(*[(F.rand(k) * (k + 1)).alias(f"fe_{k + 1}") for k in range(20)]).persist()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df.count()
+        began = time.time()
+        fitted = features.fit_quantiles(df, features.cap_points(df.columns))
+        took = time.time() - began
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        df.unpersist()
+    assert order_stats._default_ranges(df) == 400
+    assert took < 5 and len(fitted._jdf.queryExecution().optimizedPlan().toString()) < 200_000
+
+
+@pytest.mark.parametrize("name", ["oot_thirds", "stratified_split"])
+def test_splits_never_sort_or_number_rows(spark, no_broadcast, capsys, name):
+    """Windows run over counted prefixes alone: none below it reads a row that was not aggregated first."""
+    text = plan(QUERIES[name](spark, SF_DIR), capsys)
+    assert "Window" in text and "row_number" not in text
+    for window in re.findall(r"Window \[.*", text):
+        assert "sum(n" in window
