@@ -7,13 +7,14 @@ subquery: no collect, no cross join.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom import fixed_values as fixed
@@ -23,7 +24,7 @@ from creditloom.operators import joins, ledger
 from creditloom.operators.order_stats import order_statistics
 from creditloom.operators.silver import click_columns
 from creditloom.session import scratch_dir
-from creditloom.sources.sinks import materialise
+from creditloom.sources.sinks import materialise, write_table
 
 STATS, INDEX = "__stats", "__index"
 
@@ -122,6 +123,9 @@ class Encoder:
     table: DataFrame
     sizes: Mapping[str, int]
 
+    def only(self, columns: Sequence[str]) -> Encoder:
+        return Encoder(self.table, {c: self.sizes[c] for c in columns})
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Add a sparse one-hot vector ``<column>_vec`` per column; missing and unseen values become the zero vector.
 
@@ -138,19 +142,24 @@ class Encoder:
 
 
 def fit_encoder(df: DataFrame, columns: Sequence[str]) -> Encoder:
-    """Index categories by descending frequency (ties alphabetical).
+    """Index categories by descending frequency (ties alphabetical)."""
+    return fit_encoders([(df, columns)])
+
+
+def fit_encoders(sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> Encoder:
+    """One encoder for the category columns of several sources, whose names differ.
 
-    Categories are counted for all columns in one pass and numbered by their place in a range-partitioned order, so
+    Categories are counted for all columns together and numbered by their place in a range-partitioned order, so
     neither the driver nor a single task ever holds them all."""
-    spark = df.sparkSession
-    entries = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]
-    counts = (
-        df.select(F.explode(F.array(*entries)).alias("e"))
-        .select("e.*")
-        .filter("value IS NOT NULL")
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    spark = sources[0][0].sparkSession
+    columns = [c for _, names in sources for c in names]
+
+    def entries(df: DataFrame, names: Sequence[str]) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in names]
+        return df.select(F.explode(F.array(*pairs)).alias("e")).select("e.*").filter("value IS NOT NULL")
+
+    found = reduce(DataFrame.unionByName, [entries(df, names) for df, names in sources])
+    counts = found.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
     order = ["name", F.desc("n"), "value"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = counts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
@@ -232,20 +241,75 @@ def feature_store(
     ``sinks.materialise``, so that cleaning and matching run a single time.
     """
     labels = stage(ledger.label_store(loans, dpd, mob), "labels")
-    sources = {
-        "financials": (financials, financial_features),
-        "attributes": (attributes, attribute_features),
-        "clicks": (clicks, click_features),
-    }
+    matched = match_sources({"financials": financials, "attributes": attributes, "clicks": clicks}, labels, mob, stage)
+    return assemble(matched, fit_sources(matched))
+
+
+def match_sources(
+    sources: Mapping[str, DataFrame],
+    labels: DataFrame,
+    months: int = 3,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+) -> dict[str, DataFrame]:
+    """Each source with the labels ``months`` later.  The sources do not depend on each other; their jobs share the
+    cluster instead of queueing."""
+
+    def match(name: str) -> DataFrame:
+        return stage(joins.offset_join(sources[name], labels, months, carry=[joins.LOAN]), name)
+
+    return dict(zip(sources, _together(labels, match, sources)))
+
+
+def _together(df: DataFrame, work: Callable, items: Iterable) -> list:
+    with ThreadPoolExecutor(4) as pool:
+        return list(pool.map(inheritable_thread_target(df.sparkSession)(work), items))
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """Everything that is fitted on matched sources: medians and caps as one-row tables, and the category indexes."""
+
+    financial: DataFrame
+    clicks: DataFrame
+    encoder: Encoder
+
+    def save(self, path: str) -> None:
+        """Store next to a model; saving again replaces."""
+        tables = {"financial": self.financial, "clicks": self.clicks, "categories": self.encoder.table}
+        _together(self.clicks, lambda name: write_table(tables[name], f"{path}/{name}"), tables)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, sizes: Mapping[str, int] | None = None) -> Fitted:
+        """The stored transformers; ``sizes`` are the numbers of categories they must have."""
+        financial, clicks, table = (spark.read.parquet(f"{path}/{name}") for name in ("financial", "clicks", "categories"))
+        found = dict.fromkeys([*fixed.FINANCIAL_CATEGORIES, *fixed.ATTRIBUTE_CATEGORIES], 0)
+        found |= {r["name"]: r["n"] for r in table.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if sizes is not None and dict(sizes) != found:
+            raise ValueError(f"stored categories {found} are not those of the model, {dict(sizes)}")
+        return Fitted(financial, clicks, Encoder(table, found))
+
+
+def fit_sources(matched: Mapping[str, DataFrame]) -> Fitted:
+    """Fit on the rows given, for example those of a training window."""
+    completed, people = complete_financials(matched["financials"]), attribute_groups(matched["attributes"])
+    clicks = matched["clicks"]
+    financial, click_caps, encoder = _together(
+        clicks,
+        lambda fit: fit(),
+        [
+            lambda: fit_financials(completed),
+            lambda: fit_quantiles(clicks, cap_points(click_columns(clicks))),
+            lambda: fit_encoders([(completed, fixed.FINANCIAL_CATEGORIES), (people, fixed.ATTRIBUTE_CATEGORIES)]),
+        ],
+    )
+    return Fitted(financial, click_caps, encoder)
+
 
-    def build(name: str) -> DataFrame:
-        source, process = sources[name]
-        return process(stage(joins.offset_join(source, labels, mob, carry=[joins.LOAN]), name))
-
-    # The sources do not depend on each other; their jobs share the cluster instead of queueing.
-    with ThreadPoolExecutor(len(sources)) as pool:
-        parts = list(pool.map(inheritable_thread_target(financials.sparkSession)(build), sources))
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.join(part, SLICE, "inner")
-    return withhold(joined)
+def assemble(matched: Mapping[str, DataFrame], fitted: Fitted) -> DataFrame:
+    """The feature store of matched sources under given transformers."""
+    parts = [
+        financial_features(matched["financials"], fitted.financial, fitted.encoder.only(fixed.FINANCIAL_CATEGORIES)),
+        attribute_features(matched["attributes"], fitted.encoder.only(fixed.ATTRIBUTE_CATEGORIES)),
+        click_features(matched["clicks"], fitted.clicks),
+    ]
+    return withhold(reduce(lambda left, right: left.join(right, SLICE, "inner"), parts))

@@ -7,11 +7,14 @@ import json
 import logging
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from math import prod
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -19,8 +22,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.operators import order_stats
@@ -56,6 +58,70 @@ def forest(columns: Sequence[str], trees: int = 100, depth: int = 5, seed: int =
     return assembled(columns, RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed))
 
 
+def best_prefix(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """How many rounds to keep, up to the smallest loss before ``patience`` rounds in a row failed to improve on it, and
+    whether patience ran out."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+class PatientBooster(Estimator):
+    """Boosted trees that keep the best prefix of their rounds on the rows a boolean column marks.
+
+    Every round is rated on those rows (``evaluateEachIteration``).  Rounds are fitted in growing runs, each twice as long
+    as the last; as the seed fixes the rounds, a longer run begins with the shorter one's, so the result is that of one run
+    over all rounds while what lies far behind the best round is never fitted.
+    """
+
+    def __init__(self, booster: GBTClassifier, validation: str, patience: int = 50):
+        super().__init__()
+        self.booster, self.validation, self.patience = booster, validation, patience
+
+    def copy(self, extra=None) -> PatientBooster:
+        return PatientBooster(self.booster.copy(extra), self.validation, self.patience)
+
+    def _fit(self, dataset: DataFrame) -> GBTClassificationModel:
+        held = dataset.filter(F.col(self.validation)).persist()
+        known = dataset.filter(~F.col(self.validation)).persist()
+        try:
+            if held.isEmpty():
+                raise ValueError("no validation rows")
+            limit, rounds = self.booster.getMaxIter(), min(self.booster.getMaxIter(), 2 * self.patience)
+            while True:
+                model = self.booster.copy({self.booster.maxIter: rounds}).fit(known)
+                kept, stopped = best_prefix(model.evaluateEachIteration(held), self.patience)
+                if stopped or rounds == limit:
+                    return _first_trees(model, kept)
+                rounds = min(limit, 2 * rounds)
+        finally:
+            held.unpersist()
+            known.unpersist()
+
+
+def _first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first rounds, with their weights."""
+    if rounds == model.getNumTrees:
+        return model
+    jvm, java = SparkContext._active_spark_context._gateway, model._java_obj
+    kind = jvm.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = jvm.new_array(kind, rounds), jvm.new_array(jvm.jvm.double, rounds)
+    for k in range(rounds):
+        trees[k], weights[k] = java.trees()[k], float(model.treeWeights[k])
+    cut = jvm.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), trees, weights, java.numFeatures(), 2
+    )
+    shorter = GBTClassificationModel(cut)
+    shorter._resetUid(model.uid)
+    shorter = model._copyValues(shorter)
+    shorter._transfer_params_to_java()
+    return shorter
+
+
 def boosted(
     columns: Sequence[str],
     rounds: int = 2000,
@@ -66,10 +132,10 @@ def boosted(
     min_leaf: int = 1,
     seed: int = 88,
     validation: str | None = None,
-    tolerance: float = 0.0,
+    patience: int = 50,
 ) -> Pipeline:
-    """Boosted trees.  With a boolean ``validation`` column, rounds stop at the first that improves its rows by no more
-    than the share ``tolerance``; Spark has no patience beyond one round."""
+    """Boosted trees.  With a boolean ``validation`` column, the best prefix of the rounds on its rows is kept, and rounds
+    end once ``patience`` of them have not improved on it."""
     model = GBTClassifier(
         labelCol=LABEL,
         maxIter=rounds,
@@ -80,9 +146,10 @@ def boosted(
         minInstancesPerNode=min_leaf,
         seed=seed,
     )
-    if validation:
-        model = model.copy({model.validationIndicatorCol: validation, model.validationTol: tolerance})
-    return assembled(columns, model)
+    if validation is None:
+        return assembled(columns, model)
+    stages = assembled(columns, model).getStages()
+    return Pipeline(stages=[*stages[:-1], PatientBooster(stages[-1], validation, patience)])
 
 
 def perceptron(columns: Sequence[str], width: int, hidden: Sequence[int] = (100, 50), max_iter: int = 500) -> Pipeline:
@@ -165,41 +232,75 @@ def draw_grid(estimator: Estimator, space: Mapping[str, Sequence], draws: int, s
     return points
 
 
-def random_search(
-    estimator: Estimator,
-    space: Mapping[str, Sequence],
+TRIALS = "learner string, draw int, fold int, parameters string, auc double, error string"
+
+
+def run_trials(
+    searches: Mapping[str, tuple[Estimator, Mapping[str, Sequence]]],
     train: DataFrame,
     keys: Sequence[str],
+    path: str,
     draws: int = 100,
     folds: int = 3,
     seed: int = 42,
     parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Cross-validated random search by AUC of the scores.  Folds follow a hash of ``keys``, so they repeat."""
-    fold = F.floor(order_stats.hash_fraction(*keys, seed=f"fold {seed}") * folds).cast("int")
-    folded = train.withColumn("fold", fold).persist()
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=draw_grid(estimator, space, draws, seed),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
+) -> DataFrame:
+    """Fill the trial table at ``path`` (learner, drawn point, fold, AUC on the fold left out) and return it.
+
+    Each trial is stored as soon as it is rated, so a search that was interrupted goes on with the trials that are missing
+    and a finished one costs nothing.  A trial that fails is stored with its error and tried again by the next run.  Folds
+    and draws follow hashes and the seed, so all runs mean the same trials by the same names.
+    """
+    spark = train.sparkSession
+    evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0)
+    fold_of = F.floor(order_stats.hash_fraction(*keys, seed=f"fold {seed}") * folds).cast("int")
+    folded = train.withColumn("__fold", fold_of).persist()
+    points = {name: draw_grid(estimator, space, draws, seed) for name, (estimator, space) in searches.items()}
+    shown = {n: [json.dumps({p.name: v for p, v in point.items()}, sort_keys=True) for point in of] for n, of in points.items()}
+    done = {tuple(r) for r in _trials(spark, path).filter("auc IS NOT NULL").select("learner", "draw", "fold", "parameters").collect()}
+    wanted = [(n, d, f) for n in searches for d in range(len(points[n])) for f in range(folds) if (n, d, f, shown[n][d]) not in done]
+
+    def rate(trial: tuple[str, int, int]) -> None:
+        name, draw, fold = trial
+        auc, error = None, None
+        try:
+            model = searches[name][0].fit(folded.filter(F.col("__fold") != fold), points[name][draw])
+            auc = float(evaluator.evaluate(model.transform(folded.filter(F.col("__fold") == fold))))
+        except Exception as failure:  # noqa: BLE001 - one trial may fail, the others go on
+            log.error("trial %s failed: %s", trial, failure)
+            error = str(failure)[:500]
+        row = (name, draw, fold, shown[name][draw], auc, error)
+        # A folder of its own: jobs that write one folder at the same time would commit each other's files.
+        spark.createDataFrame([row], TRIALS).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}/{draw}/{fold}")
+
     try:
-        return search.fit(folded)
+        with ThreadPoolExecutor(parallelism) as pool:
+            list(pool.map(inheritable_thread_target(spark)(rate), wanted))
     finally:
         folded.unpersist()
-
-
-def search_results(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:
-    """One row per drawn point: parameters and mean cross-validated AUC (as many rows as draws)."""
-    points = [
-        (i, json.dumps({p.name: v for p, v in point.items()}, sort_keys=True), float(auc))
-        for i, (point, auc) in enumerate(zip(search.getEstimatorParamMaps(), search.avgMetrics))
-    ]
-    return spark.createDataFrame(points, "draw int, parameters string, cv_auc double")
+    return _trials(spark, path)
+
+
+def _trials(spark: SparkSession, path: str) -> DataFrame:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], TRIALS)
+    return spark.read.schema(TRIALS).option("recursiveFileLookup", True).parquet(path)
+
+
+def rank_trials(trials: DataFrame, folds: int = 3) -> DataFrame:
+    """One row per learner and drawn point that was rated on all folds: mean AUC, its spread, the place within the learner
+    (ties by draw) and whether it is the learner's best."""
+    # One rating per trial, should a table hold a repeated one.
+    rated = trials.filter("auc IS NOT NULL").groupBy("learner", "draw", "parameters", "fold").agg(F.max("auc").alias("auc"))
+    means = (
+        rated.groupBy("learner", "draw", "parameters")
+        .agg(F.avg("auc").alias("cv_auc"), F.stddev_pop("auc").alias("cv_std"), F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") == folds)
+        .drop("n")
+    )
+    place = F.row_number().over(Window.partitionBy("learner").orderBy(F.desc("cv_auc"), "draw"))  # as many rows as draws
+    return means.withColumn("place", place).withColumn("best", F.col("place") == 1)
 
 
 def search_models(
@@ -207,20 +308,26 @@ def search_models(
     train: DataFrame,
     df: DataFrame,
     keys: Sequence[str],
+    path: str,
     split: str = "split",
     stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
     **options,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Random search per learner, then one row per learner: best parameters, cross-validated AUC, AUC and Gini per
-    split, and whether it has the best out-of-time AUC."""
-    models, found = {}, []
-    for name, (estimator, space) in searches.items():
-        search = random_search(estimator, space, train, keys, **options)
-        at = max(range(len(search.avgMetrics)), key=lambda k: search.avgMetrics[k])
-        best = {p.name: v for p, v in search.getEstimatorParamMaps()[at].items()}
-        models[name] = search.bestModel
-        found.append((name, json.dumps(best, sort_keys=True), float(search.avgMetrics[at])))
-    cv = train.sparkSession.createDataFrame(found, "model_name string, best_parameters string, cv_auc double")
+    """Random search per learner over a stored trial table, then one row per learner: best parameters, cross-validated
+    AUC, AUC and Gini per split, and whether it has the best out-of-time AUC.  Each learner is fitted again on all training
+    rows at its best point; one without a rated point is left out."""
+    trials = run_trials(searches, train, keys, path, **options)
+    best = rank_trials(trials, options.get("folds", 3)).filter("best").select(
+        F.col("learner").alias("model_name"), F.col("parameters").alias("best_parameters"), "cv_auc"
+    )
+    chosen = {r["model_name"]: json.loads(r["best_parameters"]) for r in best.collect()}
+
+    def at(name: str) -> Estimator:
+        estimator = searches[name][0]
+        classifier = estimator.getStages()[-1] if isinstance(estimator, Pipeline) else estimator
+        return estimator.copy({classifier.getParam(p): v for p, v in chosen[name].items()})
+
+    models = fit_models({name: (lambda name=name: at(name)) for name in searches if name in chosen}, train)
     quality = compare_models(models, df, [split], stage)
     wide = quality.groupBy("model_name").agg(
         *[
@@ -229,8 +336,8 @@ def search_models(
             for part in ("train", "test", "oot")
         ]
     )
-    best = best_model(wide.select("model_name", F.col("oot_auc").alias("auc"))).select("model_name").scalar()
-    return models, cv.join(wide, "model_name").withColumn("selected", F.col("model_name") == best)
+    selected = best_model(wide.select("model_name", F.col("oot_auc").alias("auc"))).select("model_name").scalar()
+    return models, best.join(wide, "model_name").withColumn("selected", F.col("model_name") == selected)
 
 
 # --- model bank -------------------------------------------------------------------------------------------------

@@ -28,6 +28,8 @@ CLEANERS = {
     "clickstream": silver.clean_clickstream,
     "loans": silver.clean_loans,
 }
+#: Share of a model's features above which their absence is reported.
+MISSING_LIMIT = 0.1
 
 
 @dataclass(frozen=True)
@@ -75,46 +77,92 @@ def build_labels(mart: Mart, dpd: int = 30, mob: int = 3) -> None:
     sinks.write_snapshots(labels, mart.path("gold", "label_store"), rebuild=True)
 
 
+SOURCES = {"financials": "financials", "attributes": "attributes", "clicks": "clickstream"}
+
+
 def build_features(mart: Mart, dpd: int = 30, mob: int = 3) -> None:
-    folder = session.scratch_dir(mart.spark, "feature_store")
-    store = features.feature_store(
-        *[mart.read("silver", name) for name in ("financials", "attributes", "clickstream", "loans")],
-        dpd=dpd,
-        mob=mob,
-        stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"),
+    """Match the sources with their labels and store them, then the feature store over them.
+
+    The feature store is fitted on all its rows.  Models do not read it: they fit and store their own transformers on the
+    matched sources, see ``train``."""
+    labels = sinks.materialise(
+        ledger.label_store(mart.read("silver", "loans"), dpd, mob), session.scratch_dir(mart.spark, "labels")
     )
-    sinks.write_snapshots(store, mart.path("gold", "feature_store"), "feature_snapshot_date", rebuild=True)
-    repeated = joins.repeated_slices({n: mart.read("silver", n) for n in ("financials", "attributes", "clickstream")})
-    sinks.write_table(repeated, mart.path("gold", "repeated_slices"))
-    session.remove(mart.spark, folder)
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        sinks.write_snapshots(df, mart.path("gold", f"matched/{name}"), "feature_snapshot_date", rebuild=True)
+        return mart.read("gold", f"matched/{name}")
+
+    sources = {name: mart.read("silver", table) for name, table in SOURCES.items()}
+    matched = features.match_sources(sources, labels, mob, store)
+    whole = features.assemble(matched, features.fit_sources(matched))
+    sinks.write_snapshots(whole, mart.path("gold", "feature_store"), "feature_snapshot_date", rebuild=True)
+    sinks.write_table(joins.repeated_slices(sources), mart.path("gold", "repeated_slices"))
 
 
 def feature_store(mart: Mart) -> DataFrame:
     return mart.read("gold", "feature_store")
 
 
+def matched_sources(mart: Mart) -> dict[str, DataFrame]:
+    """Matched sources with dates in the type that partition names lose."""
+    return {
+        name: mart.read("gold", f"matched/{name}").withColumn("feature_snapshot_date", F.col("feature_snapshot_date").cast("date"))
+        for name in SOURCES
+    }
+
+
+#: Grid of the job's random search: each learner's parameters by their Spark names.
+SEARCH_SPACES = {
+    "logistic_regression": {"regParam": [0.0001, 0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]},
+    "random_forest": {"numTrees": [25, 50, 100], "maxDepth": [2, 3, 5], "minInstancesPerNode": [1, 3, 5]},
+    "boosted_trees": {
+        "maxIter": [25, 50],
+        "maxDepth": [2, 3],
+        "stepSize": [0.01, 0.1],
+        "subsamplingRate": [0.6, 0.8],
+        "featureSubsetStrategy": ["0.6", "0.8"],
+        "minInfoGain": [0.0, 0.1],
+        "minInstancesPerNode": [1, 3, 5],
+    },
+}
+
+
 def train(
     mart: Mart,
     train_date: dt.date,
-    learners: Sequence[str] = ("logistic_regression", "random_forest", "boosted_trees"),
+    learners: Sequence[str] = ("logistic_regression", "random_forest", "boosted_trees", "neural_network"),
     history_months: int = 12,
     oot_months: int = 2,
     months: int = 3,
-    rounds: int = 100,
+    rounds: int = 2000,
+    patience: int = 50,
+    draws: int = 0,
+    folds: int = 3,
 ) -> str:
     """Train the learners on what was known at ``train_date``, store the best by out-of-time AUC, return its version.
 
-    Feature dates before the out-of-time window are split 80/20 into train and test, each label by itself; the
-    out-of-time rows are rated over three equal parts.  A learner that fails is reported and left out.
+    Medians, caps and categories are fitted on the training window alone and stored with the model.  Feature dates before
+    the out-of-time window are split 80/20 into train and test, each label by itself; the out-of-time rows are rated over
+    three equal parts.  A learner that fails is reported and left out.
+
+    With ``draws``, learners that have a grid in ``SEARCH_SPACES`` come from a random search of so many points over
+    ``folds`` folds; its trials stay in the model bank, so a search that broke off goes on where it was.
     """
-    today = F.lit(train_date)
-    store = feature_store(mart)
+    today, version = F.lit(train_date), f"credit_model_{train_date:%Y_%m_%d}"
+    matched = matched_sources(mart)
+    bounds = calendar.training_windows(F.add_months(today, -months), history_months, oot_months)
+    known_then = F.col("feature_snapshot_date").between(bounds["train_start"], bounds["train_end"])
+    transformers = f"{mart.bank}/transformers/{version}"
+    features.fit_sources({name: df.filter(known_then) for name, df in matched.items()}).save(transformers)
+    fitted = features.Fitted.load(mart.spark, transformers)
+    store = features.assemble(matched, fitted)
     numbers, vectors = scaling.numeric_columns(store), scaling.vector_columns(store)
     rows = joins.training_set(store, mart.read("gold", "label_store"), today, months)
     dated = splits.time_split(
         rows, F.add_months(today, -months), "feature_snapshot_date", history_months=history_months, oot_months=oot_months
     )
-    keys = ["Customer_ID", "feature_snapshot_date"]
+    keys = ["Customer_ID", joins.LOAN, "feature_snapshot_date"]
     side = F.when(F.col("split") == "oot", "oot").otherwise(F.col("side"))
     target = scaling.target_column(dated)
     windowed = dated.withColumnRenamed(target, "label").withColumnRenamed("split", "window")
@@ -127,23 +175,44 @@ def train(
     )
     known = table.filter("split = 'train'")
     columns = [*numbers, *vectors]
+    width = len(numbers) + sum(max(n, 1) for n in fitted.encoder.sizes.values())
     makers = {
         "logistic_regression": lambda: training.logistic(columns, known.count()),
         "random_forest": lambda: training.forest(columns),
-        "boosted_trees": lambda: training.boosted(columns, rounds=rounds, validation="is_validation"),
+        "boosted_trees": lambda: training.boosted(columns, rounds=rounds, validation="is_validation", patience=patience),
+        "neural_network": lambda: training.perceptron(columns, width),
     }
-    models = training.fit_models({name: makers[name] for name in learners}, known)
     folder = session.scratch_dir(mart.spark, "scores")
-    quality = training.compare_models(models, table, stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"))
+    stage = lambda df, name: sinks.materialise(df, f"{folder}/{name}")
+    searched = [name for name in learners if draws and name in SEARCH_SPACES]
+    models, parameters = {}, {"rounds": rounds, "patience": patience}
+    if searched:
+        bases = makers | {"boosted_trees": lambda: training.boosted(columns)}
+        models, results = training.search_models(
+            {name: (bases[name](), SEARCH_SPACES[name]) for name in searched},
+            known, table, keys, f"{mart.bank}/trials/{version}", stage=lambda df, name: stage(df, f"search-{name}"),
+            draws=draws, folds=folds,
+        )
+        parameters["search"] = {r["model_name"]: r["best_parameters"] for r in results.collect()}
+    rest = {name: makers[name] for name in learners if name not in searched}
+    if rest:
+        models |= training.fit_models(rest, known)
+    quality = training.compare_models(models, table, stage=stage)
     best = governance.best_model(quality.filter("split = 'oot'")).first()
     name = best["model_name"] if best else next(iter(models))
-    version = f"credit_model_{train_date:%Y_%m_%d}"
-    scored = sinks.materialise(inference.with_probability(models[name], table).drop(*columns), f"{folder}/best")
+    scored = stage(inference.with_probability(models[name], table).drop(*columns), "best")
     thirds = splits.equal_parts(scored.filter("split = 'oot'"), keys)
     row = training.registry_row(
-        scored, version, train_date, columns, {"learner": name, "rounds": rounds}, period="part", oot=thirds
-    ).withColumn("model_file", F.lit(f"credit_model_{train_date:%Y%m%d}.pkl"))
+        scored, version, train_date, columns, {"learner": name, **parameters}, period="part", oot=thirds
+    ).withColumns(
+        {
+            "model_file": F.lit(f"credit_model_{train_date:%Y%m%d}.pkl"),
+            "transformers": F.lit(transformers),
+            "categories": F.create_map(*[F.lit(x) for pair in fitted.encoder.sizes.items() for x in pair]),
+        }
+    )
     training.save_model(models[name], row, mart.bank, version)
+    session.remove(mart.spark, folder)
     return version
 
 
@@ -178,14 +247,20 @@ def retain(mart: Mart, keep: int = 3) -> DataFrame:
 
 
 def _matrix(mart: Mart, version: str) -> tuple[PipelineModel, DataFrame]:
+    """The model and its matrix over the matched sources, made by the transformers stored with it."""
     row = inference.validate_registry(mart.spark.read.parquet(f"{mart.bank}/registry")).filter(
         F.col("model_version") == version
     ).first()
     if row is None or not row["usable"]:
         raise ValueError(f"no usable model {version}")
-    store = feature_store(mart)
-    vectors = [c for c in row["feature_columns"] if c in scaling.vector_columns(store)]
-    numbers = [c for c in row["feature_columns"] if c not in vectors]
+    fitted = features.Fitted.load(mart.spark, row["transformers"], row["categories"])
+    store = features.assemble(matched_sources(mart), fitted)
+    wanted = list(row["feature_columns"])
+    share = scaling.missing_ratio(store, wanted)
+    if share > MISSING_LIMIT:
+        log.warning("%s lacks %.0f %% of its features: %s", version, 100 * share, scaling.missing_features(store, wanted))
+    vectors = [c for c in wanted if c in scaling.vector_columns(store)]
+    numbers = [c for c in wanted if c not in vectors]
     matrix = scaling.model_matrix(store, numbers, vectors, ["Customer_ID", "feature_snapshot_date"])
     return training.load_model(mart.bank, version), matrix
 

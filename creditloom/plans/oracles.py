@@ -679,13 +679,22 @@ oracle(
 )
 oracle(
     "random_search",
-    """SELECT CAST(3 AS BIGINT) AS draws, CAST(3 AS BIGINT) AS distinct_points, CAST(3 AS BIGINT) AS rated, count(*) AS train_rows,
-  CAST(sum(label) AS BIGINT) AS train_positives FROM vec WHERE split = 'train'""",
+    """SELECT CAST(12 AS BIGINT) AS trials, CAST(4 AS BIGINT) AS distinct_points, CAST(12 AS BIGINT) AS rated, CAST(4 AS INT) AS places,
+  CAST(1 AS BIGINT) AS best, count(*) AS train_rows, CAST(sum(label) AS BIGINT) AS train_positives FROM vec WHERE split = 'train'""",
+)
+oracle(
+    "trial_ranking",
+    """SELECT learner, draw, parameters, round(cv_auc, 6) AS cv_auc, round(cv_std, 6) AS cv_std,
+  CAST(row_number() OVER (PARTITION BY learner ORDER BY cv_auc DESC, draw) AS INT) AS place,
+  row_number() OVER (PARTITION BY learner ORDER BY cv_auc DESC, draw) = 1 AS best
+FROM (SELECT learner, draw, concat('point ', draw) AS parameters, avg(auc) AS cv_auc, stddev_pop(auc) AS cv_std
+  FROM (SELECT event_type AS learner, CAST(user_id % 25 AS INT) AS draw, event_id % 3 AS fold, max(floor(value * 1000) / 1000) AS auc
+    FROM events WHERE event_id % 7 > 0 GROUP BY 1, 2, 3) t GROUP BY learner, draw HAVING count(auc) = 3) m""",
 )
 oracle(
     "search_comparison",
-    f"""SELECT unnest(['boosted_trees', 'random_forest']) AS model_name, bool_and(ok) AS complete, CAST(1 AS BIGINT) AS selected_models
-FROM (SELECT split, {_BOTH} AS ok FROM vec GROUP BY split) t""",
+    f"""SELECT unnest(['logistic_regression', 'random_forest', 'boosted_trees']) AS model_name, bool_and(ok) AS complete,
+  CAST(1 AS BIGINT) AS selected_models FROM (SELECT split, {_BOTH} AS ok FROM vec GROUP BY split) t""",
 )
 PARTS["credit_rows"] = """SELECT label, CASE WHEN snapshot_date BETWEEN DATE '1998-07-01' AND DATE '1998-08-31' THEN 'oot'
   WHEN snapshot_date BETWEEN DATE '1995-07-01' AND DATE '1998-06-30' THEN 'train_test' END AS split FROM left_features"""

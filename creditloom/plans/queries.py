@@ -30,7 +30,7 @@ from creditloom.operators import (
     splits,
     training,
 )
-from creditloom.plans import monitor
+from creditloom.plans import mart, monitor
 from creditloom.sources import adapters, ingest, scans, sinks, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -846,28 +846,41 @@ def train_mlp(i):
 
 @query
 def random_search(i):
-    """Cross-validated random search: how many points were drawn, how many of them differ, and over how many rows."""
-    space = {
-        "maxIter": [5, 10],
-        "maxDepth": [2, 3],
-        "stepSize": [0.01, 0.1],
-        "subsamplingRate": [0.6, 0.8],
-        "minInstancesPerNode": [1, 5],
-        "featureSubsetStrategy": ["0.6", "0.8"],
-        "minInfoGain": [0.0, 0.01],
-    }
+    """Random search over the boosted trees' grid, broken off after two points and continued: its trials, how many points
+    differ, and how many have a place."""
+    path, space = i.scratch("trials"), mart.SEARCH_SPACES["boosted_trees"]
     rows = train_rows(i)
-    found = training.search_results(i.spark, training.random_search(boosted_model(), space, rows, ["Customer_ID"], draws=3))
+    for draws in (2, 4):
+        trials = training.run_trials({"boosted_trees": (boosted_model(), space)}, rows, ["Customer_ID"], path, draws=draws, parallelism=8)
+    ranked = training.rank_trials(trials)
     size = rows.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives")).alias("s")).select("s").scalar()
-    return found.agg(
-        F.count(F.lit(1)).alias("draws"),
+    places = ranked.agg(F.struct(F.max("place").alias("last"), F.count_if("best").alias("best")).alias("s")).select("s").scalar()
+    return trials.agg(
+        F.count(F.lit(1)).alias("trials"),
         F.countDistinct("parameters").alias("distinct_points"),
-        F.count_if(F.col("cv_auc").between(0, 1)).alias("rated"),
+        F.count_if(F.col("auc").between(0, 1)).alias("rated"),
+        F.max(places["last"]).alias("places"),
+        F.max(places["best"]).alias("best"),
         F.max(size["n"]).alias("train_rows"),
         F.max(size["positives"]).alias("train_positives"),
     )
 
 
+@query
+def trial_ranking(i):
+    """Mean, spread, place and choice over a trial table: one learner per kind of event, a point per user group, a fold
+    per event, some trials without a rating and some rated twice."""
+    point = F.col("user_id") % 25
+    trials = i.events.select(
+        F.col("event_type").alias("learner"),
+        point.cast("int").alias("draw"),
+        (F.col("event_id") % 3).cast("int").alias("fold"),
+        F.concat(F.lit("point "), point.cast("string")).alias("parameters"),
+        F.when(F.col("event_id") % 7 > 0, F.floor(F.col("value") * 1000) / 1000).alias("auc"),
+    )
+    return rounded(training.rank_trials(trials), "cv_auc", "cv_std")
+
+
 @query
 def model_comparison(i):
     """Three learners over three splits, and that the best of them by out-of-time AUC is one."""
@@ -887,13 +900,15 @@ def model_comparison(i):
 
 @query
 def search_comparison(i):
-    """Random search for two learners over all splits: which have figures everywhere, and how many are selected."""
-    searches = {
-        "boosted_trees": (boosted_model(), {"maxIter": [5, 10], "maxDepth": [2, 3], "stepSize": [0.01, 0.1]}),
-        "random_forest": (training.forest(["embedding_vec"]), {"numTrees": [10, 20], "maxDepth": [2, 4]}),
+    """Random search for three learners over all splits: which have figures everywhere, and how many are selected."""
+    bases = {
+        "logistic_regression": logistic_model(i),
+        "random_forest": training.forest(["embedding_vec"]),
+        "boosted_trees": boosted_model(),
     }
+    searches = {name: (base, mart.SEARCH_SPACES[name]) for name, base in bases.items()}
     _, table = training.search_models(
-        searches, train_rows(i), vectors(i), ["Customer_ID"], stage=staged(i), draws=2, folds=2
+        searches, train_rows(i), vectors(i), ["Customer_ID"], i.scratch("trials"), stage=staged(i), draws=2, parallelism=8
     )
     complete = F.lit(True)
     for column in ("cv_auc", "train_auc", "test_auc", "oot_auc"):
