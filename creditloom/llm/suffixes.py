@@ -22,8 +22,8 @@ from creditloom.llm.common import by_batch, column, parts, staged, text_of
 
 WIDTH = 200
 GRAM = 32
-#: Different strings of one anchor that are sorted together.
-HOT = 500
+#: Different strings of one anchor that are sorted together, 5 MB at most or so.
+HOT = 20_000
 #: Bytes sorted at once, and bytes hashed at once.
 SORT_BYTES, HASH_BYTES = 1 << 20, 1 << 17
 #: Strings a shard holds on average at most.
@@ -119,16 +119,12 @@ def two_stage_order(data: bytes, wanted: np.ndarray, width: int) -> np.ndarray:
     text = np.frombuffer(marked + b"\x00", np.uint8)
     n = len(data)
     step = np.diff(text[: n + 1].astype(np.int16))
-    unequal = np.flatnonzero(step)
-    smaller = np.zeros(n, bool)
-    ahead = np.searchsorted(unequal, np.arange(n), side="left")
-    smaller[:] = step[unequal[np.minimum(ahead, len(unequal) - 1)]] > 0
+    unequal = np.flatnonzero(step)  # the last byte differs from the mark, so every byte has an unequal one ahead
+    smaller = np.repeat(step[unequal] > 0, np.diff(unequal, prepend=-1))
     bases = np.flatnonzero(smaller)
-    reach = bases[np.searchsorted(bases, wanted, side="left")]  # each wanted suffix is induced from the next smaller one
-    change = np.zeros(n + 1, np.int32)
-    np.add.at(change, wanted, 1)
-    np.add.at(change, reach + 1, -1)
-    needed = np.cumsum(change[:n]) > 0
+    next_base = np.repeat(bases, np.diff(bases, prepend=-1))
+    ends = next_base[wanted] + 1  # each wanted suffix is induced from the next smaller one
+    needed = np.cumsum(np.bincount(wanted, minlength=n + 1) - np.bincount(ends, minlength=n + 1))[:n] > 0
     direct = np.flatnonzero(needed & smaller)
     direct = np.array(sorted(direct.tolist(), key=lambda p: marked[p : p + width]), np.int64)
     induced = needed & ~smaller
@@ -165,15 +161,18 @@ def two_stage_order(data: bytes, wanted: np.ndarray, width: int) -> np.ndarray:
 
 def common_prefixes(data: bytes, order: np.ndarray, width: int) -> np.ndarray:
     """Common prefix of each suffix in the order with the one before it, up to ``width`` bytes; the first has none."""
-    text = np.frombuffer(data + bytes(width), np.uint8)
+    words = np.ndarray((len(data) + width + 1,), "<u8", data + bytes(width + 8), strides=(1,))
     common = np.zeros(len(order), np.int64)
     alive = np.arange(1, len(order))
-    for at in range(width):
-        if not len(alive):
-            break
-        alive = alive[text[order[alive] + at] == text[order[alive - 1] + at]]
-        common[alive] += 1
-    return common
+    for at in range(0, width, 8):
+        differ = words[order[alive] + at] ^ words[order[alive - 1] + at]
+        apart = differ != 0
+        last, differ = alive[apart], differ[apart]
+        for byte in range(1, 8):  # equal bytes before the first different one
+            common[last] += differ & np.uint64((1 << 8 * byte) - 1) == 0
+        alive = alive[~apart]
+        common[alive] += 8
+    return np.minimum(common, width)
 
 
 def repeated_windows(strings: list[bytes], width: int) -> list[np.ndarray]:
