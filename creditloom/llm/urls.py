@@ -86,20 +86,23 @@ def judge(
 ) -> DataFrame:
     """One row per page: (page_id, host, path, rule, verdict, strict_hits, soft_hits).
 
-    The longest fitting rule decides; without one, a strict term or ``soft_limit`` different soft terms in host and
-    path block.  A null, empty or malformed url has no terms and is allowed.  Only id and url are read, repeated rows
-    are judged each, an empty table gives an empty result.
+    The longest fitting rule decides; without one, a strict term or ``soft_limit`` different soft terms anywhere in the
+    lower-cased url block, query string and fragment included and also where it has no ``://``.  A null or empty url has
+    no terms and is allowed.  Only id and url are read, repeated rows are judged each, an empty table gives an empty
+    result.
     """
     strict, soft = tuple(strict), tuple(soft)
-    host, path = host_and_path(column(pages, url_col))
-    split = pages.select(column(pages, id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    url = column(pages, url_col)
+    host, path = host_and_path(url)
+    whole = F.lower(F.coalesce(url.cast("string"), F.lit("")))
+    split = pages.select(column(pages, id_col).alias("page_id"), host.alias("host"), path.alias("path"), whole.alias("whole"))
 
     def count(batch: pa.RecordBatch):
         machine = automaton(strict, soft)
-        found = [hits((h + p).lower(), machine) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
+        found = [hits(text, machine) for text in batch.column("whole").to_pylist()]
         kind = pa.list_(pa.string())
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array([f[0] for f in found], kind), pa.array([f[1] for f in found], kind)],
+            [*batch.columns[:3], pa.array([f[0] for f in found], kind), pa.array([f[1] for f in found], kind)],
             names=["page_id", "host", "path", "strict_hits", "soft_hits"],
         )
 
@@ -124,7 +127,7 @@ def sql(strict=STRICT_TERMS, soft=SOFT_TERMS, soft_limit: int = SOFT_LIMIT, rule
     """The same judgement for DuckDB; one bounded match per term."""
 
     def has(term: str) -> str:
-        return rf"CAST(regexp_matches(lower(host || path), '(^|[^[:alnum:]]){term}([^[:alnum:]]|$)') AS INT)"
+        return rf"CAST(regexp_matches(lower(coalesce(url, '')), '(^|[^[:alnum:]]){term}([^[:alnum:]]|$)') AS INT)"
 
     ranked = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r))
     fits = [f"(host = '{d}' OR ends_with(host, '.{d}')) AND starts_with(path, '{p}')" for _, d, p in ranked]
@@ -133,9 +136,9 @@ def sql(strict=STRICT_TERMS, soft=SOFT_TERMS, soft_limit: int = SOFT_LIMIT, rule
     n_strict, n_soft = " + ".join(map(has, strict)), " + ".join(map(has, soft))
     return rf"""
     WITH rest AS (
-        SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages
+        SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages
     ), split AS (
-        SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+        SELECT page_id, url, translate(regexp_extract(r, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
                regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
         FROM rest
     ), counted AS (
