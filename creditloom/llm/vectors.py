@@ -25,6 +25,7 @@ LEAF = 128  # below this length an interval pair is multiplied out
 BOX_DIMENSIONS = 16
 GRID_DIMENSIONS = 8
 KEY_DIMENSIONS = 3
+CELL = 0.25  # least width of the cells in which interval boxes meet; unit vectors span 2, so a box lies in few cells
 SLACK = 1e-9  # rounding allowance of the bounds; links themselves are decided by the cosine
 
 
@@ -123,13 +124,15 @@ def intervals(classes: DataFrame, axes: np.ndarray, eps: float, length: int) ->
 
 
 def close_pairs(boxes: DataFrame, eps: float) -> DataFrame:
-    """Interval pairs (i <= j) whose boxes are within eps, met in shared or adjacent cells of the leading dimensions."""
+    """Interval pairs (i <= j) whose boxes are within eps, met in shared or adjacent cells of the leading dimensions.
+    Cells may be wider than eps, never narrower, so boxes within eps always meet."""
+    cell = max(eps, CELL)
 
     def keyed(prefix: str, margin: int) -> DataFrame:
         df = boxes.select(*(F.col(c).alias(prefix + c) for c in ("interval", "low", "high")))
         for k in range(KEY_DIMENSIONS):
-            first = F.floor(F.col(prefix + "low")[k] / eps).cast("int") - margin
-            last = F.floor(F.col(prefix + "high")[k] / eps).cast("int") + margin
+            first = F.floor(F.coalesce(F.get(prefix + "low", F.lit(k)), F.lit(0.0)) / cell).cast("int") - margin
+            last = F.floor(F.coalesce(F.get(prefix + "high", F.lit(k)), F.lit(0.0)) / cell).cast("int") + margin
             df = df.withColumn(f"{prefix}c{k}", F.explode(F.sequence(first, last)))
         return df
 
@@ -199,7 +202,7 @@ def spanning(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 def interval_links(stored: DataFrame, axes: np.ndarray, threshold: float) -> DataFrame:
     """Rows (class, weight) of linked vectors and (class, other) of spanning links, over all close interval pairs."""
-    eps = math.sqrt(2 - 2 * threshold)
+    eps = max(math.sqrt(2 - 2 * threshold), SLACK)
     sent = stored.sparkSession.sparkContext.broadcast(axes[:, :BOX_DIMENSIONS].copy())
     pairs = close_pairs(stored.select("interval", "low", "high"), eps)
 
@@ -251,26 +254,25 @@ def near_vectors(
 
     Vectors link when their cosine in double precision is at least ``threshold`` (above 0, at most 1).  ``n_links``
     counts the other rows linked directly, ``component_id`` is the smallest id reachable, ``kept`` marks the row with
-    that id.  A vector that is null, zero, holds null or non-finite components or has not the table's most frequent
-    length (of equally frequent ones the larger) links with nothing and is kept.  Identical vectors are one class with
+    that id.  A vector that is null, zero or holds null or non-finite components links with nothing and is kept; vectors
+    of different lengths never link, and those of each length are compared in full.  Identical vectors are one class with
     a size throughout, so copies are never paired.  Rows that repeat an id and a vector are linked rows like any copies
     and all kept.  An empty table gives an empty result.
     """
     spark = prepare(vectors.sparkSession)
     vector = column(vectors, vector_col)
     base = vectors.select(column(vectors, id_col).alias("vec_id"), F.when(usable(vector), vector).alias("vector"))
-    lengths = base.filter("vector is not null").groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"))
-    common = lengths.orderBy(F.desc("n"), F.desc("d")).first()
-    dimensions = common.d if common else 0
-    base = base.withColumn("vector", F.when(F.size("vector") == dimensions, F.col("vector")))
     classes = base.filter("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("size"))
     classes = staged(classes.withColumn("class", F.monotonically_increasing_id()), "vector-classes")
-    if common:
-        axes = principal_axes(classes, dimensions)
-        cut = intervals(classes.select("class", "size", "vector"), axes, math.sqrt(2 - 2 * threshold) or SLACK, interval)
-        found = staged(interval_links(cut, axes, threshold), "vector-links")
-    else:
-        found = spark.createDataFrame([], "class long, weight long, other long")
+    # A table holds few lengths.  Of a length with one vector only there is nothing to compare.
+    lengths = classes.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).filter("n > 1").orderBy("d").collect()
+    eps = max(math.sqrt(2 - 2 * threshold), SLACK)
+    found = spark.createDataFrame([], "class long, weight long, other long")
+    for length in lengths:
+        own = classes.filter(F.size("vector") == length.d)
+        axes = principal_axes(own, length.d)
+        cut = intervals(own.select("class", "size", "vector"), axes, eps, interval)
+        found = found.unionByName(staged(interval_links(cut, axes, threshold), "vector-links"))
     weights = found.filter("weight is not null").groupBy("class").agg(F.sum("weight").alias("weight"))
     joined = components(found.filter("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     rooted = classes.join(joined, classes["class"] == joined["node"], "left").select(

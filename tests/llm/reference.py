@@ -56,11 +56,9 @@ def vector_links(vectors: dict, threshold: float = 0.95) -> dict:
     usable = {
         i: v for i, v in vectors.items() if v and all(x is not None and math.isfinite(x) for x in v) and any(v)
     }
-    sizes = Counter(len(v) for v in usable.values())
-    width = max(sizes, key=lambda n: (sizes[n], n), default=0)
-    usable = {i: np.array(v, float) for i, v in usable.items() if len(v) == width}
+    usable = {i: np.array(v, float) for i, v in usable.items()}
     unit = {i: v / np.linalg.norm(v) for i, v in usable.items()}
-    linked = [(a, b) for a, b in combinations(unit, 2) if unit[a] @ unit[b] >= threshold]
+    linked = [(a, b) for a, b in combinations(unit, 2) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= threshold]
     counts = Counter(x for pair in linked for x in pair)
     groups = components(vectors, linked)
     return {i: (counts[i], groups[i], groups[i] == i) for i in vectors}

@@ -220,6 +220,26 @@ def test_vectors_against_all_pairs(spark):
         assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in rows} == expected
 
 
+@pytest.mark.parametrize("threshold", [1.0, 0.9999, 0.95])
+def test_vectors_of_several_lengths_and_thresholds(spark, threshold):
+    rng = random.Random(11)
+    rows = {}
+    for d in (2, 3, 7, 1):
+        for _ in range(40):
+            v = [rng.choice([-1.0, 0.5, 1.0, 2.0]) + rng.choice([0, 0, 1e-3]) for _ in range(d)]
+            rows[len(rows)] = v
+            rows[len(rows)] = list(v) if rng.random() < 0.3 else [2 * x for x in v]
+    rows[len(rows)] = [1.0] * 9
+    table = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>").repartition(3)
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(table, threshold, interval=16).collect()}
+    if threshold < 1:
+        assert found == reference.vector_links(rows, threshold)
+    else:  # the last bit decides here; identical vectors always link
+        copies = {i: sum(v == w for w in rows.values()) - 1 for i, v in rows.items()}
+        assert all(found[i][0] >= n for i, n in copies.items())
+    assert found[len(rows) - 1] == (0, len(rows) - 1, True)
+
+
 def test_odd_vectors(spark):
     near = [1.0, 0.0, 0.1]
     data = {
@@ -303,6 +323,7 @@ def test_urls(spark):
         None, "", "nonsense", "http://", "https://a.ORG", "https://a.org/", "https://X.example.org/es/9", "http://example.org/en/12?x=1",
         "http://badexample.org/es/1", "http://a.com/fr/1", "http://a.com/de/1", "http://a.com/en/1", "http://casino-win.net/x",
         "http://a.net/free/poker", "http://a.net/freepoker", "http://a.net/free/free", "x://xxx#frag", "http://a.net?porn", "ftp://org/",
+        "http://a.net/out?to=xxx", "www.porn.net/xxx", "http://a.net/x#PORN", "http://a.net/?q=popcorn&r=xxxl", "casino",
     ]
     df = spark.createDataFrame([(i, u, "h", "p") for i, u in enumerate(rows)], "page_id long, url string, host string, path string")
     got = {rows[r.page_id]: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(df).collect()}
@@ -314,7 +335,10 @@ def test_urls(spark):
     assert got["http://badexample.org/es/1"][2:] == ("org/", "allow")
     assert got["http://a.com/fr/1"][2:] == ("com/fr/", "allow") and got["http://a.com/de/1"][2:] == ("com/de/", "block")
     assert got["http://casino-win.net/x"][2:] == (None, "block") and got["http://a.net/free/poker"][3] == "block"
-    assert got["http://a.net/freepoker"][3] == got["http://a.net/free/free"][3] == got["http://a.net?porn"][3] == "allow"
+    assert got["http://a.net/freepoker"][3] == got["http://a.net/free/free"][3] == "allow"
+    assert got["http://a.net?porn"] == ("a.net", "", None, "block") and got["http://a.net/out?to=xxx"][3] == "block"
+    assert got["www.porn.net/xxx"] == ("", "", None, "block") and got["http://a.net/x#PORN"][3] == "block"
+    assert got["http://a.net/?q=popcorn&r=xxxl"][3] == "allow"
     assert got["x://xxx#frag"] == ("xxx", "", None, "block") and got["ftp://org/"][2] == "org/"
     assert urls.judge(df.limit(0)).count() == 0
 
