@@ -213,17 +213,24 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def drop_unidentified(docs: DataFrame) -> DataFrame:
     """``docs`` without rows that have no language: no letter, or nothing in the text that tells the languages apart.
 
-    Judged inside one pass over the rows themselves, so all columns stay and nothing is joined.
+    Judged inside one pass over the rows themselves, so all columns stay and nothing is joined.  Null and empty texts have
+    no letter; repeated rows are judged each.  Where no row that may be learned from has a language, or only one language
+    is known, nothing can tell languages apart, so every row with a letter stays.  An empty table gives an empty result.
     """
     fold = crc_mod(column(docs, "doc_id"), 3) == 1
     model = fit(docs.filter(~fold).select(F.col("doc_id").alias("key"), "text", F.col("lang").cast("string").alias("lang")))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    chance = 1 / len(model.languages) + 1e-9 if len(model.languages) > 1 else 0.0
+    several = len(model.languages) > 1
+    chance = 1 / len(model.languages) + 1e-9 if several else 0.0
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in batches:
-            judged = [scorer.judge(text.as_py()) for text in batch.column("text")]
-            yield batch.filter(pa.array([lang != UNDETERMINED and score > chance for lang, score in judged], pa.bool_()))
+            texts = [text.as_py() for text in batch.column("text")]
+            if several:
+                keep = [lang != UNDETERMINED and score > chance for lang, score in map(scorer.judge, texts)]
+            else:
+                keep = [any(c.isalpha() for c in text or "") for text in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
