@@ -5,12 +5,13 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import by_batch, column, parts, staged, text_of, unused
+from creditloom.llm.common import column, parts, staged, text_of, unused
 
 SLOTS = 4
 MAX_KICKS = 500
@@ -128,14 +129,29 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def _combine(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Copies within a batch become one row, so a text that is a third of the corpus stays a few rows per task."""
-    t = pa.table(batch).append_column("rank", pc.fill_null(batch.column("doc_id"), LOWEST_ID))
-    t = t.sort_by([("rank", "ascending"), ("row", "ascending")])
-    out = t.group_by("digest", use_threads=False).aggregate([("rank", "last"), ("row", "last"), ("row", "count")])
-    yield from out.select(["digest", "rank_last", "row_last", "row_count"]).rename_columns(
-        ["digest", "rank", "row", "n"]
-    ).combine_chunks().to_batches()
+#: Rows a task gathers before it merges them; what it holds are its different digests and so many rows.
+MERGE_ROWS = 50_000
+
+
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Copies within a task become one row, so a text that is a third of the corpus is a row per task."""
+    names = ["digest", "rank", "row", "n"]
+
+    def merged(parts: list[pa.Table]) -> pa.Table:
+        t = pa.concat_tables(parts).sort_by([("rank", "ascending"), ("row", "ascending")])
+        out = t.group_by("digest", use_threads=False).aggregate([("rank", "last"), ("row", "last"), ("n", "sum")])
+        return out.select(["digest", "rank_last", "row_last", "n_sum"]).rename_columns(names)
+
+    parts, waiting = [], 0
+    for batch in batches:
+        rank = pc.fill_null(batch.column("doc_id").cast(pa.int64()), LOWEST_ID)
+        ones = pa.array(np.ones(batch.num_rows, np.int64))
+        parts.append(pa.table([batch.column("digest"), rank, batch.column("row"), ones], names=names))
+        waiting += batch.num_rows
+        if waiting >= MERGE_ROWS:
+            parts, waiting = [merged(parts)], 0
+    if parts:
+        yield from merged(parts).combine_chunks().to_batches(max_chunksize=10_000)
 
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +185,7 @@ def copy_groups(prints: DataFrame) -> DataFrame:
     """Digests held by several rows: (digest, keep_id, keep_row, group_size)."""
     spark = prints.sparkSession
     shards = parts(spark, prints.count(), DIGESTS_PER_SHARD)
-    combined = by_batch(prints, _combine, "digest binary, rank long, row long, n long")
+    combined = prints.mapInArrow(_combine, "digest binary, rank long, row long, n long")
     return combined.repartition(shards, "digest").mapInArrow(
         _shard, "digest binary, keep_id long, keep_row long, group_size long"
     )
