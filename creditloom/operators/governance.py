@@ -195,6 +195,31 @@ def previous_model(executions: DataFrame, registry: DataFrame, date: str = "exec
     return executions.join(found, date, "left")
 
 
+def models_as_of(executions: DataFrame, registry: DataFrame, date: str = "execution_date") -> DataFrame:
+    """Attach to every execution date the newest model that was saved before it and not yet archived on it.
+
+    A model is valid from the day after its name's date to the day before ``archived_date`` (open where that is NULL).  Dates
+    and validity meet in calendar months, an equi-join; both tables hold one row per model or run.
+    """
+
+    def month(day: Column) -> Column:
+        return F.year(day) * 12 + F.month(day)
+
+    asked = executions.select(F.col(date).alias("__date")).distinct()
+    last_month = asked.agg(F.max(month(F.col("__date")))).scalar()
+    first = month(F.col("name_date"))
+    end = F.least(F.coalesce(month(F.col("archived_date")), last_month), last_month)
+    valid = registry_entries(registry).filter(F.col("active") & F.col("name_date").isNotNull() & (first <= end))
+    spread = valid.withColumn("__month", F.explode(F.sequence(first, end)))
+    met = asked.withColumn("__month", month(F.col("__date"))).join(spread, "__month").filter(
+        (F.col("name_date") < F.col("__date")) & (F.col("archived_date").isNull() | (F.col("archived_date") > F.col("__date")))
+    )
+    newest = met.groupBy("__date").agg(
+        F.max_by(F.struct("model_file", "auc", "cv", "readable"), F.struct("name_date", "model_file")).alias("model")
+    )
+    return executions.join(newest.select(F.col("__date").alias(date), "model.*"), date, "left")
+
+
 def breaches() -> dict[str, Column]:
     """Threshold breaches of the previous model; a missing or zero AUC is a breach of its own."""
     auc, cv = F.coalesce(F.col("auc"), F.lit(0.0)), F.coalesce(F.col("cv"), F.lit(0.0))
@@ -209,9 +234,11 @@ def breaches() -> dict[str, Column]:
 def retraining_decision(
     executions: DataFrame, registry: DataFrame, date: str = "execution_date", epoch: dt.date = EPOCH
 ) -> DataFrame:
-    """``retrain`` or ``keep`` with a reason for every execution date."""
+    """``retrain`` or ``keep`` with a reason for every execution date.  A registry with an ``archived_date`` is read as it
+    was on that date."""
     models = pipeline_path(registry).select("models").scalar()
-    known = previous_model(executions, registry, date)
+    candidate = models_as_of if "archived_date" in registry.columns else previous_model
+    known = candidate(executions, registry, date)
     month = months_since(F.col(date), epoch)
     hits = F.filter(F.array(*[F.when(c, name) for name, c in breaches().items()]), lambda b: b.isNotNull())
     judged = known.withColumns({"months_since_start": month, "breaches": hits})

@@ -1,8 +1,9 @@
 """Monitoring of stored predictions.
 
-``daily_profile`` reads the prediction store once and leaves one row per snapshot date.  Trend, stability,
-concentration, confidence and the monitored period all follow from that small table.  Only quantiles and the row
-where the drift halves meet need the predictions again.
+``rollup`` reads predictions once and leaves a row of counts and moments per snapshot date and hash prefix; it can be
+stored and appended snapshot by snapshot.  Profile, trend, stability, concentration, confidence, the monitored period and
+the drift halves all follow from that small table.  Only quantiles and the rows of the one prefix where the drift halves
+meet need the predictions again.
 """
 
 from __future__ import annotations
@@ -45,17 +46,52 @@ def bands() -> dict[str, Column]:
     }
 
 
-def daily_profile(predictions: DataFrame) -> DataFrame:
-    """One row per snapshot date: rows, mean, deviation, positives and rows per band."""
+def _moments() -> list[Column]:
     p = F.col(P)
-    return predictions.groupBy(DATE).agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.count(p).alias("scored"),
         F.avg(p).alias("mean"),
         F.stddev_samp(p).alias("std"),
         F.sum(CLASS).alias("positives"),
         *[F.count_if(c).alias(name) for name, c in bands().items()],
+    ]
+
+
+def daily_profile(predictions: DataFrame) -> DataFrame:
+    """One row per snapshot date: rows, mean, deviation, positives and rows per band."""
+    return predictions.groupBy(DATE).agg(*_moments())
+
+
+def rollup(
+    predictions: DataFrame, keys: Sequence[str] = ("Customer_ID", P), digits: int | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per snapshot date and hash prefix (per ``by``), with the figures of the profile.
+
+    Prefixes have ``digits`` places, by default as many as leave about ``order_stats.ROWS_PER_PREFIX`` rows to each.
+    Snapshots do not share rows, so a new one is appended by itself, whatever the digits of the others."""
+    digits = order_stats.hash_digits(predictions.count()) if digits is None else digits
+    prefix = F.substring(order_stats.row_hash(*keys), 1, digits)
+    return predictions.groupBy(*by, DATE, prefix.alias("prefix")).agg(*_moments())
+
+
+def profile_of(rolled: DataFrame) -> DataFrame:
+    """The daily profile from a rollup; deviations are pooled (within plus between prefixes)."""
+    same_date = Window.partitionBy(DATE)
+    total = F.sum("scored").over(same_date)
+    centred = rolled.withColumn("grand", F.try_divide(F.sum(F.col("mean") * F.col("scored")).over(same_date), total))
+    within = F.coalesce(F.col("std"), F.lit(0.0)) ** 2 * (F.col("scored") - 1)
+    between = F.col("scored") * (F.col("mean") - F.col("grand")) ** 2
+    sums = centred.groupBy(DATE).agg(
+        F.sum("n").alias("n"),
+        F.sum("scored").alias("scored"),
+        F.max("grand").alias("mean"),
+        F.sum(F.when(F.col("scored") > 0, within + between)).alias("squares"),
+        F.sum("positives").alias("positives"),
+        *[F.sum(name).alias(name) for name in bands()],
     )
+    std = F.when(F.col("scored") > 1, F.sqrt(F.col("squares") / (F.col("scored") - 1)))
+    return sums.select(DATE, "n", "scored", "mean", std.alias("std"), "positives", *bands())
 
 
 def performance_trend(profile: DataFrame) -> DataFrame:
@@ -191,7 +227,7 @@ def drift(
     predictions: DataFrame,
     keys: Sequence[str] = ("Customer_ID", P),
     threshold: float = fixed.DRIFT_THRESHOLD,
-    profile: DataFrame | None = None,
+    rolled: DataFrame | None = None,
     digits: int | None = None,
     stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
@@ -201,48 +237,46 @@ def drift(
     settles ties the same way on every run.  Keys should tell rows apart; the default adds the probability, so one
     busy customer still spreads out.  The older half has floor(n / 2) rows.
 
-    No sort over all rows is needed.  The daily profile shows which date the middle falls into; within that date,
-    totals per hash prefix show which part; and only the rows of that part are ordered.  Equal rows travel as one row
-    with a count, so repeated rows cannot swell the part.  Pass ``profile`` when it is computed anyway;
-    ``stage(df, name)`` may store the rows of the date in the middle, so that it is read once.
+    No sort over all rows is needed.  The rollup shows which date the middle falls into and, within that date, which hash
+    prefix; and only the rows of that prefix are read and ordered.  Equal rows travel as one row with a count, so repeated
+    rows cannot swell the part.  Pass a stored ``rolled`` (over the same ``keys``), and the predictions are read once;
+    else it is computed, and ``stage(df, name)`` may store it.
     """
-    digits = order_stats.hash_digits(predictions.count()) if digits is None else digits
+    rolled = stage(rollup(predictions, keys, digits), "rollup") if rolled is None else rolled
     p, n, start, half = F.col("p"), F.col("n"), F.col("start"), F.col("half")
     # First and second moments are sums around a constant near the middle of the scale; any constant would do.
     off = p - 0.5
     mean, std = F.col("mean") - 0.5, F.coalesce(F.col("std"), F.lit(0.0))
 
-    dates = _running(
-        (daily_profile(predictions) if profile is None else profile)
-        .filter("scored > 0")
-        .select(DATE, F.col("scored").alias("n"), (F.col("scored") * mean).alias("s1"),
-                ((F.col("scored") - 1) * std * std + F.col("scored") * mean * mean).alias("s2")),
-        DATE,
-    ).withColumn("half", F.floor(F.sum("n").over(Window.partitionBy()) / 2))
-    divided = (start < half) & (start + n > half)
     sums = ["n", "s1", "s2"]
 
+    def summed(df: DataFrame, name: str) -> DataFrame:
+        return _running(
+            df.filter("scored > 0").select(
+                name, F.col("scored").alias("n"), (F.col("scored") * mean).alias("s1"),
+                ((F.col("scored") - 1) * std * std + F.col("scored") * mean * mean).alias("s2"),
+            ),
+            name,
+        )
+
+    dates = summed(profile_of(rolled), DATE).withColumn("half", F.floor(F.sum("n").over(Window.partitionBy()) / 2))
+    divided = (start < half) & (start + n > half)
+
     def sides(df: DataFrame) -> DataFrame:
         """Entries that lie on one side as a whole."""
         return df.filter(~divided).select((start < half).alias("early"), *sums)
 
     # The date in the middle, by hash prefix.
     middle = _struct_of(dates.filter(divided).select(DATE, "start", "half"))
-    rows = stage(
-        predictions.filter(F.col(P).isNotNull() & (F.col(DATE) == middle[DATE]))
-        .select(F.col(P).alias("p"), order_stats.row_hash(*keys).alias("hash"))
-        .withColumn("prefix", F.substring("hash", 1, digits)),
-        "middle",
-    )
-    parts = _running(
-        rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.sum(off).alias("s1"), F.sum(off * off).alias("s2")),
-        "prefix",
-    ).withColumn("half", middle["half"] - middle["start"])
+    parts = summed(rolled.filter(F.col(DATE) == middle[DATE]), "prefix").withColumn("half", middle["half"] - middle["start"])
 
     # The part in the middle, row by row: copies before the middle are early, the others recent.
     cut = _struct_of(parts.filter(divided).select("prefix", "start", "half"))
+    rows = predictions.filter(F.col(P).isNotNull() & (F.col(DATE) == middle[DATE])).select(
+        F.col(P).alias("p"), order_stats.row_hash(*keys).alias("hash")
+    )
     ordered = _running(
-        rows.filter(F.col("prefix") == cut["prefix"]).groupBy("hash", "p").agg(F.count(F.lit(1)).alias("n")), "hash", "p"
+        rows.filter(F.startswith("hash", cut["prefix"])).groupBy("hash", "p").agg(F.count(F.lit(1)).alias("n")), "hash", "p"
     ).withColumn("early_n", F.greatest(F.lit(0), F.least(n, cut["half"] - cut["start"] - start)))
     copies = [
         F.struct(F.lit(True).alias("early"), F.col("early_n").alias("n")),

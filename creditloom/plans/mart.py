@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from creditloom import session
 from creditloom.functions import calendar
-from creditloom.operators import features, governance, inference, joins, ledger, scaling, silver, splits, training
+from creditloom.operators import features, governance, inference, joins, ledger, monitoring, scaling, silver, splits, training
 from creditloom.plans.monitor import monitor
 from creditloom.sources import ingest, scans, sinks, stores
 
@@ -217,13 +217,13 @@ def train(
 
 
 def registry(mart: Mart) -> DataFrame:
-    """Model registry in the form the retraining rules read."""
-    stored = mart.spark.read.parquet(f"{mart.bank}/registry")
-    versions = [r["model_version"] for r in stored.select("model_version").collect()]  # one row per model
-    readable = F.col("model_version").isin([v for v in versions if _readable(mart, v)])
+    """Model registry in the form the retraining rules read; whether a model loads is left open."""
+    stored = mart.spark.read.option("mergeSchema", True).parquet(f"{mart.bank}/registry")
+    archived = F.col("archived_date") if "archived_date" in stored.columns else F.lit(None).cast("date")
     return stored.select(
-        "model_file", "model_date", F.col("oot_avg").alias("auc"), F.col("oot_cv").alias("cv"), readable.alias("readable")
-    )
+        "model_version", "model_file", "model_date", F.col("oot_avg").alias("auc"), F.col("oot_cv").alias("cv"),
+        archived.alias("archived_date"), F.lit(True).alias("readable"),
+    )
 
 
 def _readable(mart: Mart, version: str) -> bool:
@@ -235,15 +235,22 @@ def _readable(mart: Mart, version: str) -> bool:
     return True
 
 
-def retain(mart: Mart, keep: int = 3) -> DataFrame:
-    """Mark all but the newest ``keep`` models of the registry as archived and return the registry."""
+def retain(mart: Mart, keep: int = 3, on: dt.date | None = None) -> DataFrame:
+    """Mark all but the newest ``keep`` models of the registry as archived on a date (today) and return the registry.  A
+    model that was archived before keeps its date; one that is kept again is active again."""
     path = f"{mart.bank}/registry"
-    stored = sinks.materialise(mart.spark.read.parquet(path), session.scratch_dir(mart.spark, "registry"))
+    merged = mart.spark.read.option("mergeSchema", True).parquet(path)  # older rows may lack later fields
+    stored = sinks.materialise(merged, session.scratch_dir(mart.spark, "registry"))
     judged = governance.retention(stored.select("model_version", "model_file"), keep)
-    status = F.when(F.col("kept") == "archived", "archived").otherwise("active")
+    goes = F.col("kept") == "archived"
+    since = F.col("archived_date") if "archived_date" in stored.columns else F.lit(None).cast("date")
+    day = F.current_date() if on is None else F.lit(on)
     rows = stored.drop("status").join(judged.select("model_version", F.col("status").alias("kept")), "model_version", "left")
-    sinks.write_snapshots(rows.withColumn("status", status).drop("kept"), path, "model_version")
-    return mart.spark.read.parquet(path)
+    rows = rows.withColumns(
+        {"status": F.when(goes, "archived").otherwise("active"), "archived_date": F.when(goes, F.coalesce(since, day))}
+    )
+    sinks.write_snapshots(rows.drop("kept"), path, "model_version")
+    return mart.spark.read.option("mergeSchema", True).parquet(path)
 
 
 def _matrix(mart: Mart, version: str) -> tuple[PipelineModel, DataFrame]:
@@ -274,6 +281,9 @@ def infer(mart: Mart, version: str, start: dt.date, end: dt.date | None = None,
     scored = inference.batch_inference(model, matrix, dates, f"{version}.pkl", model_version=version)
     path = mart.path("gold", "model_predictions")
     sinks.write_snapshots(scored, path, ["model_name", "snapshot_date"])
+    run = stored_predictions(mart, f"{version}.pkl").filter(F.col("snapshot_date").between(first, last))
+    rolled = monitoring.rollup(run, by=["model_name"])
+    sinks.write_snapshots(rolled, mart.path("gold", "prediction_rollup"), ["model_name", "snapshot_date"])
     stored = stored_predictions(mart, f"{version}.pkl").withColumnRenamed("prediction_probability", "model_predictions")
     summary = inference.with_run(inference.batch_summary(dates, stored), first, last, frequency)
     sinks.append_run(summary, mart.path("gold", "batch_inference_summary"))
@@ -288,7 +298,12 @@ def stored_predictions(mart: Mart, model_name: str | None = None) -> DataFrame:
 
 
 def monitor_run(mart: Mart, version: str, run_date: dt.date) -> None:
-    """Monitoring row and governance document of one date."""
+    """Monitoring row, governance document and the prediction files that could not be read, of one date.
+
+    The rollup that scoring stored gives all but the rows where the drift halves meet."""
+    rolled = mart.read("gold", "prediction_rollup").filter(F.col("model_name") == f"{version}.pkl")
+    skipped = stores.skipped_files(mart.spark, mart.path("gold", "model_predictions"))
+    sinks.write_snapshots(skipped.withColumn("snapshot_date", F.lit(run_date)), mart.path("gold", "skipped_files"))
     oot = mart.spark.read.parquet(f"{mart.bank}/registry").filter(F.col("model_version") == version).select(
         inference.oot_rating(F.col("oot_cv")).alias("stability_rating"), F.col("oot_cv").alias("coefficient_of_variation")
     )
@@ -298,6 +313,7 @@ def monitor_run(mart: Mart, version: str, run_date: dt.date) -> None:
         F.lit(run_date),
         f"{version}.pkl",
         oot=oot,
+        rolled=rolled.withColumn("snapshot_date", F.col("snapshot_date").cast("date")),
         stage=lambda df, name: sinks.materialise(df, f"{folder}/{name}"),
     )
     sinks.write_snapshots(row, mart.path("gold", "model_monitoring"))
@@ -306,6 +322,10 @@ def monitor_run(mart: Mart, version: str, run_date: dt.date) -> None:
 
 
 def decide(mart: Mart, execution_date: dt.date, epoch: dt.date = governance.EPOCH) -> DataFrame:
-    """Retraining decision of one execution date."""
+    """Retraining decision of one execution date, over the registry as it was then.  Only the model it judges is loaded."""
     dates = mart.spark.range(1).select(F.lit(execution_date).alias("execution_date"))
-    return governance.retraining_decision(dates, registry(mart), epoch=epoch)
+    models = registry(mart)
+    candidate = governance.models_as_of(dates, models).join(models.select("model_file", "model_version"), "model_file").first()
+    if candidate is not None and not _readable(mart, candidate["model_version"]):
+        models = models.withColumn("readable", F.col("model_version") != candidate["model_version"])
+    return governance.retraining_decision(dates, models.drop("model_version"), epoch=epoch)

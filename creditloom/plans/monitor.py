@@ -19,17 +19,19 @@ def run_metrics(
     keys: Sequence[str] = ("Customer_ID", monitoring.P),
     threshold: float = fixed.DRIFT_THRESHOLD,
     stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    rolled: DataFrame | None = None,
 ) -> DataFrame:
     """All measures of one run in one row; no row when there are no predictions.
 
-    ``oot`` is the one-row stability of the model's out-of-time periods.  The prediction store is read for the daily
-    profile and for the drift halves; everything else works on one row per date.  ``stage(df, name)`` may store the
-    profile and the rows of the date in the middle: two reads then, four or more without.
+    ``oot`` is the one-row stability of the model's out-of-time periods.  ``rolled`` is the stored rollup of the
+    predictions over ``keys``; with it the predictions are read once, for the rows where the drift halves meet.  Without
+    it the rollup is computed, and ``stage(df, name)`` may store it: two reads then, more without.
     """
-    profile = stage(monitoring.daily_profile(predictions), "profile")
-    rolled = monitoring.overall(profile)
-    drifted = monitoring.drift(predictions, keys, threshold, profile, stage=stage)
-    row = rolled.filter("n > 0").withColumn("d", drifted.select(F.struct("*")).scalar())
+    if rolled is None:
+        rolled = stage(monitoring.rollup(predictions, keys), "rollup")
+    whole = monitoring.overall(monitoring.profile_of(rolled))
+    drifted = monitoring.drift(predictions, keys, threshold, rolled)
+    row = whole.filter("n > 0").withColumn("d", drifted.select(F.struct("*")).scalar())
     if oot is None:
         row = row.withColumns({"oot_rating": F.lit(None).cast("string"), "oot_cv": F.lit(None).cast("double")})
     else:

@@ -391,6 +391,13 @@ oracle(
     f"""SELECT count(p) AS count, round(avg(p), 6) AS mean, round(stddev_pop(p), 6) AS std, min(p) AS min, max(p) AS max,
   round({_share("p > 0.5")}, 6) AS positive_rate FROM preds""",
 )
+oracle(
+    "rollup_by_snapshot",
+    """SELECT snapshot_date, count(*) AS n, count(p) AS scored, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS std,
+  CAST(sum(c) AS BIGINT) AS positives, count(*) FILTER (p < 0.1) AS below_0_1, count(*) FILTER (p >= 0.1 AND p < 0.5) AS between_0_1_0_5,
+  count(*) FILTER (p >= 0.5) AS above_0_5, count(*) FILTER (p < 0.2 OR p > 0.8) AS high_confidence,
+  count(*) FILTER (p >= 0.2 AND p <= 0.8) AS medium_confidence FROM preds GROUP BY snapshot_date""",
+)
 PARTS["halves"] = f"""SELECT p, row_number() OVER (ORDER BY snapshot_date, md5({_ROW}), p) <= count(*) OVER () // 2 AS early FROM preds"""
 PARTS["drifts"] = """SELECT avg(p) FILTER (early) AS em, stddev_samp(p) FILTER (early) AS es, avg(p) FILTER (NOT early) AS rm,
   stddev_samp(p) FILTER (NOT early) AS rs FROM halves"""
@@ -572,6 +579,22 @@ oracle(
     """SELECT execution_date, model_file, months_since_start, breaches, reason,
   CASE WHEN reason IN ('no_models', 'unreadable_model', 'threshold', 'periodic') THEN 'retrain' ELSE 'keep' END AS decision FROM decided""",
 )
+PARTS["valid_models"] = """SELECT *, CASE WHEN month(model_date) % 4 > 0 THEN
+  CAST(model_date + to_months(CAST(2 + month(model_date) % 6 AS INT)) AS DATE) END AS archived_date FROM active WHERE name_date IS NOT NULL"""
+PARTS["as_of"] = """SELECT m AS execution_date, (year(m) - 1995) * 12 + month(m) - 1 AS months_since_start,
+  (SELECT max(name_date) FROM valid_models WHERE name_date < m AND (archived_date IS NULL OR archived_date > m)) AS previous FROM months"""
+PARTS["known_as_of"] = """SELECT execution_date, months_since_start, model_file, readable, auc > 0 AND auc < 0.70 AS b1, auc > 0 AND auc < 0.72 AS b2,
+  coalesce(auc, 0) <= 0 AS b3, coalesce(cv, 0) > 0.08 AS b4 FROM as_of LEFT JOIN valid_models ON name_date = previous"""
+PARTS["decided_as_of"] = """SELECT *, concat_ws(',', CASE WHEN b1 THEN 'auc_critical' END, CASE WHEN b2 THEN 'auc_warning' END,
+  CASE WHEN b3 THEN 'auc_missing' END, CASE WHEN b4 THEN 'cv_high' END) AS breaches, CASE WHEN model_file IS NULL THEN 'no_previous_model'
+  WHEN NOT readable THEN 'unreadable_model' WHEN months_since_start < 12 THEN 'grace_period'
+  WHEN coalesce(b1, false)::INT + coalesce(b2, false)::INT + b3::INT + b4::INT >= 2 THEN 'threshold'
+  WHEN (months_since_start - 12) % 6 = 0 THEN 'periodic' ELSE 'healthy' END AS reason FROM known_as_of"""
+oracle(
+    "retraining_as_of",
+    """SELECT execution_date, model_file, breaches, reason, CASE WHEN reason IN ('unreadable_model', 'threshold', 'periodic') THEN 'retrain'
+  ELSE 'keep' END AS decision FROM decided_as_of""",
+)
 PARTS["timeline"] = """SELECT execution_date, CASE WHEN months_since_start = 0 THEN 'Initial Training' WHEN months_since_start < 12 THEN 'Grace Period'
   WHEN months_since_start % 6 = 0 THEN 'Periodic Retrain' WHEN n_breaches >= 2 AND model_file IS NOT NULL THEN 'Threshold Retrain' ELSE 'No Action' END AS timeline FROM decided"""
 oracle(

@@ -436,7 +436,17 @@ def run_statistics(i):
 
 @query
 def drift_detection(i):
-    return monitoring.drift(stored_predictions(i), ROW_KEYS)
+    return monitoring.drift(stored_predictions(i), ROW_KEYS, stage=staged(i))
+
+
+@query
+def rollup_by_snapshot(i):
+    """The daily profile from a rollup that was appended snapshot by snapshot, with prefixes of different lengths."""
+    path, first = i.scratch("rollup"), F.col("snapshot_date") < day("2024-01-15")
+    for part, digits in ((stored_predictions(i).filter(first), 1), (stored_predictions(i).filter(~first), 2)):
+        sinks.write_snapshots(monitoring.rollup(part, ROW_KEYS, digits), path)
+    stored = i.spark.read.parquet(path).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+    return rounded(monitoring.profile_of(stored), "mean", "std")
 
 
 @query
@@ -612,6 +622,16 @@ def retraining_decision(i):
     )
 
 
+@query
+def retraining_as_of(i):
+    """Decisions over a registry in which models are archived between two and seven months after their date, some never."""
+    months = F.month("model_date")
+    archived = F.when(months % 4 > 0, F.add_months("model_date", 2 + months % 6))
+    registry = i.registry.withColumn("archived_date", archived)
+    decided = governance.retraining_decision(executions(i), registry, epoch=REGISTRY_EPOCH)
+    return decided.select("execution_date", "model_file", F.array_join("breaches", ",").alias("breaches"), "reason", "decision")
+
+
 @query
 def retraining_timeline(i):
     return governance.retraining_timeline(decisions(i)).select("execution_date", "timeline", "retrained")

@@ -78,6 +78,8 @@ def test_inference_monitoring_decision(built):
     assert row[0]["prediction_count"] == first
     document = mart.spark.read.json(mart.path("gold", "governance")).first()
     assert document["governance_sop"]["3_oot_requirements"]["minimum_periods"] == 3
+    assert mart.read("gold", "prediction_rollup").agg(F.sum("n")).first()[0] == first
+    assert mart.spark.read.schema("path string, snapshot_date date").parquet(mart.path("gold", "skipped_files")).count() == 0
     decided = jobs.decide(mart, dt.date(2001, 1, 1), epoch=dt.date(1999, 1, 1)).first()
     assert decided["model_file"] == "credit_model_20000601.pkl"
 
@@ -145,7 +147,7 @@ def test_search_in_the_job_goes_on_with_stored_trials(built):
     )
 
 
-def test_unreadable_and_archived_models(built):
+def test_unreadable_and_archived_models(built, monkeypatch):
     mart, _, version = built
     row = mart.spark.read.parquet(f"{mart.bank}/registry")
     for year in (1996, 1997, 1998):
@@ -157,11 +159,19 @@ def test_unreadable_and_archived_models(built):
             }
         )
         jobs.sinks.write_snapshots(other, f"{mart.bank}/registry", "model_version")
-    readable = {r["model_file"]: r["readable"] for r in jobs.registry(mart).collect()}
+    readable = {r["model_file"]: jobs._readable(mart, r["model_version"]) for r in jobs.registry(mart).collect()}
     assert readable.pop("credit_model_20000601.pkl") and not any(readable.values()) and len(readable) == 3
     decided = jobs.decide(mart, dt.date(1999, 1, 1), epoch=dt.date(1990, 1, 1)).first()
     assert (decided["reason"], decided["decision"]) == ("unreadable_model", "retrain")
-    status = {r["model_file"]: r["status"] for r in jobs.retain(mart).collect()}
+    loaded = []
+    monkeypatch.setattr(jobs, "_readable", lambda mart, v, check=jobs._readable: loaded.append(v) or check(mart, v))
+    jobs.decide(mart, dt.date(1997, 1, 1), epoch=dt.date(1990, 1, 1)).collect()
+    assert loaded == ["credit_model_1996_06_01"]  # the one candidate of that day
+    status = {r["model_file"]: r["status"] for r in jobs.retain(mart, on=dt.date(1996, 12, 1)).collect()}
+    archived = jobs.decide(mart, dt.date(1997, 1, 1), epoch=dt.date(1990, 1, 1)).first()
+    assert (archived["model_file"], archived["reason"]) == (None, "no_previous_model")
+    before = jobs.decide(mart, dt.date(1996, 11, 1), epoch=dt.date(1990, 1, 1)).first()
+    assert before["model_file"] == "credit_model_19960601.pkl"
     assert status.pop("credit_model_19960601.pkl") == "archived" and set(status.values()) == {"active"} and len(status) == 3
 
 

@@ -132,3 +132,11 @@ def test_splits_never_sort_or_number_rows(spark, no_broadcast, capsys, name):
     assert "Window" in text and "row_number" not in text
     for window in re.findall(r"Window \[.*", text):
         assert "sum(n" in window
+
+
+@pytest.mark.parametrize(("name", "most"), [("drift_detection", 1), ("monitoring_row", 2)])
+def test_monitoring_reads_the_predictions_that_often(spark, no_broadcast, name, most):
+    """Everything else follows from the stored rollup."""
+    text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    relations = [line for line in text.splitlines() if re.search(r"Relation \[", line)]
+    assert 1 <= sum("props" in line for line in relations) <= most  # a column that only the events have
