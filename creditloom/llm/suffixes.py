@@ -376,7 +376,8 @@ def repeated_spans(
             )
         )
     )
-    cover = spans.groupBy("key", "string").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    # Stored, so that the join below shuffles both sides and can split a string that occurs very often.
+    cover = staged(spans.groupBy("key", "string").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "cover")
     return (
         candidates.join(cover, ["key", "string"])
         .groupBy("doc")
