@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.functions.measures import oot_rating, positive_class
@@ -21,6 +21,30 @@ def with_probability(model: PipelineModel, features: DataFrame, name: str = "mod
     return scored.select(*before, vector_to_array("probability")[1].alias(name))
 
 
+INTERCEPT = "(intercept)"
+
+
+def coefficient_table(model: PipelineModel, columns: Sequence[str]) -> DataFrame:
+    """Weights (feature, weight) of a logistic model over numeric columns, on the columns' own scale, with the intercept.
+
+    Standardisation is folded in; a column without variation has no weight."""
+    *_, scaler, fitted = model.stages
+    weights = [float(w / s) if s else 0.0 for w, s in zip(fitted.coefficients, scaler.std)]
+    shift = float(fitted.intercept) - sum(w * float(m) for w, m in zip(weights, scaler.mean))
+    rows = [*zip(columns, weights), (INTERCEPT, shift)]
+    return SparkSession.active().createDataFrame(rows, "feature string, weight double")
+
+
+def with_linear_score(features: DataFrame, coefficients: DataFrame, columns: Sequence[str], name: str = "model_predictions") -> DataFrame:
+    """Probability from a table of weights: a missing value counts as 0, a feature without a weight not at all.  The table
+    has a row per feature and enters as a scalar subquery, so rows are scored in one pass without a model object."""
+    weights = coefficients.agg(F.map_from_entries(F.collect_list(F.struct("feature", "weight")))).scalar()
+    total = F.coalesce(F.col("__weights")[INTERCEPT], F.lit(0.0))
+    for c in columns:
+        total = total + F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.coalesce(F.col("__weights")[c], F.lit(0.0))
+    return features.withColumn("__weights", weights).withColumn(name, 1 / (1 + F.exp(-total))).drop("__weights")
+
+
 def score(
     model: PipelineModel,
     features: DataFrame,

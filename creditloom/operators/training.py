@@ -49,8 +49,10 @@ def assembled(columns: Sequence[str], classifier: Estimator, scaled: bool = Fals
 
 def logistic(columns: Sequence[str], rows: int, max_iter: int = 1000) -> Pipeline:
     """Ridge-penalised logistic regression on standardised input.  A unit penalty on the summed loss is 1 / rows on
-    Spark's mean loss."""
-    model = LogisticRegression(labelCol=LABEL, maxIter=max_iter, regParam=1.0 / max(rows, 1), standardization=False)
+    Spark's mean loss.  Spark standardises by the sample's deviation; the factor (rows - 1) / rows makes the penalty, and so
+    the model, that of the population's deviation, which ``scaling.fit_scaler`` uses as well."""
+    penalty = max(rows - 1, 1) / max(rows, 1) ** 2
+    model = LogisticRegression(labelCol=LABEL, maxIter=max_iter, regParam=penalty, standardization=False)
     return assembled(columns, model, scaled=True)
 
 

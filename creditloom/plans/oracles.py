@@ -722,6 +722,21 @@ oracle(
 PARTS["credit_rows"] = """SELECT label, CASE WHEN snapshot_date BETWEEN DATE '1998-07-01' AND DATE '1998-08-31' THEN 'oot'
   WHEN snapshot_date BETWEEN DATE '1995-07-01' AND DATE '1998-06-30' THEN 'train_test' END AS split FROM left_features"""
 oracle("credit_model_by_split", _checked("logistic_regression", "(SELECT * FROM credit_rows WHERE split IS NOT NULL) t"))
+oracle(
+    "score_by_table",
+    """SELECT Customer_ID, snapshot_date AS feature_snapshot_date, round(1 / (1 + exp(-total)), 9) AS model_predictions,
+  CAST(round(1 / (1 + exp(-total)), 9) > 0.5 AS INT) AS prediction_class
+FROM (SELECT Customer_ID, snapshot_date, sum(weight * coalesce(value, 0)) AS total FROM (
+    SELECT row_number() OVER () AS r, Customer_ID, snapshot_date, unnest(['fe_1', 'fe_2', 'fe_3', '(intercept)']) AS feature,
+      unnest([CAST(fe_1 AS DOUBLE), CAST(fe_2 AS DOUBLE), CAST(fe_3 AS DOUBLE), 1.0]) AS value
+    FROM (SELECT row_number() OVER () AS n, * FROM in_clickstream_m) t) long
+  JOIN (VALUES ('fe_1', 0.031), ('fe_2', -0.02), ('fe_3', 0.007), ('(intercept)', -0.4)) AS w(feature, weight) USING (feature)
+  GROUP BY Customer_ID, snapshot_date) s""",
+)
+oracle(
+    "target_resolution",
+    "SELECT snapshot_date, 'default_flag' AS target, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM labels_3 GROUP BY snapshot_date",
+)
 _SCORED = "Customer_ID, snapshot_date AS feature_snapshot_date, snapshot_date, 'credit_model_1998_09_01.pkl' AS model_name, true AS class_follows"
 oracle(
     "score_snapshot",
