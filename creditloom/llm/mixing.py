@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import column, staged, text_of
+from creditloom.llm.common import column, staged, text_of, unused
 
 #: Production parameters.  Sources without an entry belong to the domain "other"; names without a weight weigh 1.
 DOMAINS = {
@@ -117,9 +117,34 @@ def leaf_table(sized: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def order_key(doc_id: Column, epoch: Column, seed: int) -> Column:
-    """Place of a document in an epoch's order; rows of one id share it and are taken or left together."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), epoch.cast("string"), F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def order_key(row: Column, epoch: Column, seed: int) -> Column:
+    """Place of a row (doc_id, content, copy) in an epoch's order.  Equal rows have different copy numbers, so every row
+    has a place of its own and no id binds rows together."""
+    fields = [F.lit(f"{seed}"), epoch.cast("string"), *[F.coalesce(row[c].cast("string"), F.lit("")) for c in ("doc_id", "content", "copy")]]
+    return F.md5(F.concat_ws(":", *fields).cast("binary"))
+
+
+def row_of(doc_id: Column, content: Column, copy: Column) -> Column:
+    return F.struct(doc_id.alias("doc_id"), content.alias("content"), copy.cast("long").alias("copy"))
+
+
+def content_of(text: Column) -> Column:
+    return F.md5(text.cast("binary"))
+
+
+def with_copy(stored: DataFrame, key: str, row: str, name: str) -> DataFrame:
+    """Number the rows of each ``key`` (a struct) from 0 as ``name``.
+
+    ``row`` is the stored rows' increasing id, whose upper bits are the partition that wrote them.  Rows are numbered
+    within a key and partition, and partitions are stitched by their counts, so a hot key is spread over its partitions."""
+    part = F.shiftright(row, 33)
+    parts = stored.groupBy(F.col(key), part.alias("mix_part")).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(key).orderBy("mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(F.col(key).alias("mix_of"), F.col("mix_part").alias("mix_in"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("mix_start"))
+    inside = F.row_number().over(Window.partitionBy(key, part).orderBy(row)) - 1
+    numbered = stored.withColumns({"mix_inside": inside, "mix_part": part})
+    met = numbered.join(starts, (F.col(key) == F.col("mix_of")) & (F.col("mix_part") == F.col("mix_in")))
+    return met.withColumn(name, F.col("mix_start") + F.col("mix_inside")).drop("mix_inside", "mix_part", "mix_of", "mix_in", "mix_start")
 
 
 def cuts(sized: DataFrame, leaves: DataFrame, settings: Settings) -> DataFrame:
@@ -131,7 +156,7 @@ def cuts(sized: DataFrame, leaves: DataFrame, settings: Settings) -> DataFrame:
     digits = max(1, math.ceil(math.log(max(rows, 1) / ROWS_PER_BUCKET, 16)))
     wanted = leaves.filter("rest > 0").select(*LEAF, "rest", (F.col("full_epochs") + 1).alias("epoch"))
     keyed = sized.join(wanted, list(LEAF)).select(
-        *LEAF, "tokens", "rest", order_key(F.col("doc_id"), F.col("epoch"), settings.seed).alias("place")
+        *LEAF, "tokens", "rest", order_key(F.col("row"), F.col("epoch"), settings.seed).alias("place")
     )
     keyed = keyed.withColumn("bucket", F.substring("place", 1, digits))
     sums = keyed.groupBy(*LEAF, "bucket").agg(F.sum("tokens").alias("tokens"), F.first("rest").alias("rest"))
@@ -147,24 +172,35 @@ def cuts(sized: DataFrame, leaves: DataFrame, settings: Settings) -> DataFrame:
     return leaves.join(found, list(LEAF), "left").withColumn("cut", F.coalesce("cut", F.lit("")))
 
 
-def plan(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """(one small row per document, the leaf table with cuts), both stored."""
+def plan(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(one small row per document, the leaf table with cuts, the keys of repeated rows), all stored."""
     source = F.coalesce(column(docs, "source").cast("string"), F.lit(NONE))
+    text = text_of(docs, "text")
     sized = docs.select(
-        column(docs, "doc_id").alias("doc_id"),
+        F.struct(column(docs, "doc_id").alias("doc_id"), content_of(text).alias("content")).alias("key"),
         domain_of(source, settings.domains).alias("domain"),
         F.coalesce(column(docs, "lang").cast("string"), F.lit(NONE)).alias("lang"),
         source.alias("source"),
-        token_estimate(text_of(docs, "text")).alias("tokens"),
+        token_estimate(text).alias("tokens"),
+        F.monotonically_increasing_id().alias("id"),
     )
     sized = staged(sized, "sizes")
+    repeated = staged(sized.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("again")), "repeated")
+    if repeated.isEmpty():
+        sized = sized.withColumn("copy", F.lit(0).cast("long"))
+    else:
+        several = with_copy(sized.join(repeated, sized["key"] == repeated["again"], "left_semi"), "key", "id", "copy")
+        single = sized.join(repeated, sized["key"] == repeated["again"], "left_anti")
+        sized = staged(single.withColumn("copy", F.lit(0).cast("long")).unionByName(several), "numbered")
+    row = row_of(F.col("key.doc_id"), F.col("key.content"), F.col("copy"))
+    sized = sized.select(F.col("key.doc_id").alias("doc_id"), *LEAF, "tokens", row.alias("row"))
     leaves = staged(leaf_table(sized, settings), "leaves")
-    return sized, staged(cuts(sized, leaves, settings), "cuts")
+    return sized, staged(cuts(sized, leaves, settings), "cuts"), repeated
 
 
-def copies(full_epochs: Column, cut: Column, doc_id: Column, seed: int) -> Column:
-    """In how many epochs of its leaf a document is taken."""
-    extra = F.when(cut != "", order_key(doc_id, full_epochs + 1, seed) <= cut).otherwise(False)
+def copies(full_epochs: Column, cut: Column, row: Column, seed: int) -> Column:
+    """In how many epochs of its leaf a row is taken."""
+    extra = F.when(cut != "", order_key(row, full_epochs + 1, seed) <= cut).otherwise(False)
     return full_epochs + extra.cast("long")
 
 
@@ -172,13 +208,13 @@ def select_documents(docs: DataFrame, settings: Settings | None = None) -> DataF
     """One row per document taken: (doc_id, domain, lang, source, n_tokens, copies).
 
     Tokens are estimated from the bytes of whole texts; null and empty texts have none and come along where an epoch
-    passes them.  Null languages and sources are leaves of their own, named "(none)".  Rows that repeat an id are taken
-    or left together.  Leaves of weight 0 or without tokens get nothing.  An empty table gives an empty result.
+    passes them.  Null languages and sources are leaves of their own, named "(none)".  Rows are taken one by one: rows that
+    repeat an id, or lack one, and even equal rows have places of their own.  Leaves of weight 0 or without tokens get nothing.  An empty table gives an empty result.
     """
     settings = settings or Settings()
-    sized, leaves = plan(docs, settings)
+    sized, leaves, _ = plan(docs, settings)
     taken = sized.join(leaves, list(LEAF)).withColumn(
-        "copies", copies(F.col("full_epochs"), F.col("cut"), F.col("doc_id"), settings.seed)
+        "copies", copies(F.col("full_epochs"), F.col("cut"), F.col("row"), settings.seed)
     )
     return taken.filter("copies > 0").select("doc_id", *LEAF, F.col("tokens").alias("n_tokens"), "copies")
 
@@ -186,19 +222,38 @@ def select_documents(docs: DataFrame, settings: Settings | None = None) -> DataF
 def mix(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """``docs`` with each row as often as its leaf's epochs take it; columns stay as they are.
 
-    The rows meet only their leaf's cut, so texts are neither sorted nor collected."""
+    Rows meet only their leaf's cut, so texts are neither sorted nor collected; rows that are repeated (id and text) are
+    stored and numbered first.  Null ids, null and empty texts, null languages and sources, repeated rows and an empty table
+    give what :func:`select_documents` says; which of equal rows with different other columns are taken is not defined,
+    only how many."""
     settings = settings or Settings()
-    _, leaves = plan(docs, settings)
-    source = F.coalesce(column(docs, "source").cast("string"), F.lit(NONE))
-    lang = F.coalesce(column(docs, "lang").cast("string"), F.lit(NONE))
+    _, leaves, repeated = plan(docs, settings)
+    kept = docs.columns
+    content, copy, key, again = (unused(docs, f"mix_{c}_of_row") for c in ("content", "copy", "key", "again"))
+    marked = docs.withColumn(content, content_of(text_of(docs, "text")))
+    single = marked
+    if not repeated.isEmpty():
+        found = repeated.select(F.col("again").alias(again))
+        marked = marked.withColumn(key, F.struct(column(marked, "doc_id").alias("doc_id"), F.col(content).alias("content")))
+        same = F.col(key) == F.col(again)
+        number = unused(docs, "mix_number_of_row")
+        several = staged(marked.join(found, same, "left_semi").withColumn(number, F.monotonically_increasing_id()), "repeated-rows")
+        several = with_copy(several, key, number, copy).drop(key, number)
+        single = marked.join(found, same, "left_anti").drop(key).withColumn(copy, F.lit(0).cast("long"))
+        single = single.unionByName(several)
+    else:
+        single = single.withColumn(copy, F.lit(0).cast("long"))
+    source = F.coalesce(column(single, "source").cast("string"), F.lit(NONE))
+    lang = F.coalesce(column(single, "lang").cast("string"), F.lit(NONE))
     own = leaves.select(*(F.col(c).alias(f"mix_{c}_of_leaf") for c in ("lang", "source", "full_epochs", "cut")))
-    met = docs.join(own, (lang == own["mix_lang_of_leaf"]) & (source == own["mix_source_of_leaf"]))
-    times = copies(own["mix_full_epochs_of_leaf"], own["mix_cut_of_leaf"], column(docs, "doc_id"), settings.seed)
-    kept = [column(docs, c) for c in docs.columns]
+    met = single.join(own, (lang == own["mix_lang_of_leaf"]) & (source == own["mix_source_of_leaf"]))
+    row = row_of(column(single, "doc_id"), column(single, content), column(single, copy))
+    times = copies(own["mix_full_epochs_of_leaf"], own["mix_cut_of_leaf"], row, settings.seed)
+    wanted = [column(single, c) for c in kept]
     if settings.max_epochs == 1:
-        return met.filter(times > 0).select(*kept)
-    repeated = F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("mix_epoch_of_leaf")
-    return met.filter(times > 0).select(*kept, repeated).drop("mix_epoch_of_leaf")
+        return met.filter(times > 0).select(*wanted)
+    repeats = F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("mix_epoch_of_leaf")
+    return met.filter(times > 0).select(*wanted, repeats).drop("mix_epoch_of_leaf")
 
 
 def sql(settings: Settings | None = None) -> str:
@@ -232,7 +287,8 @@ def sql(settings: Settings | None = None) -> str:
     return f"""
     WITH sized AS (
         SELECT doc_id, {case(f"coalesce(source, '{NONE}')", domains, "other")} AS domain, coalesce(lang, '{NONE}') AS lang,
-               coalesce(source, '{NONE}') AS source, CAST((strlen(coalesce(text, '')) + 3) // 4 AS BIGINT) AS tokens
+               coalesce(source, '{NONE}') AS source, CAST((strlen(coalesce(text, '')) + 3) // 4 AS BIGINT) AS tokens,
+               md5(coalesce(text, '')) AS content, row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) - 1 AS copy
         FROM documents
     ), leaves AS (
         SELECT domain, lang, source, sum(tokens)::HUGEINT AS supply FROM sized GROUP BY ALL HAVING sum(tokens) > 0
@@ -247,7 +303,7 @@ def sql(settings: Settings | None = None) -> str:
         SELECT domain, lang, source, budget // supply AS full_epochs, budget % supply AS rest
         FROM leaves JOIN grants3 USING (domain, lang, source)
     ), placed AS (
-        SELECT *, md5('{s.seed}:' || (full_epochs + 1) || ':' || coalesce(doc_id::VARCHAR, '')) AS place
+        SELECT *, md5(concat_ws(':', '{s.seed}', full_epochs + 1, coalesce(doc_id::VARCHAR, ''), content, copy)) AS place
         FROM sized JOIN shares USING (domain, lang, source)
     ), run AS (
         SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) AS running FROM placed

@@ -318,6 +318,24 @@ def test_shortage_goes_to_siblings_before_ancestors(spark):
     assert tokens_of == {"src0": 20, "src1": 180, "src5": 200}  # 410 tokens: 205 a domain, in whole documents
 
 
+def test_mixing_takes_rows_one_by_one(spark):
+    """Rows without an id, with one id and equal rows are no block: the budget is met up to one row."""
+    text = "x" * 40
+    for ids in ([None] * 90 + list(range(10)), [7] * 100):
+        docs = documents(spark, [(i, text, "en", "src1") for i in ids]).repartition(6)
+        settings = mixing.Settings(budget=(1, 2), max_epochs=1)
+        taken = mixing.select_documents(docs, settings).collect()
+        assert sum(r.n_tokens * r.copies for r in taken) == 500 and len(taken) == 50
+        assert mixing.mix(docs, settings).count() == 50
+        twice = mixing.Settings(budget=(3, 2), max_epochs=2)
+        assert sum(r.copies for r in mixing.select_documents(docs, twice).collect()) == 150 == mixing.mix(docs, twice).count()
+    mixed = [(None, "a" * n, "en", "src1") for n in range(1, 60)] + [(5, "b" * 30, "en", "src1")] * 40
+    docs = documents(spark, mixed).repartition(3)
+    taken = mixing.select_documents(docs, mixing.Settings(budget=(1, 3), max_epochs=1)).collect()
+    total, got = sum(-(-len(t) // 4) for _, t, *_ in mixed) // 3, sum(r.n_tokens for r in taken)
+    assert total - 15 < got <= total and {r.doc_id for r in taken} == {None, 5}
+
+
 def test_urls(spark):
     rows = [
         None, "", "nonsense", "http://", "https://a.ORG", "https://a.org/", "https://X.example.org/es/9", "http://example.org/en/12?x=1",
