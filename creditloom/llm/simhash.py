@@ -1,15 +1,15 @@
 """Near duplicates by 64-bit SimHash fingerprints, searched with BK-trees in shards of bounded size.
 
-Two fingerprints that differ in at most r of 64 bits agree in at least 8 - r of their 8 bytes.  Every choice of 8 - r
-bytes is a shard key, so each link lies within some shard, and for r = 2 a shard holds at most 2^16 different
-fingerprints whatever the corpus.  A shard's members are put into a BK-tree one by one after a search of the radius
+Of r + 1 blocks of the 64 bits, two fingerprints that differ in at most r bits agree in at least one.  A fingerprint
+therefore goes to r + 1 shards, one per block, named by the block's leading bits; as many bits are used as leave a shard
+some dozens of members, however many there are in all.  A shard that still holds too many is dealt out by blocks of the
+bits that its members need not share.  A shard's members are put into a BK-tree one by one after a search of the radius
 around them, and only the shard's spanning links leave the task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,8 @@ from creditloom.llm.components import components
 
 SEED = 42
 HASHES_AT_ONCE = 1 << 16
+#: Members a shard holds on average, and beyond which it is dealt out.
+MEMBERS, CROWDED = 64, 4096
 
 
 def fingerprint(text: str, width: int) -> int:
@@ -72,18 +74,20 @@ class BkTree:
 
     def within(self, value: int, radius: int) -> list[int]:
         """Members at most ``radius`` bits away; only edges within the radius of the own distance are followed."""
-        found, todo, children = [], [self.root], self.children
+        return [node for node, d in self.visited(value, radius) if d <= radius]
+
+    def visited(self, value: int, radius: int) -> Iterator[tuple[int, int]]:
+        """The members a search looks at, with their distances."""
+        todo, children = [self.root], self.children
         while todo:
             node = todo.pop()
             d = (node ^ value).bit_count()
-            if d <= radius:
-                found.append(node)
+            yield node, d
             edges = children[node]
             if edges:
                 for e in range(d - radius, d + radius + 1):
                     if e in edges:
                         todo.append(edges[e])
-        return found
 
     def add(self, value: int) -> None:
         node = self.root
@@ -118,19 +122,50 @@ def shard_links(members: list[int], radius: int) -> list[tuple[int, int]]:
     return [(m, top(m)) for m in members if top(m) != m]
 
 
-def links(prints: DataFrame, radius: int) -> DataFrame:
+def block_masks(fixed: int, blocks: int, bits: int = 64) -> list[int]:
+    """``fixed`` with the leading ``bits`` bits of each of ``blocks`` equal blocks of the other bits."""
+    free = [1 << b for b in reversed(range(64)) if not fixed >> b & 1]
+    cuts = [len(free) * k // blocks for k in range(blocks + 1)]
+    return sorted({fixed | sum(free[a : min(b, a + bits)]) for a, b in zip(cuts, cuts[1:])})
+
+
+def _dealt(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
+    """(mask, shard, fingerprint) with every mask replaced by finer ones.  A crowded shard leaves at least as many bits
+    free as number its members, so blocks of blocks are few and their table is small whatever the corpus."""
+    finer = [(signed(mask), [signed(m) for m in new]) for mask, new in masks.items()]
+    finer = rows.sparkSession.createDataFrame(finer, "mask long, finer array<long>")
+    dealt = rows.join(F.broadcast(finer), "mask").select(F.explode("finer").alias("mask"), "fingerprint")
+    return dealt.withColumn("shard", F.col("fingerprint").bitwiseAND(F.col("mask"))).select("mask", "shard", "fingerprint")
+
+
+def shards(prints: DataFrame, radius: int, members: int = MEMBERS, crowded: int = CROWDED) -> DataFrame:
+    """(mask, shard, fingerprint): every fingerprint in each of its shards; two within the radius share at least one."""
+    different = staged(prints.select("fingerprint").distinct(), "different")
+    n = different.count()
+    bits = max(0, (max(n, 1) // members).bit_length())
+    rows = _dealt(different.select(F.lit(0).cast("long").alias("mask"), "fingerprint"), {0: block_masks(0, radius + 1, bits)})
+    done = []
+    while True:
+        sizes = rows.groupBy("mask", "shard").agg(F.count("*").alias("n")).filter(F.col("n") > crowded)
+        full = staged(sizes.select("mask", "shard"), "crowded")
+        masks = [r.mask & (1 << 64) - 1 for r in full.select("mask").distinct().collect()]  # few: blocks of blocks
+        if not masks:
+            break
+        done.append(rows.join(full, ["mask", "shard"], "left_anti").select("mask", "shard", "fingerprint"))
+        held = rows.join(full, ["mask", "shard"], "left_semi")
+        rows = staged(_dealt(held, {m: block_masks(m, radius + 1) for m in masks}), "shards")
+    for part in done:
+        rows = rows.unionByName(part)
+    return rows
+
+
+def links(prints: DataFrame, radius: int, members: int = MEMBERS, crowded: int = CROWDED) -> DataFrame:
     """Spanning links (a, b) between different fingerprints at most ``radius`` bits apart."""
     if not 0 <= radius < 8:
         raise ValueError("radius must be 0 to 7")
-    masks = [sum(0xFF << (8 * b) for b in kept) for kept in combinations(range(8), 8 - radius)]
-    keys = [
-        F.struct(F.lit(i).cast("short").alias("i"), F.col("fingerprint").bitwiseAND(F.lit(signed(m))).alias("k"))
-        for i, m in enumerate(masks)
-    ]
-    different = prints.select("fingerprint").distinct()
-    shards = (
-        different.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
-        .groupBy("key")
+    groups = (
+        shards(prints, radius, members, crowded)
+        .groupBy("mask", "shard")
         .agg(F.collect_list("fingerprint").alias("members"))
         .filter(F.size("members") > 1)
     )
@@ -141,7 +176,7 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
             a, b = zip(*found)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return by_batch(shards.select("members"), search, "a long, b long")
+    return by_batch(groups.select("members"), search, "a long, b long")
 
 
 def near_copies(
