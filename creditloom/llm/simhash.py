@@ -14,9 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from creditloom.llm.common import by_batch, column, staged, text_of, unused
 from creditloom.llm.components import components
@@ -52,17 +51,24 @@ def signed(value: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint long) of whole texts; null counts as the empty text, whose fingerprint is zero."""
-    source = docs.select(column(docs, id_col).alias("doc_id"), text_of(docs, text_col).alias("text"))
+    """(doc_id, content, fingerprint long) of whole texts, content being their digest; null counts as the empty text, whose
+    fingerprint is zero."""
+    text = text_of(docs, text_col)
+    source = docs.select(column(docs, id_col).alias("doc_id"), _content(text).alias("content"), text.alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         prints = [signed(fingerprint(text.as_py(), width)) for text in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(prints, pa.int64())], names=["doc_id", "fingerprint"]
+            [batch.column("doc_id"), batch.column("content"), pa.array(prints, pa.int64())],
+            names=["doc_id", "content", "fingerprint"],
         )
 
-    return by_batch(source, work, f"doc_id {id_type}, fingerprint long")
+    return by_batch(source, work, f"doc_id {id_type}, content binary, fingerprint long")
+
+
+def _content(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 class BkTree:
@@ -189,28 +195,39 @@ def near_copies(
     have fingerprint zero and link like any other.  Repeated rows are each returned; an empty table gives an empty
     result; other columns are not read.
     """
+    return _judged(docs, width, radius, id_col, text_col).select("doc_id", "fingerprint", "component_id")
+
+
+def _judged(docs: DataFrame, width: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """:func:`near_copies` with the digest of each text and ``kept``, that of the document that stays: the one with the
+    smallest id, null ids being the largest and ties going to the smallest fingerprint and digest."""
     prints = staged(fingerprints(docs, width, id_col, text_col), "fingerprints")
     joined = components(links(prints, radius))
-    smallest = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint", "content"))
+    smallest = prints.groupBy("fingerprint").agg(least.alias("first"))
     rooted = smallest.join(joined, smallest["fingerprint"] == joined["node"], "left").select(
         "fingerprint", "first", F.coalesce("component", "fingerprint").alias("root")
     )
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = staged(rooted.join(ids, "root").select("fingerprint", "component_id"), "components")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))
+    named = rooted.join(kept, "root").select(
+        "fingerprint", F.col("kept.doc_id").alias("component_id"), F.col("kept.content").alias("kept")
+    )
+    return prints.join(staged(named, "components"), "fingerprint")
 
 
 def drop_near_copies(
     docs: DataFrame, width: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with the row of the smallest id of each component; columns stay as they are.
+    """``docs`` with one document of each component, that of the smallest id (null ids are the largest, ties go to the
+    smallest fingerprint and text digest); columns stay as they are.
 
-    Of rows that repeat this id, all with its text stay: they are one document.  Rows of one id, or without an id, whose
-    texts are in different components are judged each by its own text.
+    Rows are judged each by its own text, so near copies that share an id or have none go as well, and rows of one id in
+    different components stay.  Rows that repeat the id and text that stay are one document and all stay; null and empty
+    texts have fingerprint zero and are near copies of each other.  An empty table gives an empty result.
     """
-    judged = near_copies(docs, width, radius, id_col, text_col)
-    goes = ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-    dropped = judged.filter(goes).select(F.col("doc_id").alias("dropped"), F.col("fingerprint").alias("dropped_print"))
+    judged = _judged(docs, width, radius, id_col, text_col)
+    goes = ~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("content") == F.col("kept")))
+    dropped = judged.filter(goes).select(F.col("doc_id").alias("dropped"), F.col("content").alias("dropped_content"))
     dropped = staged(dropped.distinct(), "near-copies")
     ids = dropped.select("dropped").distinct()
     stays = judged.filter(~goes).select(F.col("doc_id").alias("mixed")).distinct()
@@ -219,15 +236,10 @@ def drop_near_copies(
     left = docs.join(sure, column(docs, id_col).eqNullSafe(sure["dropped"]), "left_anti")
     if mixed.isEmpty():
         return left
+    # Ids of which some rows stay and others go: these rows are told apart by their texts.
     is_mixed = column(left, id_col).eqNullSafe(mixed["mixed"])
-    own, text = unused(docs, "own_print"), unused(docs, "own_text")
-    unsure = left.join(mixed, is_mixed, "left_semi").withColumn(text, text_of(left, text_col))
-
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        prints = [signed(fingerprint(t.as_py(), width)) for t in batch.column(text)]
-        yield batch.append_column(own, pa.array(prints, pa.int64()))
-
-    unsure = by_batch(unsure, work, T.StructType([*unsure.schema.fields, T.StructField(own, T.LongType())]))
-    same = column(unsure, id_col).eqNullSafe(dropped["dropped"]) & (unsure[own] == dropped["dropped_print"])
-    unsure = unsure.join(dropped, same, "left_anti").drop(own, text)
+    own = unused(docs, "own_content")
+    unsure = left.join(mixed, is_mixed, "left_semi").withColumn(own, _content(text_of(left, text_col)))
+    same = column(unsure, id_col).eqNullSafe(dropped["dropped"]) & (unsure[own] == dropped["dropped_content"])
+    unsure = unsure.join(dropped, same, "left_anti").drop(own)
     return left.join(mixed, is_mixed, "left_anti").unionByName(unsure)

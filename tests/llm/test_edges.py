@@ -361,6 +361,20 @@ def test_urls(spark):
     assert urls.judge(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("ids", [[None] * 3, [7] * 3, [None, 4, None], [9, 9, 3]])
+def test_one_of_near_copies_stays_whatever_their_ids(spark, ids):
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(900)}" for _ in range(4_000)]
+    texts = [" ".join(words), " ".join([*words, "tail"]), " ".join(["head", *words])]
+    prints = [simhash.fingerprint(t, 3) for t in texts]
+    assert len(set(prints)) > 1 and all((a ^ b).bit_count() <= 2 for a in prints for b in prints)
+    rows = [*zip(ids, texts, "abc"), (None, "some other text without an id", "d"), (7, "a text of the same id but another matter", "e")]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, mark string").repartition(3)).collect()
+    assert sum(r.mark in "abc" for r in kept) == 1 and {"d", "e"} <= {r.mark for r in kept}
+    known = [i for i in ids if i is not None]
+    assert [r.doc_id for r in kept if r.mark in "abc"] == ([min(known)] if known else [None])
+
+
 def test_pipeline_stages_on_odd_and_empty_tables(spark, odd, none):
     for docs in (odd, none):
         for at, (_, stage) in enumerate(corpus_pipeline.STAGES):
