@@ -124,7 +124,7 @@ class Encoder:
     sizes: Mapping[str, int]
 
     def only(self, columns: Sequence[str]) -> Encoder:
-        return Encoder(self.table, {c: self.sizes[c] for c in columns})
+        return Encoder(self.table.filter(F.col("name").isin(list(columns))), {c: self.sizes[c] for c in columns})
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add a sparse one-hot vector ``<column>_vec`` per column; missing and unseen values become the zero vector.
@@ -142,24 +142,19 @@ class Encoder:
 
 
 def fit_encoder(df: DataFrame, columns: Sequence[str]) -> Encoder:
-    """Index categories by descending frequency (ties alphabetical)."""
-    return fit_encoders([(df, columns)])
+    """Index categories by descending frequency (ties alphabetical).
 
-
-def fit_encoders(sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> Encoder:
-    """One encoder for the category columns of several sources, whose names differ.
-
-    Categories are counted for all columns together and numbered by their place in a range-partitioned order, so
+    Categories are counted for all columns in one pass and numbered by their place in a range-partitioned order, so
     neither the driver nor a single task ever holds them all."""
-    spark = sources[0][0].sparkSession
-    columns = [c for _, names in sources for c in names]
-
-    def entries(df: DataFrame, names: Sequence[str]) -> DataFrame:
-        pairs = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in names]
-        return df.select(F.explode(F.array(*pairs)).alias("e")).select("e.*").filter("value IS NOT NULL")
-
-    found = reduce(DataFrame.unionByName, [entries(df, names) for df, names in sources])
-    counts = found.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    spark = df.sparkSession
+    entries = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]
+    counts = (
+        df.select(F.explode(F.array(*entries)).alias("e"))
+        .select("e.*")
+        .filter("value IS NOT NULL")
+        .groupBy("name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     order = ["name", F.desc("n"), "value"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = counts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
@@ -241,8 +236,15 @@ def feature_store(
     ``sinks.materialise``, so that cleaning and matching run a single time.
     """
     labels = stage(ledger.label_store(loans, dpd, mob), "labels")
-    matched = match_sources({"financials": financials, "attributes": attributes, "clicks": clicks}, labels, mob, stage)
-    return assemble(matched, fit_sources(matched))
+    sources = {"financials": financials, "attributes": attributes, "clicks": clicks}
+
+    def match_and_fit(name: str) -> tuple[DataFrame, dict]:
+        matched = match_source(sources[name], labels, mob, stage, name)
+        return matched, FITS[name](matched)
+
+    found = dict(zip(sources, _together(labels, match_and_fit, sources)))
+    fitted = {key: fit for _, fits in found.values() for key, fit in fits.items()}
+    return assemble({name: matched for name, (matched, _) in found.items()}, Fitted(**fitted))
 
 
 def match_sources(
@@ -254,10 +256,11 @@ def match_sources(
     """Each source with the labels ``months`` later.  The sources do not depend on each other; their jobs share the
     cluster instead of queueing."""
 
-    def match(name: str) -> DataFrame:
-        return stage(joins.offset_join(sources[name], labels, months, carry=[joins.LOAN]), name)
+    return dict(zip(sources, _together(labels, lambda name: match_source(sources[name], labels, months, stage, name), sources)))
 
-    return dict(zip(sources, _together(labels, match, sources)))
+
+def match_source(source: DataFrame, labels: DataFrame, months: int, stage: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
+    return stage(joins.offset_join(source, labels, months, carry=[joins.LOAN]), name)
 
 
 def _together(df: DataFrame, work: Callable, items: Iterable) -> list:
@@ -271,7 +274,14 @@ class Fitted:
 
     financial: DataFrame
     clicks: DataFrame
-    encoder: Encoder
+    financial_encoder: Encoder
+    attribute_encoder: Encoder
+
+    @property
+    def encoder(self) -> Encoder:
+        """The categories of all sources; their names differ."""
+        both = self.financial_encoder, self.attribute_encoder
+        return Encoder(both[0].table.unionByName(both[1].table), {**both[0].sizes, **both[1].sizes})
 
     def save(self, path: str) -> None:
         """Store next to a model; saving again replaces."""
@@ -286,30 +296,37 @@ class Fitted:
         found |= {r["name"]: r["n"] for r in table.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
         if sizes is not None and dict(sizes) != found:
             raise ValueError(f"stored categories {found} are not those of the model, {dict(sizes)}")
-        return Fitted(financial, clicks, Encoder(table, found))
+        whole = Encoder(table, found)
+        return Fitted(financial, clicks, whole.only(fixed.FINANCIAL_CATEGORIES), whole.only(fixed.ATTRIBUTE_CATEGORIES))
+
+
+def _fit_financials(matched: DataFrame) -> dict:
+    completed = complete_financials(matched)
+    return {"financial": fit_financials(completed), "financial_encoder": fit_encoder(completed, fixed.FINANCIAL_CATEGORIES)}
+
+
+def _fit_attributes(matched: DataFrame) -> dict:
+    return {"attribute_encoder": fit_encoder(attribute_groups(matched), fixed.ATTRIBUTE_CATEGORIES)}
+
+
+def _fit_clicks(matched: DataFrame) -> dict:
+    return {"clicks": fit_quantiles(matched, cap_points(click_columns(matched)))}
+
+
+FITS = {"financials": _fit_financials, "attributes": _fit_attributes, "clicks": _fit_clicks}
 
 
 def fit_sources(matched: Mapping[str, DataFrame]) -> Fitted:
     """Fit on the rows given, for example those of a training window."""
-    completed, people = complete_financials(matched["financials"]), attribute_groups(matched["attributes"])
-    clicks = matched["clicks"]
-    financial, click_caps, encoder = _together(
-        clicks,
-        lambda fit: fit(),
-        [
-            lambda: fit_financials(completed),
-            lambda: fit_quantiles(clicks, cap_points(click_columns(clicks))),
-            lambda: fit_encoders([(completed, fixed.FINANCIAL_CATEGORIES), (people, fixed.ATTRIBUTE_CATEGORIES)]),
-        ],
-    )
-    return Fitted(financial, click_caps, encoder)
+    found = _together(matched["clicks"], lambda name: FITS[name](matched[name]), FITS)
+    return Fitted(**{key: fit for fits in found for key, fit in fits.items()})
 
 
 def assemble(matched: Mapping[str, DataFrame], fitted: Fitted) -> DataFrame:
     """The feature store of matched sources under given transformers."""
     parts = [
-        financial_features(matched["financials"], fitted.financial, fitted.encoder.only(fixed.FINANCIAL_CATEGORIES)),
-        attribute_features(matched["attributes"], fitted.encoder.only(fixed.ATTRIBUTE_CATEGORIES)),
+        financial_features(matched["financials"], fitted.financial, fitted.financial_encoder),
+        attribute_features(matched["attributes"], fitted.attribute_encoder),
         click_features(matched["clicks"], fitted.clicks),
     ]
     return withhold(reduce(lambda left, right: left.join(right, SLICE, "inner"), parts))

@@ -22,7 +22,7 @@ from creditloom.functions.measures import gini
 RANGE, GROUP = "__range", "__group"
 ROWS_PER_PREFIX = 50_000
 #: Rows of a value range, as long as there are no more than so many ranges.
-ROWS_PER_RANGE, MAX_RANGES = 50_000, 4096
+ROWS_PER_RANGE, MAX_RANGES = 1_000_000, 4096
 
 
 def _default_ranges(df: DataFrame) -> int:

@@ -206,8 +206,8 @@ def test_order_statistics_do_not_depend_on_the_ranges(spark, ranges):
 
 def test_ranges_follow_the_rows(spark):
     assert order_stats._default_ranges(spark.range(10)) == 1
-    assert order_stats._default_ranges(spark.range(200_001)) == 5
-    assert order_stats._default_ranges(spark.range(10**9)) == order_stats.MAX_RANGES
+    assert order_stats._default_ranges(spark.range(4 * order_stats.ROWS_PER_RANGE + 1)) == 5
+    assert order_stats._default_ranges(spark.range(10**10)) == order_stats.MAX_RANGES
 
 
 @pytest.mark.parametrize("shape", ["even", "hot", "few", "one_prefix"])
