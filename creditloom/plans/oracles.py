@@ -393,8 +393,8 @@ oracle(
 )
 oracle(
     "rollup_by_snapshot",
-    """SELECT snapshot_date, count(*) AS n, count(p) AS scored, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS std,
-  CAST(sum(c) AS BIGINT) AS positives, count(*) FILTER (p < 0.1) AS below_0_1, count(*) FILTER (p >= 0.1 AND p < 0.5) AS between_0_1_0_5,
+    """SELECT snapshot_date, count(*) AS n, count(p) AS scored, round_even(round((avg(p)) * 10000, 4), 0) / 10000 AS mean,
+  round_even(round((stddev_samp(p)) * 10000, 4), 0) / 10000 AS std, CAST(sum(c) AS BIGINT) AS positives, count(*) FILTER (p < 0.1) AS below_0_1, count(*) FILTER (p >= 0.1 AND p < 0.5) AS between_0_1_0_5,
   count(*) FILTER (p >= 0.5) AS above_0_5, count(*) FILTER (p < 0.2 OR p > 0.8) AS high_confidence,
   count(*) FILTER (p >= 0.2 AND p <= 0.8) AS medium_confidence FROM preds GROUP BY snapshot_date""",
 )

@@ -446,7 +446,8 @@ def rollup_by_snapshot(i):
     for part, digits in ((stored_predictions(i).filter(first), 1), (stored_predictions(i).filter(~first), 2)):
         sinks.write_snapshots(monitoring.rollup(part, ROW_KEYS, digits), path)
     stored = i.spark.read.parquet(path).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
-    return rounded(monitoring.profile_of(stored), "mean", "std")
+    profile = monitoring.profile_of(stored)
+    return profile.withColumns({c: measures.stable_round(F.col(c)) for c in ("mean", "std")})
 
 
 @query
