@@ -26,9 +26,8 @@ SLASH_DATE = r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9]|/[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9])(?:\+1[ -])?(?:\([0-9]{3}\) ?|[0-9]{3}[ -])[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-NUMBER = "|".join([IP, ISO_DATE, DOT_DATE, SLASH_DATE, SSN, PHONE, CARD])
-CANDIDATE = f"(?=[0-9+(])(?:{NUMBER})|{EMAIL}"  # one look decides at most characters
-#: All formats but cards, and, in what they leave, the stretches of digits, blanks and hyphens that may hold cards.
+#: All formats but cards (one look decides at most characters), and, in what they leave, the stretches of digits, blanks
+#: and hyphens that may hold cards.
 NO_CARD = f"(?=[0-9+(])(?:{'|'.join([IP, ISO_DATE, DOT_DATE, SLASH_DATE, SSN, PHONE])})|{EMAIL}"
 STRETCH = r"(?<![0-9])[0-9][0-9 -]{12,}+"
 CARD_DIGITS = 19
@@ -39,6 +38,8 @@ FOUND_TYPE = "array<struct<kind:string,value:string,pseudonym:string>>"
 KINDS = ("email", "ip", "date", "ssn", "phone", "card")
 FIRST_DAY = "1900-01-01"
 DAY_SIDE = 270  # 270 x 270 days: 1900-01-01 to 2099-08-04
+LATE_SIDE = 210  # 210 x 210 days after the 12th of a month: 1900-01-13 to 2099-04-30
+LATE_DAYS_A_MONTH = 18.437  # on average
 AREAS, GROUPS, SERIALS = 898, 99, 9999  # assigned social security areas 001-899 without 666, groups, serials
 
 
@@ -140,6 +141,32 @@ def day_number(value: Column) -> Column:
     return F.date_diff(date_of(value), F.lit(FIRST_DAY).cast("date"))
 
 
+def months_on(months: Column) -> Column:
+    """The first day of a month, counted from January 1900."""
+    return F.add_months(F.lit(FIRST_DAY).cast("date"), months.cast("int"))
+
+
+def late_days_before(months: Column) -> Column:
+    """Days after the 12th in all months before one."""
+    return F.date_diff(months_on(months), F.lit(FIRST_DAY).cast("date")) - 12 * months
+
+
+def late_number(value: Column) -> Column:
+    """The place of a slash date that can only be read day first (``24/12/2020``) among all days after the 12th.  These
+    dates are a format of their own: were they mapped to any day, some pseudonyms would read as month first."""
+    date = F.when(whole(SLASH_DATE, value) & (number(part(value, F.lit(1), F.lit(2))) > 12), F.try_to_date(value, "dd/MM/yyyy"))
+    months = (F.year(date) - 1900) * 12 + F.month(date) - 1
+    return F.when(date >= F.lit(FIRST_DAY).cast("date"), late_days_before(months) + F.day(date) - 13)
+
+
+def late_date(place: Column) -> Column:
+    """The day after the 12th at a place; its month is at most two from where an average month would have it."""
+    about = F.floor(place / LATE_DAYS_A_MONTH).cast("int")
+    near = F.sequence(F.greatest(about - 2, F.lit(0)), about + 2)
+    month = F.array_max(F.filter(near, lambda m: late_days_before(m) <= place))
+    return let(month, lambda m: F.date_add(months_on(m), (place - late_days_before(m) + 12).cast("int")))
+
+
 def kind_of(value: Column) -> Column:
     """The kind of a valid candidate, null for an invalid one."""
     d = digits(value)
@@ -150,6 +177,7 @@ def kind_of(value: Column) -> Column:
     area, group, serial = (number(part(d, F.lit(s), F.lit(n))) for s, n in ((1, 3), (4, 2), (6, 4)))
     assigned = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     is_date = F.coalesce(day_number(value).between(0, DAY_SIDE * DAY_SIDE - 1), F.lit(False))
+    is_date = is_date | F.coalesce(late_number(value).between(0, LATE_SIDE * LATE_SIDE - 1), F.lit(False))
     return (
         F.when(F.contains(value, F.lit("@")), "email")
         .when(whole(IP, value), F.when(plain_octets, "ip"))
@@ -255,18 +283,20 @@ def new_ssn(value: Column, key: str) -> Column:
 
 
 def new_date(value: Column, key: str) -> Column:
-    side, day = F.lit(DAY_SIDE).cast("bigint"), day_number(value)
-    pair = feistel(F.floor(day / DAY_SIDE), day % DAY_SIDE, side, side, key, "date")
+    def permuted(day: Column, sides: int, tag: str) -> Column:
+        side = F.lit(sides).cast("bigint")
+        return let(feistel(F.floor(day / sides), day % sides, side, side, key, tag), lambda p: p["l"] * sides + p["r"])
 
-    def written(p: Column) -> Column:
-        date = F.date_add(F.lit(FIRST_DAY).cast("date"), (p["l"] * DAY_SIDE + p["r"]).cast("int"))
+    def written(day: Column) -> Column:
+        date = F.date_add(F.lit(FIRST_DAY).cast("date"), day.cast("int"))
         return (
             F.when(whole(ISO_DATE, value), F.date_format(date, "yyyy-MM-dd"))
             .when(whole(DOT_DATE, value), F.date_format(date, "dd.MM.yyyy"))
             .otherwise(F.date_format(date, "MM/dd/yyyy"))
         )
 
-    return let(pair, written)
+    late = let(permuted(late_number(value), LATE_SIDE, "late date"), lambda place: F.date_format(late_date(place), "dd/MM/yyyy"))
+    return F.when(late_number(value).isNotNull(), late).otherwise(let(permuted(day_number(value), DAY_SIDE, "date"), written))
 
 
 def new_email(value: Column, key: str) -> Column:
@@ -318,8 +348,8 @@ def pseudonym(kind: Column, value: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_col: str = "found") -> DataFrame:
     """``docs`` with pseudonyms in its text, and a column of what was found: array of (kind, value, pseudonym).
 
-    E-mail addresses (the part before the @), IPv4 addresses, dates from 1900-01-01 to 2099-08-04, social security
-    numbers, North American phone numbers and Luhn-valid card numbers of 13 to 19 digits are replaced; candidates that
+    E-mail addresses (the part before the @), IPv4 addresses, dates from 1900-01-01 to 2099-08-04 (slash dates are month
+    first, those whose first number is above 12 day first and up to 2099-04-30), social security numbers, North American phone numbers and Luhn-valid card numbers of 13 to 19 digits are replaced; candidates that
     fail validation stay.  A null text stays null with nothing found; an empty text stays empty.  Repeated rows are
     treated alike, other columns stay; ``found_col`` gets another name where ``docs`` has one of that name.
     """

@@ -64,6 +64,25 @@ def vector_links(vectors: dict, threshold: float = 0.95) -> dict:
     return {i: (counts[i], groups[i], groups[i] == i) for i in vectors}
 
 
+#: What may be personal, in the order in which it is looked for.
+CANDIDATE = "|".join(
+    [
+        r"(?<![0-9.])(?:[0-9]{1,3}[.]){3}[0-9]{1,3}(?![0-9]|[.][0-9])",
+        r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])",
+        r"(?<![0-9.])[0-9]{2}[.][0-9]{2}[.][0-9]{4}(?![0-9]|[.][0-9])",
+        r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9]|/[0-9])",
+        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
+        r"(?<![0-9])(?:[+]1[ -])?(?:[(][0-9]{3}[)] ?|[0-9]{3}[ -])[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])",
+        r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}[.]){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    ]
+)
+DAYS = [dt.date(1900, 1, 1) + dt.timedelta(i) for i in range(270 * 270)]
+#: Days that slash dates with the day first can mean and month first cannot.
+LATE_DAYS = [d for d in DAYS if d.day > 12][: 210 * 210]
+LATE_PLACES = {d: i for i, d in enumerate(LATE_DAYS)}
+
+
 def _hash(key, tag, step, value) -> bytes:
     return hashlib.sha256(f"{key}:{tag}:{step}:{value}".encode()).digest()
 
@@ -95,6 +114,18 @@ def put_back(value: str, digits: str) -> str:
     return "".join(next(new) if "0" <= c <= "9" else c for c in value)
 
 
+def late_date(value: str, key: str) -> tuple[str | None, str]:
+    """Slash dates that only make sense with the day first."""
+    try:
+        place = LATE_PLACES.get(dt.datetime.strptime(value, "%d/%m/%Y").date())
+    except ValueError:
+        return None, value
+    if place is None:
+        return None, value
+    left, right = feistel(place // 210, place % 210, 210, 210, key, "late date")
+    return "date", LATE_DAYS[left * 210 + right].strftime("%d/%m/%Y")
+
+
 def pseudonym(value: str, key: str) -> tuple[str | None, str]:
     """(kind, pseudonym); kind None for values that are not valid."""
     digits = re.sub("[^0-9]", "", value)
@@ -130,7 +161,7 @@ def pseudonym(value: str, key: str) -> tuple[str | None, str]:
             try:
                 day = (dt.datetime.strptime(value, form).date() - dt.date(1900, 1, 1)).days
             except ValueError:
-                return None, value
+                return late_date(value, key)
             if not 0 <= day < 270 * 270:
                 return None, value
             left, right = feistel(day // 270, day % 270, 270, 270, key, "date")

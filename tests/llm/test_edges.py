@@ -257,7 +257,7 @@ def test_odd_vectors(spark):
 PRIVATE = [
     None, "", "nothing", "4111 1111 1111 1111 and 4111-1111-1111-1111 and 4111111111111112", "a.b9@x.org,Zz@mail.example.com",
     "+1 (017) 555-7713 or 212-555-0123", "10.0.0.1 256.1.1.1 01.2.3.4 1.2.3.4.5 192.168.255.0.", "1999-12-31 2099-08-05 2001-02-29 1900-01-01",
-    "24.12.2020, 12/24/2020, 24/12/2020", "123-45-6789 000-12-3456 666-12-3456 899-99-9999", "7@a.bc", "x" * 300 + "@a.com",
+    "24.12.2020, 12/24/2020, 24/12/2020", "13/01/1900 30/04/2099 13/05/2099 31/12/1899 29/02/2000 29/02/2001 00/10/2000 31/13/2000", "123-45-6789 000-12-3456 666-12-3456 899-99-9999", "7@a.bc", "x" * 300 + "@a.com",
     "5105105105105100" * 3, "378282246310005 6304000000000000000", "@ @@ a@b", "9" * 100_000,
     "\ufdd0 1.2.3.4 \ufdd0\ufdd1 a@b.cd\ufdd0\ufdd0", "\ufdd1" + "4111111111111111" + "\ufdd0",
 ]
@@ -271,7 +271,7 @@ def test_pii_against_plain(spark, none):
         if PRIVATE[r.doc_id] is None:
             assert r.text is None and r.found_ == []
             continue
-        text, found = reference.pseudonymised(PRIVATE[r.doc_id], pii.CANDIDATE, "k1")
+        text, found = reference.pseudonymised(PRIVATE[r.doc_id], reference.CANDIDATE, "k1")
         assert (r.text, [tuple(f) for f in r.found_]) == (text, found)
     assert pii.pseudonymise(none).count() == 0
 
@@ -282,7 +282,7 @@ def test_pii_query_against_plain(spark):
 
     found_any = 0
     for r in LLM_QUERIES["op7_pii"](spark, "/root/testdata/sf0.01").collect():
-        text, found = reference.pseudonymised(docs[r.doc_id], pii.CANDIDATE, pii.KEY)
+        text, found = reference.pseudonymised(docs[r.doc_id], reference.CANDIDATE, pii.KEY)
         assert (r.n_found, r.text_sha256) == (len(found), reference.sha(text))
         found_any += len(found)
     assert found_any > 50
@@ -294,6 +294,14 @@ def test_pseudonyms_are_permutations():
     assert len(days) == 50 * 9 * 10
 
 
+def test_dates_with_the_day_first_are_permuted_among_themselves(spark):
+    texts = [f"{d:%d/%m/%Y}" for d in reference.LATE_DAYS]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    made = {r.doc_id: r.text for r in pii.pseudonymise(docs, "k").select("doc_id", "text").collect()}
+    assert sorted(made.values()) == sorted(texts)
+    assert all(made[i] == reference.late_date(texts[i], "k")[1] for i in range(0, len(texts), 50))
+
+
 def test_mixing(odd, none):
     settings = mixing.Settings(budget=(1, 2), max_epochs=3)
     taken = mixing.select_documents(odd, settings).collect()
