@@ -18,14 +18,16 @@ from pyspark.sql import functions as F
 from creditloom.llm import bpe
 from creditloom.llm.common import column, staged, text_of
 
-#: Bounds of what is counted ahead: documents looked at (in expectation), and pre-tokens broadcast.
+#: Bounds of what is counted ahead: documents looked at (in expectation), pre-tokens broadcast, and the bytes of each, so
+#: the broadcast table holds at most 6.4 MB of text.  Longer pre-tokens go through the join, however frequent.
 SAMPLE_DOCS = 20_000
 HEAD_WORDS = 100_000
+HEAD_BYTES = 64
 OUT_ROWS = 50_000
 
 
 def head_words(source: DataFrame, path: str, sample_docs: int, limit: int) -> list[str]:
-    """The most frequent pre-tokens of a sample; at most ``limit``."""
+    """The most frequent pre-tokens of a sample; at most ``limit`` of at most ``HEAD_BYTES`` bytes."""
     rows = source.count()
     keep = min(1.0, sample_docs / max(rows, 1))
     sample = source.filter(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) < int(keep * (1 << 20)))
@@ -46,7 +48,8 @@ def head_words(source: DataFrame, path: str, sample_docs: int, limit: int) -> li
             part = words[at : at + OUT_ROWS]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([found[w] for w in part])], names=["word", "n"])
 
-    counted = sample.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    short = sample.mapInArrow(count, "word string, n long").filter(F.octet_length("word") <= HEAD_BYTES)
+    counted = short.groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.filter("n >= 3").orderBy(F.desc("n"), "word").limit(limit)
     return [r.word for r in top.select("word").collect()]
 
