@@ -83,6 +83,53 @@ LATE_DAYS = [d for d in DAYS if d.day > 12][: 210 * 210]
 LATE_PLACES = {d: i for i, d in enumerate(LATE_DAYS)}
 
 
+class Languages:
+    """Word-first language model of (text, language) pairs, every piece kept; ``log[size][piece]`` holds a value per
+    language, size 0 being whole words."""
+
+    def __init__(self, labelled):
+        counts = {}
+        for text, lang in labelled:
+            for word in self.words(text):
+                for size in range(5):
+                    for piece in [word] if size == 0 else self.pieces(word, size):
+                        counts.setdefault(size, {}).setdefault(lang, Counter())[piece] += 1
+        self.names = sorted({lang for _, lang in labelled})
+        self.log = {}
+        for size, by_lang in counts.items():
+            totals = {lang: sum(found.values()) for lang, found in by_lang.items()}
+            least = 0.5 / max(totals.values())
+            share = lambda piece, lang: by_lang[lang][piece] / totals[lang] if by_lang.get(lang, {}).get(piece) else least
+            every = {piece for found in by_lang.values() for piece in found}
+            self.log[size] = {p: np.log([share(p, lang) for lang in self.names]) for p in every}
+
+    @staticmethod
+    def words(text):
+        return re.findall(r"[^\W\d_]+", (text or "").lower())
+
+    @staticmethod
+    def pieces(word, size):
+        padded = word if size == 1 else f" {word} "
+        return [padded[i : i + size] for i in range(len(padded) - size + 1)]
+
+    def judge(self, text):
+        words = self.words(text)
+        if not any(c.isalpha() for word in words for c in word):
+            return "und", 0.0
+        total = np.zeros(len(self.names))
+        for word in words:
+            if word in self.log[0]:
+                total += self.log[0][word]
+                continue
+            for size in (4, 3, 2, 1):
+                found = [self.log[size][p] for p in self.pieces(word, size) if p in self.log[size]]
+                if found:
+                    total += sum(found) / len(found)
+                    break
+        odds = np.exp(total - total.max())
+        return self.names[int(odds.argmax())], float(odds.max() / odds.sum())
+
+
 def _hash(key, tag, step, value) -> bytes:
     return hashlib.sha256(f"{key}:{tag}:{step}:{value}".encode()).digest()
 
