@@ -392,6 +392,22 @@ def test_pipeline_stages_on_odd_and_empty_tables(spark, odd, none):
             out.collect()
 
 
+def test_pipeline_stages_on_nulls_and_repeated_rows(spark):
+    rows = [(1, None, "en"), (2, "", "en"), (3, "123", None), (4, "a text", None), (4, "a text", None), (None, "quite another matter", None)]
+    docs = documents(spark, [(*r, None) for r in rows])
+
+    def ids(out):
+        return sorted((r.doc_id for r in out.collect()), key=lambda i: (i is None, i))
+
+    assert ids(corpus_pipeline.identify_language(spark, docs, "")) == [4, 4, None]
+    assert ids(corpus_pipeline.drop_exact_copies(spark, docs, "")) == [2, 3, 4, None]
+    assert ids(corpus_pipeline.drop_near_copies(spark, docs, "")) == [1, 3, 4, 4, None]
+    coded = corpus_pipeline.encode(spark, docs, "").collect()
+    assert len(coded) == 6 and all((r.ids, r.n_tokens, r.decoded_sha256) == ([], 0, reference.sha("")) for r in coded if r.doc_id in (1, 2))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0
+
+
 def test_pipeline_against_plain(spark):
     """Every stage on the smallest table against what a plain version of it keeps."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
