@@ -1,7 +1,7 @@
 """Byte-pair encoding of whole texts and its inverse, for vocabulary files with word-end merges.
 
 Text is cut at the file's special strings, normalised (NFC, white space to blanks, lower case) and split into
-pre-tokens; each pre-token is merged by a priority queue of merge ranks over a doubly linked list of symbols.
+pre-tokens; each pre-token is merged by rank, long ones by a priority queue over a doubly linked list of symbols.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +30,9 @@ SPACES = "\t-\r \x85\xa0"
 LATIN_PIECES = re.compile(f"[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{DIGITS}]|[^{SPACES}{LETTERS}{DIGITS}]+")
 #: What the splitter above stands for; a file with another rule is refused.
 SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-CACHED_WORDS = 150_000
+CACHED_WORDS = 300_000
+#: Symbols up to which a pre-token is merged by scanning its ranks, which is quadratic but has no queue to keep.
+SCANNED_SYMBOLS = 48
 
 
 def byte_letters() -> list[str]:
@@ -49,7 +52,7 @@ class WordCache(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        self[word] = found = np.array(self.encode(word), np.int32).tobytes()
+        self[word] = found = array("i", self.encode(word)).tobytes()
         return found
 
 
@@ -73,7 +76,14 @@ class Bpe:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[self.vocab[left], self.vocab[right]] = (rank, self.vocab[left + right])
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(specials, key=len, reverse=True))) + ")")
-        self.letters = byte_letters()
+        self.no_merge = len(model["merges"])
+        self.made = [0] * self.no_merge
+        self.ranks: list[dict[int, int]] = [{} for _ in range(max(self.names) + 1)]  # by left, then right symbol
+        for (left, right), (rank, new) in self.merges.items():
+            self.ranks[left][right], self.made[rank] = rank, new
+        letters = byte_letters()
+        self.inner = [self.vocab[s] for s in letters]
+        self.final = [self.vocab[s + self.suffix] for s in letters]
         self.normalizer = Tokenizer.from_file(path).normalizer
         self.splitter = pre_tokenizers.Split(Regex(SPLIT_RULE), "removed", invert=True)
         self.words = WordCache(self.encode_word)
@@ -93,12 +103,30 @@ class Bpe:
         return [w for part in parts[::2] for w in self.pretokens(part)], parts[1::2]
 
     def encode_word(self, word: str) -> list[int]:
-        """Merge one pre-token: pairs leave the queue by rank, then by place; entries whose pair is gone are stale."""
+        """Merge one pre-token: by rank, then by place."""
         if word in self.specials:
             return [self.specials[word]]
-        symbols = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.suffix
-        ids: list[int] = [self.vocab[s] for s in symbols]
+        raw = word.encode("utf-8", "surrogatepass")
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.final[raw[-1]]
+        return self.merge_scanned(ids) if len(ids) <= SCANNED_SYMBOLS else self.merge_queued(ids)
+
+    def merge_scanned(self, ids: list[int]) -> list[int]:
+        """The lowest rank, the leftmost of equal ones, is looked for after every merge."""
+        after, made, none = self.ranks, self.made, self.no_merge
+        ranks = [after[left].get(right, none) for left, right in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) < none:
+            at = ranks.index(rank)
+            ids[at] = new = made[rank]
+            del ids[at + 1], ranks[at]
+            if at < len(ranks):
+                ranks[at] = after[new].get(ids[at + 1], none)
+            if at:
+                ranks[at - 1] = after[ids[at - 1]].get(new, none)
+        return ids
+
+    def merge_queued(self, ids: list[int]) -> list[int]:
+        """Pairs leave the queue by rank, then by place; entries whose pair is gone are stale."""
         last = len(ids)
         after, before = list(range(1, last + 1)), list(range(-1, last - 1))
         merges = self.merges

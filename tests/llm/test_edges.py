@@ -157,6 +157,18 @@ def test_bpe_equals_the_library_on_odd_characters():
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_merges_by_scan_and_by_queue_agree():
+    random.seed(4)
+    library, own = Tokenizer.from_file(PATH), bpe.load(PATH)
+    for size in [1, 2, 3, 9, *range(bpe.SCANNED_SYMBOLS - 3, bpe.SCANNED_SYMBOLS + 4), 200]:
+        for letters in ("ab", "erinschtoa", "aéßñ"):
+            word = "".join(random.choice(letters) for _ in range(size))
+            raw = word.encode()
+            start = [*(own.inner[b] for b in raw[:-1]), own.final[raw[-1]]]
+            ids = library.encode(word, add_special_tokens=False).ids
+            assert own.merge_scanned(start.copy()) == own.merge_queued(start.copy()) == own.encode_word(word) == ids
+
+
 def test_language(odd, none, spark):
     rows = {r.doc_id: r for r in language.identify(odd).collect()}
     assert rows[1].lang_pred == rows[2].lang_pred == rows[3].lang_pred == rows[7].lang_pred == "und"
