@@ -167,13 +167,28 @@ def with_validation(df: DataFrame, keys: Sequence[str], share: float = 0.1, name
 
 # --- fitting several models -------------------------------------------------------------------------------------
 
+#: Fewer rows are not worth a task of their own, more do not belong in one.
+LEAST_ROWS, MOST_ROWS = 2_000, 200_000
+
+
+def spread(train: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly over the cores.
+
+    Learners pass over their rows hundreds of times, and a pass takes as long as its largest task.  A scan makes one task
+    of a Parquet row group, so training rows straight from a file may keep a single core busy.
+    """
+    rows, cores = train.count(), train.sparkSession.sparkContext.defaultParallelism
+    if rows <= LEAST_ROWS:
+        return train
+    return train.repartition(min(-(-rows // LEAST_ROWS), cores * -(-rows // (cores * MOST_ROWS))))
+
 
 def fit_models(
     estimators: Mapping[str, Callable[[], Estimator]], train: DataFrame, failed: dict[str, str] | None = None
 ) -> dict[str, PipelineModel]:
     """Fit each model on the same rows; one that fails is reported, noted in ``failed`` and left out."""
     models = {}
-    train = train.persist()
+    train = spread(train).persist()
     try:
         for name, make in estimators.items():
             try:
@@ -256,7 +271,7 @@ def run_trials(
     spark = train.sparkSession
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0)
     fold_of = F.floor(order_stats.hash_fraction(*keys, seed=f"fold {seed}") * folds).cast("int")
-    folded = train.withColumn("__fold", fold_of).persist()
+    folded = spread(train).withColumn("__fold", fold_of).persist()
     points = {name: draw_grid(estimator, space, draws, seed) for name, (estimator, space) in searches.items()}
     shown = {n: [json.dumps({p.name: v for p, v in point.items()}, sort_keys=True) for point in of] for n, of in points.items()}
     done = {tuple(r) for r in _trials(spark, path).filter("auc IS NOT NULL").select("learner", "draw", "fold", "parameters").collect()}
