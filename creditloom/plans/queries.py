@@ -684,7 +684,7 @@ def model_names(i):
 def bronze_ingest(i):
     """Ledger out to CSV, through the bronze layer, and back through silver; one source is missing on purpose."""
     root = i.scratch("bronze")
-    i.loans.write.option("header", True).csv(f"{root}/source/loans")
+    i.loans.write.option("header", True).option("compression", "gzip").csv(f"{root}/source/loans")
     report = ingest.ingest_bronze(
         i.spark, {"loans": f"{root}/source/loans", "clickstream": f"{root}/source/absent"}, f"{root}/bronze"
     )

@@ -49,7 +49,7 @@ def ingest_bronze(
             report[name] = None
             continue
         if sinks.DATE in df.columns:
-            sinks.write_snapshots(df, f"{bronze}/{name}", rebuild=True)
+            sinks.write_snapshots(df, f"{bronze}/{name}", rebuild=True, lines=not infer)
         else:
             sinks.write_table(df, f"{bronze}/{name}")
         report[name] = read_bronze(spark, bronze, name).count()

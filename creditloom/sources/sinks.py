@@ -13,13 +13,35 @@ from pyspark.sql import functions as F
 DATE = "snapshot_date"
 
 
-def write_snapshots(df: DataFrame, path: str, partition: str | list[str] = DATE, rebuild: bool = False) -> None:
+#: Between the values of a row that travels as one text, and in place of a missing one: line ends, which no value of a
+#: file that is read line by line can hold.
+GAP, MISSING = "\n", "\r"
+
+
+def rebalanced(df: DataFrame, by: list[str], lines: bool = False) -> DataFrame:
+    """Rows together by partition in parts of a sensible size.
+
+    With ``lines``, all columns are text without line ends, and a row travels as one text: every text column of a row
+    costs a shuffle its place, length and padding."""
+    rest = [F.col("`" + c.replace("`", "``") + "`").alias(c) for c in df.columns if c not in by]
+    if not (lines and rest):
+        return df.hint("rebalance", *by)
+    packed = df.select(*by, F.array_join(F.array(*rest), GAP, MISSING).alias("__row")).hint("rebalance", *by)
+    values = packed.withColumn("__row", F.split("__row", GAP))
+    names = [c for c in df.columns if c not in by]
+    back = {c: F.nullif(F.col("__row")[at], F.lit(MISSING)).alias(c) for at, c in enumerate(names)}
+    return values.select(*[back.get(c, c) for c in df.columns])
+
+
+def write_snapshots(
+    df: DataFrame, path: str, partition: str | list[str] = DATE, rebuild: bool = False, lines: bool = False
+) -> None:
     """Replace the partitions present in ``df`` and leave the others, or with ``rebuild`` the whole store.
 
-    A rebuild must not read the store it replaces."""
+    A rebuild must not read the store it replaces.  ``lines`` is that of :func:`rebalanced`."""
     by = [partition] if isinstance(partition, str) else list(partition)
     (
-        df.hint("rebalance", *by)
+        rebalanced(df, by, lines)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if rebuild else "dynamic")
         .partitionBy(*by)

@@ -134,3 +134,18 @@ def test_new_ledger_files_become_snapshots(spark, tmp_path):
     assert arrive("a.csv", 3, 0) == {"2024-03-01": 0}
     assert arrive("b.csv", 4, 200) == {"2024-03-01": 0, "2024-04-01": 60}
     assert arrive("c.csv", 4, 0) == {"2024-03-01": 0, "2024-04-01": 0}
+
+
+def test_rows_that_travel_as_one_text_arrive_whole(spark, tmp_path):
+    rows = ['l1,2024-01-01,"a ""b"", c",\x01\t| ', 'l2,2024-01-01,"",', ',,,"é\\n,"', "l4,2024-02-01, x ,\\"]
+    (tmp_path / "odd.csv").write_text("\n".join(["loan.id,snapshot_date,a`b,Type of", *rows]) + "\n")
+    odd, root = ingest.read_csv(spark, str(tmp_path / "odd.csv")), session.scratch_dir(spark, "test")
+    moved = sinks.rebalanced(odd, ["snapshot_date"], lines=True)
+    assert moved.columns == odd.columns and moved.dtypes == odd.dtypes
+    assert sorted(map(str, moved.collect())) == sorted(map(str, odd.collect()))
+    shuffled = moved._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")[1].splitlines()[1]
+    assert "array_join" in shuffled
+    assert ingest.ingest_bronze(spark, {"odd": str(tmp_path / "odd.csv")}, root) == {"odd": 4}
+    back = ingest.read_bronze(spark, root, "odd").select(*["`" + c.replace("`", "``") + "`" for c in odd.columns])
+    kept = back.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, odd.collect()))
